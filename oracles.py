@@ -82,7 +82,7 @@ dirty_user_update AS (
   SELECT * REPLACE (
     CASE WHEN n % 37 = 5 THEN "timestamp" - to_days(4000)
          WHEN n % 31 = 6 THEN NULL ELSE new_end_timestamp END AS new_end_timestamp,
-    CASE WHEN epoch_us("timestamp") % 1000000000 % 29 = 0 THEN 'nobody'
+    CASE WHEN (CAST("timestamp" AS DATE) - DATE '1990-01-01') % 29 = 0 THEN 'nobody'
          ELSE pi_last_name END AS pi_last_name)
   FROM (SELECT *, CAST(regexp_extract(last_name, '(\\d+)$', 1) AS BIGINT) AS n
         FROM user_update_form))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterbill.functions.periods import Period
@@ -18,14 +18,14 @@ class ViolationsFound(Exception):
 
 
 def _finding(
-    df: DataFrame, rule: str, entity: str, key: Column, day: Column, detail: Column
+    df: DataFrame, rule: str, entity: str, key: str, day: str, detail: str = "NULL"
 ) -> DataFrame:
-    return df.select(
-        F.lit(rule).alias("rule"),
-        F.lit(entity).alias("entity"),
-        key.cast("string").alias("key"),
-        day.cast("date").alias("event_date"),
-        detail.cast("string").alias("detail"),
+    return df.selectExpr(
+        f"'{rule}' AS rule",
+        f"'{entity}' AS entity",
+        f"cast({key} AS string) AS key",
+        f"cast({day} AS date) AS event_date",
+        f"cast({detail} AS string) AS detail",
     )
 
 
@@ -34,41 +34,35 @@ def form_findings(forms: Forms, period: Period) -> DataFrame:
     user_log = events.user_events(forms, period)
     opened = events.pi_requests(forms, period)
     asked = events.pi_updates(forms, period)
-    nothing = F.lit(None)
-    own_request = F.col("src_rank") == events.USER_REQUEST
-    from_form = F.col("src_rank").isin(events.USER_REQUEST, events.USER_UPDATE)
+    own = user_log.where(f"src_rank = {events.USER_REQUEST}")
+    no_email = user_log.where(
+        f"email IS NULL AND src_rank IN ({events.USER_REQUEST}, {events.USER_UPDATE})"
+    )
     found = [
+        _finding(no_email, "missing_key", "user", "name", "date", "'email'"),
         _finding(
-            user_log.where(from_form & F.col("email").isNull()),
-            "missing_key", "user", F.col("name"), F.col("date"), F.lit("email"),
-        ),
-        _finding(
-            opened.where(F.col("pi").isNull()),
-            "missing_key", "project", F.col("email"), F.col("date"), F.lit("last_name"),
-        ),
-        _finding(
-            asked.where(F.col("pi").isNull()),
-            "missing_key", "project", F.col("email"), F.col("date"), F.lit("last_name"),
+            opened.where("pi IS NULL"),
+            "missing_key", "project", "email", "date", "'last_name'",
         ),
         _finding(
-            opened.where(F.col("email").isNull()),
-            "missing_key", "project", F.col("pi"), F.col("date"), F.lit("email"),
+            asked.where("pi IS NULL"),
+            "missing_key", "project", "email", "date", "'last_name'",
         ),
         _finding(
-            opened.where(F.col("storage").isNull()),
-            "missing_storage", "project", F.col("pi"), F.col("date"), nothing,
+            opened.where("email IS NULL"),
+            "missing_key", "project", "pi", "date", "'email'",
         ),
         _finding(
-            opened.where(F.col("speed_code").isNull()),
-            "missing_speed_code", "project", F.col("pi"), F.col("date"), nothing,
+            opened.where("storage IS NULL"), "missing_storage", "project", "pi", "date"
         ),
         _finding(
-            user_log.where(own_request & F.col("pi_name").isNull()),
-            "missing_pi", "user", F.col("email"), F.col("date"), nothing,
+            opened.where("speed_code IS NULL"),
+            "missing_speed_code", "project", "pi", "date",
         ),
+        _finding(own.where("pi_name IS NULL"), "missing_pi", "user", "email", "date"),
         _finding(
-            user_log.where(own_request & F.col("power_user").isNull()),
-            "missing_power_user", "user", F.col("email"), F.col("date"), nothing,
+            own.where("power_user IS NULL"),
+            "missing_power_user", "user", "email", "date",
         ),
     ]
     for form, stamp in (
@@ -79,8 +73,8 @@ def form_findings(forms: Forms, period: Period) -> DataFrame:
     ):
         found.append(
             _finding(
-                form.where(F.col(stamp).isNull()),
-                "missing_timestamp", "form", F.col("email"), nothing, nothing,
+                form.where(f"{stamp} IS NULL"),
+                "missing_timestamp", "form", "email", "NULL",
             )
         )
     return reduce(DataFrame.unionByName, found)
@@ -88,72 +82,45 @@ def form_findings(forms: Forms, period: Period) -> DataFrame:
 
 def replay_findings(days: DataFrame) -> DataFrame:
     """Updates for unknown persons, and terms that would end before they start."""
-    walked = terms.walk_days(days)
-    too_early = (
-        F.when(F.col("creates"), F.col("backdated"))
-        .when(F.col("reopens"), ~F.col("first_sets_end") | F.col("backdated"))
-        .otherwise(
-            (F.coalesce(F.col("lowest_before") < F.col("prior_start"), F.lit(False)))
-            | (
-                F.col("divides")
-                & (
-                    ~F.coalesce("split_sets_end", F.lit(False))
-                    | F.coalesce(
-                        F.col("lowest_after") < F.col("date"), F.lit(False)
-                    )
-                    | (F.col("splits") > 1)
-                )
-            )
-        )
+    too_early = """
+        CASE WHEN creates THEN backdated
+             WHEN reopens THEN NOT first_sets_end OR backdated
+             ELSE coalesce(lowest_before < prior_start, false)
+                  OR (divides AND (NOT split_sets_end OR splits > 1
+                                   OR coalesce(lowest_after < date, false)))
+        END"""
+    found = terms.walk_days(days).selectExpr(
+        "email",
+        "date",
+        f"""explode(array_compact(array(
+              if(NOT known OR (creates AND update_first), 'user_update_without_user', NULL),
+              if(known AND {too_early}, 'end_before_start', NULL)))) AS rule""",
     )
-    no_user = ~F.col("known") | (F.col("creates") & F.col("update_first"))
-    return (
-        walked.select(
-            "email",
-            "date",
-            F.explode(
-                F.filter(
-                    F.array(
-                        F.when(no_user, F.lit("user_update_without_user")),
-                        F.when(F.col("known") & too_early, F.lit("end_before_start")),
-                    ),
-                    lambda rule: rule.isNotNull(),
-                )
-            ).alias("rule"),
-        )
-    ).select(
+    return found.selectExpr(
         "rule",
-        F.lit("user").alias("entity"),
-        F.col("email").alias("key"),
-        F.col("date").alias("event_date"),
-        F.lit(None).cast("string").alias("detail"),
+        "'user' AS entity",
+        "email AS key",
+        "date AS event_date",
+        "cast(NULL AS string) AS detail",
     )
 
 
-def project_findings(log: projects.ProjectLog, kept: DataFrame, period: Period) -> DataFrame:
+def project_findings(
+    log: projects.ProjectLog, kept: DataFrame, period: Period
+) -> DataFrame:
     """Updates without a project, and projects billed though closed by the end."""
     orphans = log.days.join(
-        log.pis.select("pi", F.col("first.open_ts").alias("open_ts")), "pi", "left"
-    ).where(
-        F.col("update_ts").isNotNull()
-        & (F.col("open_ts").isNull() | (F.col("update_ts") < F.col("open_ts")))
-    )
-    found = _finding(
-        orphans, "pi_update_without_pi", "project", F.col("pi"), F.col("date"), F.lit(None)
-    )
+        log.pis.selectExpr("pi", "first.open_ts"), "pi", "left"
+    ).where("update_ts IS NOT NULL AND coalesce(update_ts < open_ts, true)")
+    found = _finding(orphans, "pi_update_without_pi", "project", "pi", "date")
     if period.late_cutoff is None:
         return found
-    closed = kept.where(
-        pricing.is_billable(period) & (F.col("close_date") < F.lit(period.end))
+    closed = kept.where(pricing.is_billable(period)).where(
+        f"close_date < date'{period.end}'"
     )
     return found.unionByName(
         _finding(
-            closed,
-            "inactive_at_period_end",
-            "project",
-            F.col("project_id"),
-            F.col("close_date"),
-            F.lit(None),
+            closed, "inactive_at_period_end", "project", "project_id", "close_date"
         )
     )
 
@@ -161,28 +128,21 @@ def project_findings(log: projects.ProjectLog, kept: DataFrame, period: Period)
 def closure_findings(kept_segments: DataFrame, pis: DataFrame) -> DataFrame:
     """Closures whose PI has no term to end, or only one that starts later."""
     latest = kept_segments.groupBy("email").agg(F.max("start").alias("latest_start"))
-    dates = projects_close_days(pis)
-    found = dates.join(latest, "email", "left").where(
-        F.col("latest_start").isNull() | (F.col("close_date") < F.col("latest_start"))
-    )
-    return found.select(
-        F.when(
-            F.col("latest_start").isNull(), F.lit("user_update_without_user")
+    closed = terms.close_dates(pis).selectExpr("email", "explode(closes) AS close_date")
+    return (
+        closed.join(latest, "email", "left")
+        .where("coalesce(close_date < latest_start, true)")
+        .selectExpr(
+            "if(latest_start IS NULL, 'user_update_without_user', 'closure_before_term')"
+            " AS rule",
+            "'user' AS entity",
+            "email AS key",
+            "close_date AS event_date",
+            "'project closure' AS detail",
         )
-        .otherwise(F.lit("closure_before_term"))
-        .alias("rule"),
-        F.lit("user").alias("entity"),
-        F.col("email").alias("key"),
-        F.col("close_date").alias("event_date"),
-        F.lit("project closure").alias("detail"),
     )
 
 
-def projects_close_days(pis: DataFrame) -> DataFrame:
-    """One row per person and close date of a kept project."""
-    return terms.close_dates(pis).select("email", F.explode("closes").alias("close_date"))
-
-
 def unattached(power_rows: DataFrame, pis: DataFrame, **spread: object) -> DataFrame:
     """Power users whose PI has no kept project; project dates do not matter."""
     found = spread_join(
@@ -194,20 +154,5 @@ def unattached(power_rows: DataFrame, pis: DataFrame, **spread: object) -> DataF
         **spread,
     )
     return _finding(
-        found,
-        "unattached_power_user",
-        "user",
-        F.col("email"),
-        F.col("first_start"),
-        F.col("pi"),
-    )
-
-
-def latest_term(segment_rows: DataFrame) -> DataFrame:
-    """Each person's term with the latest start."""
-    newest = Window.partitionBy("email")
-    return terms.terms(
-        segment_rows.withColumn("newest", F.max("term_no").over(newest)).where(
-            F.col("newest") == F.col("term_no")
-        )
+        found, "unattached_power_user", "user", "email", "first_start", "pi"
     )

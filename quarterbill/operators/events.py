@@ -2,52 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from functools import reduce
 
-from quarterbill.functions.periods import Period, day_after, midnight
+from pyspark.sql import DataFrame
+
+from quarterbill.functions.periods import Period, day_after
 from quarterbill.sources.forms import Forms
 from quarterbill.sources.schemas import SUBMISSION_ID
 
-# Rank of a source among events with equal timestamps.
+# Rank of a source among events with equal timestamps; odd ranks are updates.
 USER_REQUEST, USER_UPDATE, PI_REQUEST, PI_CLOSURE = 0, 1, 2, 3
 
 
-def _seq(form: DataFrame) -> Column:
+def _seq(form: DataFrame) -> str:
     if SUBMISSION_ID in form.columns:
-        return F.coalesce(F.col(SUBMISSION_ID), F.lit(0)).cast("long")
-    return F.lit(0).cast("long")
+        return f"coalesce(cast({SUBMISSION_ID} AS bigint), 0L) AS seq"
+    return "0L AS seq"
 
 
 def pi_requests(forms: Forms, period: Period) -> DataFrame:
     """Project requests up to and including the last day of the period."""
     return forms.pi.where(
-        (F.col("start_timestamp") < midnight(day_after(period.end)))
-    ).select(
-        F.col("start_timestamp").alias("ts"),
-        F.to_date("start_timestamp").alias("date"),
+        f"start_timestamp < timestamp_ntz'{day_after(period.end)}'"
+    ).selectExpr(
+        "start_timestamp AS ts",
+        "cast(start_timestamp AS date) AS date",
         "email",
-        F.col("last_name").alias("pi"),
+        "last_name AS pi",
         "speed_code",
         "storage",
-        F.col("pi_is_power_user").alias("power_user"),
-        _seq(forms.pi).alias("seq"),
+        "pi_is_power_user AS power_user",
+        _seq(forms.pi),
     )
 
 
 def pi_updates(forms: Forms, period: Period) -> DataFrame:
     """Project updates up to and including the last day of the period."""
     return forms.pi_update.where(
-        F.col("timestamp") < midnight(day_after(period.end))
-    ).select(
-        F.col("timestamp").alias("ts"),
-        F.to_date("timestamp").alias("date"),
+        f"timestamp < timestamp_ntz'{day_after(period.end)}'"
+    ).selectExpr(
+        "timestamp AS ts",
+        "cast(timestamp AS date) AS date",
         "email",
-        F.col("last_name").alias("pi"),
+        "last_name AS pi",
         "speed_code",
-        F.col("new_storage").alias("storage"),
-        F.coalesce("account_closed", F.lit(False)).alias("account_closed"),
-        _seq(forms.pi_update).alias("seq"),
+        "new_storage AS storage",
+        "coalesce(account_closed, false) AS account_closed",
+        _seq(forms.pi_update),
     )
 
 
@@ -58,55 +59,54 @@ def user_events(forms: Forms, period: Period) -> DataFrame:
     include it. A project request makes its PI a user; a closure ends the term of the
     person who filed it.
     """
-    last_day = midnight(period.end)
-    requests = forms.user.where(F.col("start_timestamp") < last_day).select(
-        F.col("email"),
-        F.col("last_name").alias("name"),
-        F.col("pi_last_name").alias("pi_name"),
-        F.col("power_user"),
-        F.to_date("end_timestamp").alias("end_date"),
-        F.col("start_timestamp").alias("ts"),
-        F.lit(USER_REQUEST).alias("src_rank"),
-        _seq(forms.user).alias("seq"),
+    requests = forms.user.where(
+        f"start_timestamp < timestamp_ntz'{period.end}'"
+    ).selectExpr(
+        "email",
+        "last_name AS name",
+        "pi_last_name AS pi_name",
+        "power_user",
+        "cast(end_timestamp AS date) AS end_date",
+        "start_timestamp AS ts",
+        f"{USER_REQUEST} AS src_rank",
+        _seq(forms.user),
     )
-    updates = forms.user_update.where(F.col("timestamp") < last_day).select(
-        F.col("email"),
-        F.col("last_name").alias("name"),
-        F.col("pi_last_name").alias("pi_name"),
-        F.col("new_power_user").alias("power_user"),
-        F.to_date("new_end_timestamp").alias("end_date"),
-        F.col("timestamp").alias("ts"),
-        F.lit(USER_UPDATE).alias("src_rank"),
-        _seq(forms.user_update).alias("seq"),
+    updates = forms.user_update.where(
+        f"timestamp < timestamp_ntz'{period.end}'"
+    ).selectExpr(
+        "email",
+        "last_name AS name",
+        "pi_last_name AS pi_name",
+        "new_power_user AS power_user",
+        "cast(new_end_timestamp AS date) AS end_date",
+        "timestamp AS ts",
+        f"{USER_UPDATE} AS src_rank",
+        _seq(forms.user_update),
     )
-    from_pi = pi_requests(forms, period).select(
-        F.col("email"),
-        F.col("pi").alias("name"),
-        F.col("pi").alias("pi_name"),
-        F.col("power_user"),
-        F.lit(None).cast("date").alias("end_date"),
-        F.col("ts"),
-        F.lit(PI_REQUEST).alias("src_rank"),
-        F.col("seq"),
+    from_pi = pi_requests(forms, period).selectExpr(
+        "email",
+        "pi AS name",
+        "pi AS pi_name",
+        "power_user",
+        "cast(NULL AS date) AS end_date",
+        "ts",
+        f"{PI_REQUEST} AS src_rank",
+        "seq",
     )
     from_closure = (
         pi_updates(forms, period)
         .where("account_closed")
-        .select(
-            F.col("email"),
-            F.col("pi").alias("name"),
-            F.lit(None).cast("string").alias("pi_name"),
-            F.lit(None).cast("boolean").alias("power_user"),
-            F.col("date").alias("end_date"),
-            F.col("ts"),
-            F.lit(PI_CLOSURE).alias("src_rank"),
-            F.col("seq"),
+        .selectExpr(
+            "email",
+            "pi AS name",
+            "cast(NULL AS string) AS pi_name",
+            "cast(NULL AS boolean) AS power_user",
+            "date AS end_date",
+            "ts",
+            f"{PI_CLOSURE} AS src_rank",
+            "seq",
         )
     )
-    return (
-        requests.unionByName(updates)
-        .unionByName(from_pi)
-        .unionByName(from_closure)
-        .withColumn("date", F.to_date("ts"))
-        .withColumn("is_request", F.col("src_rank").isin(USER_REQUEST, PI_REQUEST))
-    )
+    return reduce(
+        DataFrame.unionByName, [requests, updates, from_pi, from_closure]
+    ).selectExpr("*", "cast(ts AS date) AS date", "src_rank % 2 = 0 AS is_request")

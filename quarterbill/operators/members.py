@@ -2,34 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterbill.functions.periods import Period
 from quarterbill.operators.spread import spread_join
 
 
-def _days_inside(start: Column, end: Column, period: Period) -> Column:
+def _days_inside(start: str, end: str, period: Period) -> str:
     """Days of a closed interval with an optional end that lie in the period."""
-    last = F.least(F.coalesce(end, F.lit(period.end)), F.lit(period.end))
-    first = F.greatest(start, F.lit(period.start))
-    return F.greatest(F.date_diff(last, first) + 1, F.lit(0))
+    last = f"least({end}, date'{period.end}')"
+    first = f"greatest({start}, date'{period.start}')"
+    return f"greatest(date_diff({last}, {first}) + 1, 0)"
 
 
 def in_period(segment_rows: DataFrame, period: Period) -> DataFrame:
     """Segments with a day in the period, with their days and those of their term."""
-    term = Window.partitionBy("email", "term_no")
     return (
-        segment_rows.withColumn(
-            "days", _days_inside(F.col("from_date"), F.col("to_date"), period)
+        segment_rows.selectExpr(
+            "*",
+            _days_inside("from_date", "to_date", period) + " AS days",
+            _days_inside("start", "end", period) + " AS active_days",
         )
-        .where(F.col("days") > 0)
-        .withColumn(
-            "active_days", _days_inside(F.col("start"), F.col("end"), period)
-        )
-        .withColumn(
-            "power_days",
-            F.sum(F.when(F.col("power_user"), F.col("days")).otherwise(0)).over(term),
+        .where("days > 0")
+        .selectExpr(
+            "*",
+            """sum(if(power_user, days, 0)) OVER (PARTITION BY email, term_no)
+               AS power_days""",
         )
     )
 
@@ -40,29 +39,19 @@ def memberships(rows: DataFrame) -> DataFrame:
     Active and power days count every day of the terms that qualify, whichever PI the
     person had on that day.
     """
-    total = lambda field: F.aggregate(
-        "terms", F.lit(0).cast("long"), lambda days, term: days + term[field]
-    )
+    term = F.struct("start", "term_no", "end", "name", "active_days", "power_days")
     return (
-        rows.where(F.col("pi_name").isNotNull())
+        rows.where("pi_name IS NOT NULL")
         .groupBy("email", F.col("pi_name").alias("pi"))
-        .agg(
-            F.sort_array(
-                F.collect_set(
-                    F.struct(
-                        "start", "term_no", "end", "name", "active_days", "power_days"
-                    )
-                )
-            ).alias("terms")
-        )
-        .select(
+        .agg(F.sort_array(F.collect_set(term)).alias("terms"))
+        .selectExpr(
             "pi",
             "email",
             "terms",
-            F.get("terms", F.lit(0))["name"].alias("name"),
-            F.get("terms", F.lit(0))["start"].alias("first_start"),
-            total("active_days").alias("active_days"),
-            total("power_days").alias("power_days"),
+            "terms[0].name AS name",
+            "terms[0].start AS first_start",
+            "aggregate(terms, 0L, (days, term) -> days + term.active_days) AS active_days",
+            "aggregate(terms, 0L, (days, term) -> days + term.power_days) AS power_days",
         )
     )
 
@@ -79,14 +68,11 @@ def power_members(segment_rows: DataFrame, period: Period) -> DataFrame:
 
 def holders(pis: DataFrame) -> DataFrame:
     """One row per PI with a kept project: the one that holds its power users."""
-    is_first = F.col("first_kept")
-    return pis.where(F.col("holder_id").isNotNull()).select(
+    return pis.where("holder_id IS NOT NULL").selectExpr(
         "pi",
-        F.col("holder_id").alias("project_id"),
-        F.when(is_first, F.col("first.open_date"))
-        .otherwise(F.col("second.open_date"))
-        .alias("open_date"),
-        F.when(is_first, F.col("close_date")).alias("close_date"),
+        "holder_id AS project_id",
+        "if(first_kept, first.open_date, second.open_date) AS open_date",
+        "if(first_kept, close_date, NULL) AS close_date",
     )
 
 
@@ -103,13 +89,6 @@ def members_of_kept(members: DataFrame, pis: DataFrame, **spread: object) -> Dat
 
 def one_row_per_term(members: DataFrame) -> DataFrame:
     """Flatten the terms of each member."""
-    return members.select(
-        *[c for c in members.columns if c not in ("terms", "name")],
-        F.explode("terms").alias("term"),
-    ).select(
-        "*",
-        F.col("term.name").alias("name"),
-        F.col("term.term_no").alias("term_no"),
-        F.col("term.start").alias("start"),
-        F.col("term.end").alias("end"),
-    ).drop("term")
+    return members.selectExpr("* EXCEPT (terms, name)", "explode(terms) AS term").selectExpr(
+        "* EXCEPT (term)", "term.name", "term.term_no", "term.start", "term.end"
+    )

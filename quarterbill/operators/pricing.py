@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterbill.functions.periods import Period
@@ -11,26 +11,26 @@ from quarterbill.operators import members as m
 from quarterbill.operators.spread import spread_join
 
 
-def is_billable(period: Period) -> Column:
+def is_billable(period: Period) -> str:
     """Opened by the end of the period, and not closed by the late cutoff."""
-    close = F.col("close_date")
-    return (F.col("open_date") <= F.lit(period.end)) & (
-        close.isNull() | (close > F.lit(period.late_cutoff))
+    return (
+        f"open_date <= date'{period.end}'"
+        f" AND (close_date IS NULL OR close_date > date'{period.late_cutoff}')"
     )
 
 
-def storage_amount(period: Period) -> Column:
-    """Terabytes billed: the lesser of both cutoffs, none when opened after the first."""
-    return F.when(
-        F.col("open_date") > F.lit(period.early_cutoff), F.lit(0.0)
-    ).otherwise(F.least("storage_early", "storage_late"))
-
-
 def storage_charges(projects: DataFrame, period: Period, policy: Policy) -> DataFrame:
-    """Billable projects with their storage amount and price."""
+    """Billable projects with their storage amount and price.
+
+    The amount is the lesser of both cutoffs, and none when opened after the first.
+    """
     return (
         projects.where(is_billable(period))
-        .withColumn("storage_amount", storage_amount(period))
+        .selectExpr(
+            "*",
+            f"""if(open_date > date'{period.early_cutoff}', 0D,
+                   least(storage_early, storage_late)) AS storage_amount""",
+        )
         .withColumn(
             "storage_price",
             F.col("storage_amount") * policy.storage_per_tb * policy.year_share,
@@ -40,7 +40,7 @@ def storage_charges(projects: DataFrame, period: Period, policy: Policy) -> Data
 
 def charged(members: DataFrame, period: Period) -> DataFrame:
     """Mark the members with enough days as a power user."""
-    return members.withColumn("charged", F.col("power_days") >= period.min_days)
+    return members.selectExpr("*", f"power_days >= {period.min_days} AS charged")
 
 
 def compute_per_pi(members: DataFrame, policy: Policy) -> DataFrame:
@@ -48,15 +48,19 @@ def compute_per_pi(members: DataFrame, policy: Policy) -> DataFrame:
 
     The price needs only the count of charged users, so nothing is ranked.
     """
-    billed = F.count_if("charged")
-    more = (F.greatest(billed, F.lit(1)) - 1) * policy.additional_power_user
-    first = F.when(billed > 0, F.lit(policy.first_power_user)).otherwise(0.0)
+    first = policy.first_power_user * policy.year_share
+    more = policy.additional_power_user * policy.year_share
     return members.groupBy("pi").agg(
-        F.count(F.lit(1)).alias("power_users"),
-        billed.alias("billed_power_users"),
-        ((first + more) * policy.year_share).alias("compute_price"),
-        F.min(F.when(F.col("charged"), F.struct("first_start", "email")))["email"].alias(
-            "first_charged"
+        F.expr("count(*) AS power_users"),
+        F.expr("count_if(charged) AS billed_power_users"),
+        F.expr(
+            f"""CASE WHEN count_if(charged) = 0 THEN 0D
+                     ELSE {first}D + (count_if(charged) - 1) * {more}D END
+                AS compute_price"""
+        ),
+        F.expr(
+            "(min(struct(first_start, email)) FILTER (WHERE charged)).email"
+            " AS first_charged"
         ),
     )
 
@@ -76,18 +80,6 @@ def priced_members(
         .select("pi", "project_id", "open_date")
         .join(per_pi.select("pi", "power_users", "first_charged"), "pi")
     )
-    is_first = F.col("email") == F.col("first_charged")
-    price = (
-        F.when(~F.col("charged"), F.lit(0.0))
-        .when(is_first, F.lit(policy.first_power_user))
-        .otherwise(F.lit(policy.additional_power_user))
-        * policy.year_share
-    )
-    tier = (
-        F.when(~F.col("charged"), F.lit("none"))
-        .when(is_first, F.lit("first"))
-        .otherwise(F.lit("additional"))
-    )
     return (
         spread_join(
             members,
@@ -97,9 +89,18 @@ def priced_members(
             counts=per_pi.select("pi", F.col("power_users").alias("n")),
             **spread,
         )
-        .withColumn("tier", tier)
-        .withColumn("price", price)
-        .drop("first_charged")
+        .selectExpr(
+            "* EXCEPT (first_charged)",
+            """CASE WHEN NOT charged THEN 'none' WHEN email = first_charged THEN 'first'
+                    ELSE 'additional' END AS tier""",
+        )
+        .selectExpr(
+            "*",
+            f"""CASE tier WHEN 'first' THEN {policy.first_power_user * policy.year_share}D
+                     WHEN 'additional'
+                     THEN {policy.additional_power_user * policy.year_share}D
+                     ELSE 0D END AS price""",
+        )
     )
 
 
@@ -110,8 +111,6 @@ def quarter_charges(projects: DataFrame, period: Period, policy: Policy) -> Data
     """
     return (
         storage_charges(projects, period, policy)
-        .withColumn("power_users", F.coalesce("power_users", F.lit(0)))
-        .withColumn("billed_power_users", F.coalesce("billed_power_users", F.lit(0)))
-        .withColumn("compute_price", F.coalesce("compute_price", F.lit(0.0)))
-        .withColumn("total_price", F.col("storage_price") + F.col("compute_price"))
+        .na.fill(0, ["power_users", "billed_power_users", "compute_price"])
+        .selectExpr("*", "storage_price + compute_price AS total_price")
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterbill.functions.periods import Period
@@ -16,8 +16,6 @@ from quarterbill.operators import events
 from quarterbill.operators.spread import spread_join
 from quarterbill.sources.forms import Forms
 
-IDENTITY = ["pi", "open_date", "email", "speed_code", "storage"]
-
 
 @dataclass(frozen=True, kw_only=True)
 class ProjectLog:
@@ -37,21 +35,15 @@ def opened_projects(forms: Forms, period: Period) -> DataFrame:
     """One row per project; equal requests of one day are one project."""
     return (
         events.pi_requests(forms, period)
-        .where(F.col("pi").isNotNull())
+        .where("pi IS NOT NULL")
         .groupBy("pi", F.col("date").alias("open_date"), "email", "speed_code", "storage")
         .agg(F.min("ts").alias("open_ts"))
-        .withColumn("project_id", _project_id())
-    )
-
-
-def _project_id() -> Column:
-    return F.concat_ws(
-        "|",
-        F.col("pi"),
-        F.col("open_date").cast("string"),
-        F.coalesce("email", F.lit("")),
-        F.coalesce("speed_code", F.lit("")),
-        F.coalesce(F.col("storage").cast("decimal(24,6)").cast("string"), F.lit("")),
+        .selectExpr(
+            "*",
+            """concat_ws('|', pi, open_date, coalesce(email, ''), coalesce(speed_code, ''),
+                 coalesce(cast(cast(storage AS decimal(24,6)) AS string), ''))
+               AS project_id""",
+        )
     )
 
 
@@ -61,19 +53,19 @@ def first_projects(opened: DataFrame) -> DataFrame:
     The rank filter is applied before the shuffle too, so a PI with any number of
     projects sends two of them per task.
     """
-    order = Window.partitionBy("pi").orderBy(
-        "open_date", "open_ts", "email", "speed_code", "storage"
-    )
-    project = F.struct(
-        "project_id", "open_date", "open_ts", "email", "speed_code", "storage"
-    )
+    project = "struct(project_id, open_date, open_ts, email, speed_code, storage)"
     return (
-        opened.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= 2)
+        opened.selectExpr(
+            "pi",
+            f"{project} AS project",
+            """row_number() OVER (PARTITION BY pi ORDER BY open_date, open_ts, email,
+                                  speed_code, storage) AS place""",
+        )
+        .where("place <= 2")
         .groupBy("pi")
         .agg(
-            F.max(F.when(F.col("place") == 1, project)).alias("first"),
-            F.max(F.when(F.col("place") == 2, project)).alias("second"),
+            F.expr("any_value(project) FILTER (WHERE place = 1) AS first"),
+            F.expr("any_value(project) FILTER (WHERE place = 2) AS second"),
         )
     )
 
@@ -82,7 +74,7 @@ def closures(forms: Forms, period: Period) -> DataFrame:
     """One row per PI that asked to close: the time of the last such request."""
     return (
         events.pi_updates(forms, period)
-        .where(F.col("account_closed") & F.col("pi").isNotNull())
+        .where("account_closed AND pi IS NOT NULL")
         .groupBy("pi")
         .agg(F.max("ts").alias("closed_ts"))
     )
@@ -97,24 +89,19 @@ def pi_table(opened: DataFrame, closed: DataFrame, period: Period) -> DataFrame:
     return (
         first_projects(opened)
         .join(closed, "pi", "left")
-        .withColumn(
-            "close_date",
-            F.when(
-                F.col("closed_ts") >= F.col("first.open_ts"), F.to_date("closed_ts")
-            ),
+        .selectExpr(
+            "pi",
+            "first",
+            "second",
+            "CASE WHEN closed_ts >= first.open_ts THEN cast(closed_ts AS date) END"
+            " AS close_date",
         )
-        .withColumn(
-            "first_kept",
-            F.col("close_date").isNull()
-            | (F.col("close_date") >= F.lit(period.start)),
+        .selectExpr(
+            "*", f"coalesce(close_date >= date'{period.start}', true) AS first_kept"
         )
-        .withColumn(
-            "holder_id",
-            F.when(F.col("first_kept"), F.col("first.project_id")).otherwise(
-                F.col("second.project_id")
-            ),
+        .selectExpr(
+            "*", "if(first_kept, first.project_id, second.project_id) AS holder_id"
         )
-        .drop("closed_ts")
     )
 
 
@@ -124,16 +111,16 @@ def distinct_updates(firsts: DataFrame, updates: DataFrame) -> DataFrame:
     The opening of the PI's first project is one of them. `update_ts` is the earliest
     time at which an update form, not the opening, asked for it.
     """
-    opening = firsts.select(
+    opening = firsts.selectExpr(
         "pi",
-        F.col("first.open_date").alias("date"),
-        F.col("first.speed_code").alias("speed_code"),
-        F.col("first.storage").alias("storage"),
-        F.col("first.open_ts").alias("ts"),
-        F.lit(None).cast("timestamp_ntz").alias("update_ts"),
+        "first.open_date AS date",
+        "first.speed_code",
+        "first.storage",
+        "first.open_ts AS ts",
+        "cast(NULL AS timestamp_ntz) AS update_ts",
     )
-    asked = updates.where(F.col("pi").isNotNull()).select(
-        "pi", "date", "speed_code", "storage", "ts", F.col("ts").alias("update_ts")
+    asked = updates.where("pi IS NOT NULL").selectExpr(
+        "pi", "date", "speed_code", "storage", "ts", "ts AS update_ts"
     )
     return (
         opening.unionByName(asked)
@@ -145,13 +132,10 @@ def distinct_updates(firsts: DataFrame, updates: DataFrame) -> DataFrame:
 def update_days(distinct: DataFrame) -> DataFrame:
     """One row per PI and day: storage added, the day's last speed code."""
     return distinct.groupBy("pi", "date").agg(
-        F.sum(F.coalesce("storage", F.lit(0.0))).alias("storage"),
-        F.max(
-            F.when(
-                F.coalesce(F.col("speed_code"), F.lit("")) != "",
-                F.struct("date", "ts", "speed_code"),
-            )
-        ).alias("code"),
+        F.expr("sum(coalesce(storage, 0D)) AS day_storage"),
+        F.expr(
+            "max(struct(date, ts, speed_code)) FILTER (WHERE speed_code <> '') AS code"
+        ),
         F.min("update_ts").alias("update_ts"),
     )
 
@@ -166,9 +150,12 @@ def read_log(forms: Forms, period: Period) -> ProjectLog:
     return ProjectLog(opened=opened, pis=pis, days=update_days(distinct))
 
 
-def _storage_on(day: Column) -> Column:
-    added = F.when(F.col("date") <= day, F.col("day_storage"))
-    return F.coalesce(F.sum(added), F.lit(0.0))
+def _cutoffs(period: Period) -> dict[str, str]:
+    days = {"storage_end": f"date'{period.end}'"}
+    if period.early_cutoff:
+        days["storage_early"] = f"date'{period.early_cutoff}'"
+        days["storage_late"] = f"date'{period.late_cutoff}'"
+    return days
 
 
 def first_project_state(log: ProjectLog, period: Period) -> DataFrame:
@@ -177,18 +164,23 @@ def first_project_state(log: ProjectLog, period: Period) -> DataFrame:
     Updates dated before the project opened are left to the checks. At the end of the
     period the storage of a closed project is that of its close date.
     """
-    days = log.days.withColumnRenamed("storage", "day_storage")
-    sums = [_storage_on(F.least(F.lit(period.end), "close_date")).alias("storage_end")]
-    if period.early_cutoff:
-        sums += [
-            _storage_on(F.lit(period.early_cutoff)).alias("storage_early"),
-            _storage_on(F.lit(period.late_cutoff)).alias("storage_late"),
-        ]
+    # A project billed at a cutoff is open then, so the close date only bears on the end.
+    last = {name: day for name, day in _cutoffs(period).items()}
+    last["storage_end"] = f"least({last['storage_end']}, close_date)"
+    sums = [
+        F.expr(f"coalesce(sum(day_storage) FILTER (WHERE date <= {day}), 0D) AS {name}")
+        for name, day in last.items()
+    ]
+    carried = ["first", "second", "close_date", "first_kept", "holder_id"]
     return (
-        days.join(log.pis, "pi")
-        .where(F.col("date") >= F.col("first.open_date"))
-        .groupBy("pi", "first", "second", "close_date", "first_kept", "holder_id")
-        .agg(*sums, F.max("code")["speed_code"].alias("speed_code"))
+        log.days.join(log.pis, "pi")
+        .where("date >= first.open_date")
+        .groupBy("pi")
+        .agg(
+            *[F.any_value(name).alias(name) for name in carried],
+            *sums,
+            F.expr("max(code).speed_code AS speed_code"),
+        )
     )
 
 
@@ -205,74 +197,54 @@ def projects(
     if per_holder is not None:
         state = state.join(per_holder, "pi", "left")
         extra = [c for c in per_holder.columns if c != "pi"]
-    cutoffs = ["storage_early", "storage_late"] if period.early_cutoff else []
-    known = ["close_date", "first_kept", "storage_end", "speed_code", *cutoffs]
-
-    # At most two projects of a PI differ from what their own request says.
-    def mark(project: str, *, is_first: bool) -> Column:
-        holds = F.col(f"{project}.project_id") == F.col("holder_id")
-        return F.struct(
-            F.col(f"{project}.project_id").alias("project_id"),
-            F.coalesce(holds, F.lit(False)).alias("has_power_users"),
-            *[
-                (F.col(c) if is_first else F.lit(None)).alias(f"first_{c}")
-                for c in known
-            ],
-            F.lit(is_first).alias("is_first"),
-            *[F.when(holds, F.col(c)).alias(c) for c in extra],
-        )
+    cutoffs = _cutoffs(period)
 
+    # At most two projects of a PI differ from what their own request says, so the
+    # state goes back to the projects by project and not by PI.
     marks = (
-        state.select(
-            F.explode(
-                F.array(
-                    mark("first", is_first=True), mark("second", is_first=False)
-                )
-            ).alias("mark")
+        state.selectExpr(
+            "*",
+            """explode(array(
+                 struct(first.project_id, first.project_id <=> holder_id AS holds,
+                        true AS is_first),
+                 struct(second.project_id, second.project_id <=> holder_id AS holds,
+                        false AS is_first))) AS mark""",
+        )
+        .where("mark.project_id IS NOT NULL")
+        .selectExpr(
+            "mark.project_id",
+            "mark.holds",
+            "mark.is_first",
+            "if(mark.is_first, close_date, NULL) AS close_date",
+            "NOT mark.is_first OR first_kept AS kept",
+            "speed_code AS state_code",
+            *[f"{c} AS state_{c}" for c in cutoffs],
+            *[f"if(mark.holds, {c}, NULL) AS {c}" for c in extra],
         )
-        .select("mark.*")
-        .where(F.col("project_id").isNotNull())
     )
-
-    def own_storage(day: object) -> Column:
-        return F.when(F.col("open_date") <= F.lit(day), F.col("storage")).otherwise(0.0)
-
-    days = {"storage_end": period.end}
-    if period.early_cutoff:
-        days["storage_early"] = period.early_cutoff
-        days["storage_late"] = period.late_cutoff
-    is_first = F.coalesce("is_first", F.lit(False))
     return (
         log.opened.join(marks, "project_id", "left")
-        .where(F.coalesce("first_first_kept", F.lit(True)))
-        .select(
+        .where("coalesce(kept, true)")
+        .selectExpr(
             "project_id",
             "pi",
-            F.col("pi").alias("pi_full_name"),
+            "pi AS pi_full_name",
             "email",
             "open_date",
             "open_ts",
-            F.col("first_close_date").alias("close_date"),
-            F.coalesce("has_power_users", F.lit(False)).alias("has_power_users"),
+            "close_date",
+            "coalesce(holds, false) AS has_power_users",
             *[
-                F.when(is_first, F.col(f"first_{c}"))
-                .otherwise(F.coalesce(own_storage(d), F.lit(0.0)))
-                .alias(c)
-                for c, d in days.items()
+                f"CASE WHEN is_first THEN state_{c} WHEN open_date <= {day}"
+                f" THEN coalesce(storage, 0D) ELSE 0D END AS {c}"
+                for c, day in cutoffs.items()
             ],
-            F.when(is_first, F.col("first_speed_code"))
-            .otherwise(F.col("speed_code"))
-            .alias("speed_code"),
+            "if(coalesce(is_first, false), state_code, speed_code) AS speed_code",
             *extra,
         )
     )
 
 
-def active_on(day: Column, start: Column, end: Column) -> Column:
-    """Closed interval with an optional end."""
-    return (start <= day) & (end.isNull() | (end >= day))
-
-
 def project_updates(forms: Forms, period: Period) -> DataFrame:
     """The distinct dated updates of every project, joined to the project.
 
@@ -281,19 +253,17 @@ def project_updates(forms: Forms, period: Period) -> DataFrame:
     opened = opened_projects(forms, period)
     firsts = first_projects(opened)
     distinct = distinct_updates(firsts, events.pi_updates(forms, period))
-    targets = firsts.select(
-        "pi",
-        F.col("first.project_id").alias("project_id"),
-        F.col("first.open_date").alias("open_date"),
-    )
+    targets = firsts.selectExpr("pi", "first.project_id", "first.open_date")
     to_first = (
-        spread_join(distinct, targets, "pi", spread_by=["date", "speed_code", "storage"])
-        .where(F.col("date") >= F.col("open_date"))
+        spread_join(
+            distinct, targets, "pi", spread_by=["date", "speed_code", "storage"]
+        )
+        .where("date >= open_date")
         .select("project_id", "pi", "date", "speed_code", "storage")
     )
     others = opened.join(targets.select("project_id"), "project_id", "left_anti")
     return to_first.unionByName(
-        others.select(
-            "project_id", "pi", F.col("open_date").alias("date"), "speed_code", "storage"
+        others.selectExpr(
+            "project_id", "pi", "open_date AS date", "speed_code", "storage"
         )
     )

@@ -11,46 +11,38 @@ order; such days are taken out by a size-checked join and sorted on their own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterbill.functions.periods import Period
 
 MOST_BROADCAST_DAYS = 500_000
 
-REPLAY_ORDER = ["ts", "src_rank", "seq", "end_date", "pi_name", "power_user"]
+REPLAY_ORDER = "ts, src_rank, seq, end_date, pi_name, power_user"
+SETS_END = "(is_request OR end_date IS NOT NULL)"
+BACKDATED = "coalesce(end_date < date, false)"
 
 
-def _sets_end() -> Column:
-    return F.col("is_request") | F.col("end_date").isNotNull()
-
-
-def _ends_before_today() -> Column:
-    return F.coalesce(F.col("end_date") < F.col("date"), F.lit(False))
-
-
-def _latest(when: Column, field: str) -> Column:
-    return F.max(F.when(when, F.struct(*REPLAY_ORDER)))[field]
+def _latest(field: str, when: str) -> str:
+    return f"(max(struct({REPLAY_ORDER})) FILTER (WHERE {when})).{field}"
 
 
 def _day_columns() -> list[Column]:
-    event = F.struct(*REPLAY_ORDER)
-    first = F.min(event)
-    marker = F.max(F.when(_sets_end(), event))
+    marker = f"max(struct({REPLAY_ORDER})) FILTER (WHERE {SETS_END})"
     return [
-        F.max("is_request").alias("has_request"),
-        # Sources with an odd rank are updates.
-        (first["src_rank"] % 2 == 1).alias("update_first"),
-        (first["end_date"].isNotNull()).alias("first_sets_end"),
-        F.min(F.when(F.col("is_request"), F.struct(event.alias("event"), "name")))[
-            "name"
-        ].alias("name"),
-        # A struct, since a request without an end also sets one (to none).
-        F.when(marker.isNotNull(), F.struct(marker["end_date"].alias("end"))).alias(
-            "marker"
-        ),
-        _latest(F.col("pi_name").isNotNull(), "pi_name").alias("pi_name"),
-        _latest(F.col("power_user").isNotNull(), "power_user").alias("power_user"),
+        F.expr(column)
+        for column in (
+            "bool_or(is_request) AS has_request",
+            f"min(struct({REPLAY_ORDER})).src_rank % 2 = 1 AS update_first",
+            f"min(struct({REPLAY_ORDER})).end_date IS NOT NULL AS first_sets_end",
+            f"(min(struct({REPLAY_ORDER}, name)) FILTER (WHERE is_request)).name AS name",
+            # A struct, since a request without an end also sets one (to none).
+            f"""CASE WHEN bool_or({SETS_END})
+                     THEN named_struct('end', ({marker}).end_date) END AS marker""",
+            _latest("pi_name", "pi_name IS NOT NULL") + " AS pi_name",
+            _latest("power_user", "power_user IS NOT NULL") + " AS power_user",
+            f"bool_or({BACKDATED}) AS backdated",
+        )
     ]
 
 
@@ -61,63 +53,60 @@ def day_states(events: DataFrame) -> DataFrame:
     began a new one; `split_end` is the end of the old term, the other two are what the
     new term was given.
     """
-    events = events.where(F.col("email").isNotNull() & F.col("ts").isNotNull())
+    events = events.where("email IS NOT NULL AND ts IS NOT NULL")
     plain = (
         events.groupBy("email", "date")
-        .agg(*_day_columns(), F.max(_ends_before_today()).alias("backdated"))
-        .select(
+        .agg(*_day_columns())
+        .selectExpr(
             "*",
-            F.lit(None).cast("date").alias("split_end"),
-            F.lit(None).cast("string").alias("split_pi"),
-            F.lit(None).cast("boolean").alias("split_power"),
-            F.lit(0).alias("splits"),
-            F.lit(None).cast("boolean").alias("split_sets_end"),
-            F.lit(None).cast("date").alias("lowest_before"),
-            F.lit(None).cast("date").alias("lowest_after"),
+            "cast(NULL AS date) AS split_end",
+            "cast(NULL AS string) AS split_pi",
+            "cast(NULL AS boolean) AS split_power",
+            "0 AS splits",
+            "false AS split_sets_end",
+            "cast(NULL AS date) AS lowest_before",
+            "cast(NULL AS date) AS lowest_after",
         )
     )
-    backdated = events.where(_ends_before_today()).select("email", "date").distinct()
+    backdated = events.where(BACKDATED).select("email", "date").distinct()
     size = backdated.limit(MOST_BROADCAST_DAYS + 1).count()
     if size == 0:
         return plain
     if size <= MOST_BROADCAST_DAYS:
         backdated = F.broadcast(backdated)
     ordered = _ordered_days(events.join(backdated, ["email", "date"], "left_semi"))
-    return plain.where(~F.col("backdated")).unionByName(ordered)
+    return plain.where("NOT backdated").unionByName(ordered)
 
 
 def _ordered_days(events: DataFrame) -> DataFrame:
-    by_time = Window.partitionBy("email", "date").orderBy(*REPLAY_ORDER)
-    so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
-    marker = F.when(_sets_end(), F.struct(F.col("end_date").alias("end")))
-    starts = F.coalesce(
-        ~F.col("is_request") & (F.col("earlier.end") < F.col("date")), F.lit(False)
+    by_time = f"PARTITION BY email, date ORDER BY {REPLAY_ORDER}"
+    first_split = "starts AND split_no = 1"
+    more = (
+        f"max(earlier.end) FILTER (WHERE {first_split}) AS split_end",
+        _latest("pi_name", "split_no > 0 AND pi_name IS NOT NULL") + " AS split_pi",
+        _latest("power_user", "split_no > 0 AND power_user IS NOT NULL")
+        + " AS split_power",
+        "cast(max(split_no) AS int) AS splits",
+        f"""coalesce(bool_or(end_date IS NOT NULL) FILTER (WHERE {first_split}), false)
+            AS split_sets_end""",
+        "min(end_date) FILTER (WHERE split_no = 0) AS lowest_before",
+        "min(end_date) FILTER (WHERE split_no > 0) AS lowest_after",
     )
-    before = F.col("split_no") == 0
-    first_split = F.col("starts") & (F.col("split_no") == 1)
     return (
-        events.withColumn("earlier", F.last(marker, ignorenulls=True).over(earlier))
-        .withColumn("starts", starts)
-        .withColumn("split_no", F.sum(F.col("starts").cast("int")).over(so_far))
-        .groupBy("email", "date")
-        .agg(
-            *_day_columns(),
-            F.max(_ends_before_today()).alias("backdated"),
-            F.max(F.when(first_split, F.col("earlier.end"))).alias("split_end"),
-            _latest(~before & F.col("pi_name").isNotNull(), "pi_name").alias(
-                "split_pi"
-            ),
-            _latest(~before & F.col("power_user").isNotNull(), "power_user").alias(
-                "split_power"
-            ),
-            F.max("split_no").cast("int").alias("splits"),
-            F.max(F.when(first_split, F.col("end_date").isNotNull())).alias(
-                "split_sets_end"
-            ),
-            F.min(F.when(before, F.col("end_date"))).alias("lowest_before"),
-            F.min(F.when(~before, F.col("end_date"))).alias("lowest_after"),
+        events.selectExpr(
+            "*",
+            f"""last(CASE WHEN {SETS_END} THEN named_struct('end', end_date) END)
+                IGNORE NULLS OVER ({by_time}
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier""",
         )
+        .selectExpr("*", "coalesce(NOT is_request AND earlier.end < date, false) AS starts")
+        .selectExpr(
+            "*",
+            f"""sum(cast(starts AS int)) OVER ({by_time}
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS split_no""",
+        )
+        .groupBy("email", "date")
+        .agg(*_day_columns(), *[F.expr(column) for column in more])
     )
 
 
@@ -127,46 +116,32 @@ def walk_days(days: DataFrame) -> DataFrame:
     Keeps the days before a person's first request (`known` is false there), which
     only the checks look at.
     """
-    by_day = Window.partitionBy("email").orderBy("date")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = by_day.rowsBetween(Window.unboundedPreceding, -1)
-    known_before = F.coalesce(F.max("has_request").over(earlier), F.lit(False))
-    lapsed = F.coalesce(F.col("prior.end") < F.col("date"), F.lit(False))
+    by_day = "PARTITION BY email ORDER BY date"
+    so_far = f"({by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    earlier = f"({by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     return (
-        days.withColumn("known_before", known_before)
-        .withColumn("known", F.col("known_before") | F.col("has_request"))
-        .withColumn("creates", F.col("known") & ~F.col("known_before"))
-        .withColumn("marker", F.when(F.col("known"), F.col("marker")))
-        .withColumn("prior", F.last("marker", ignorenulls=True).over(earlier))
-        .withColumn(
-            "reopens", F.col("known_before") & F.col("update_first") & lapsed
-        )
-        .withColumn(
-            "divides",
-            F.col("known_before") & ~F.col("reopens") & F.col("split_end").isNotNull(),
-        )
-        .withColumn(
-            "new_term", F.col("creates") | F.col("reopens") | F.col("divides")
-        )
-        .withColumn(
-            "term_no", F.sum(F.col("new_term").cast("int")).over(so_far) - 1
+        days.selectExpr(
+            "*",
+            f"coalesce(bool_or(has_request) OVER {earlier}, false) AS known_before",
+            f"last(marker) IGNORE NULLS OVER {earlier} AS prior",
+            f"last(marker) IGNORE NULLS OVER {so_far} AS after",
+            f"first(name) IGNORE NULLS OVER {so_far} AS first_name",
         )
-        .withColumn("end_after", F.last("marker", ignorenulls=True).over(so_far)["end"])
-        .withColumn(
-            "prior_start",
-            F.last(F.when(F.col("new_term"), F.col("date")), ignorenulls=True).over(
-                earlier
-            ),
+        .selectExpr(
+            "*",
+            "known_before OR has_request AS known",
+            "has_request AND NOT known_before AS creates",
+            "known_before AND update_first AND coalesce(prior.end < date, false) AS reopens",
         )
-        .withColumn(
-            "cut_by_next",
-            F.lead(F.when(F.col("divides"), F.col("split_end"))).over(by_day),
+        .selectExpr(
+            "*", "known_before AND NOT reopens AND split_end IS NOT NULL AS divides"
         )
-        .withColumn(
-            "first_name",
-            F.first(F.when(F.col("creates"), F.col("name")), ignorenulls=True).over(
-                so_far
-            ),
+        .selectExpr("*", "creates OR reopens OR divides AS new_term")
+        .selectExpr(
+            "*",
+            f"sum(cast(new_term AS int)) OVER {so_far} - 1 AS term_no",
+            f"max(CASE WHEN new_term THEN date END) OVER {earlier} AS prior_start",
+            f"lead(CASE WHEN divides THEN split_end END) OVER ({by_day}) AS cut_by_next",
         )
     )
 
@@ -177,85 +152,75 @@ def segments(days: DataFrame) -> DataFrame:
     Both ends are closed, a null end is open. Terms that end before they start, which
     the checks report, have none.
     """
-    in_term = Window.partitionBy("email", "term_no").orderBy("date")
-    whole_term = in_term.rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    term_so_far = in_term.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = (
-        Window.partitionBy("email")
-        .orderBy("term_no", "date")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counts = F.col("end").isNull() | (F.col("date") <= F.col("end"))
-    rows = (
+    in_term = "PARTITION BY email, term_no ORDER BY date"
+    whole = f"({in_term} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    so_far = f"({in_term} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    earlier = """(PARTITION BY email ORDER BY term_no, date
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+    def given(name: str) -> str:
+        # A reinstated term takes what it is not given from the old term's last day.
+        return f"""CASE WHEN new_term THEN coalesce({name},
+                     last(CASE WHEN end IS NULL OR date <= end THEN {name} END)
+                       IGNORE NULLS OVER {earlier})
+                   ELSE {name} END AS {name}"""
+
+    return (
         walk_days(days)
         .where("known")
-        .withColumn(
-            "pi_name",
-            F.when(F.col("divides"), F.col("split_pi")).otherwise(F.col("pi_name")),
-        )
-        .withColumn(
-            "power_user",
-            F.when(F.col("divides"), F.col("split_power")).otherwise(
-                F.col("power_user")
-            ),
-        )
-        .select(
+        .selectExpr(
             "email",
-            F.col("first_name").alias("name"),
+            "first_name AS name",
             "term_no",
             "date",
             "new_term",
-            "pi_name",
-            "power_user",
-            F.first("date").over(whole_term).alias("start"),
-            F.last(F.coalesce("cut_by_next", "end_after")).over(whole_term).alias("end"),
+            "if(divides, split_pi, pi_name) AS pi_name",
+            "if(divides, split_power, power_user) AS power_user",
+            f"first(date) OVER {whole} AS start",
+            f"last(coalesce(cut_by_next, after.end)) OVER {whole} AS end",
+            f"date_sub(lead(date) OVER ({in_term}), 1) AS day_before_next",
         )
-    )
-    # A reinstated term takes what it is not given from the old term's last valid day.
-    for name in ("pi_name", "power_user"):
-        carried = F.last(F.when(counts, F.col(name)), ignorenulls=True).over(earlier)
-        rows = rows.withColumn(
-            f"{name}_given",
-            F.when(F.col("new_term"), F.coalesce(F.col(name), carried)).otherwise(
-                F.col(name)
-            ),
+        .selectExpr(
+            "email", "name", "term_no", "date", "start", "end", "day_before_next",
+            given("pi_name"), given("power_user"),
         )
-    return (
-        rows.select(
+        .selectExpr(
             "email",
             "name",
             "term_no",
             "start",
             "end",
-            F.col("date").alias("from_date"),
-            F.least(
-                F.col("end"), F.date_sub(F.lead("date").over(in_term), 1)
-            ).alias("to_date"),
-            F.last("pi_name_given", ignorenulls=True).over(term_so_far).alias("pi_name"),
-            F.last("power_user_given", ignorenulls=True)
-            .over(term_so_far)
-            .alias("power_user"),
+            "date AS from_date",
+            "least(end, day_before_next) AS to_date",
+            f"last(pi_name) IGNORE NULLS OVER {so_far} AS pi_name",
+            f"last(power_user) IGNORE NULLS OVER {so_far} AS power_user",
         )
-        .where(F.col("to_date").isNull() | (F.col("to_date") >= F.col("from_date")))
+        .where("to_date IS NULL OR to_date >= from_date")
     )
 
 
 def kept_for(segment_rows: DataFrame, period: Period) -> DataFrame:
     """Terms that end after the first day of the period, or not at all."""
-    return segment_rows.where(
-        F.col("end").isNull() | (F.col("end") > F.lit(period.start))
-    )
+    return segment_rows.where(f"end IS NULL OR end > date'{period.start}'")
 
 
 def terms(segment_rows: DataFrame) -> DataFrame:
     """One row per term."""
-    return segment_rows.where(F.col("from_date") == F.col("start")).select(
+    return segment_rows.where("from_date = start").select(
         "email", "name", "term_no", "start", "end"
     )
 
 
+def latest_terms(segment_rows: DataFrame) -> DataFrame:
+    """Each person's term with the latest start."""
+    return (
+        terms(segment_rows)
+        .selectExpr("*", "max(term_no) OVER (PARTITION BY email) AS newest")
+        .where("term_no = newest")
+        .drop("newest")
+    )
+
+
 def as_of(segment_rows: DataFrame, day: Column) -> DataFrame:
     """Who was active on a day, with the PI and the privilege of that day."""
     return segment_rows.where(
@@ -264,66 +229,63 @@ def as_of(segment_rows: DataFrame, day: Column) -> DataFrame:
     ).select("email", "name", "term_no", "pi_name", "power_user")
 
 
+def close_dates(pi_rows: DataFrame) -> DataFrame:
+    """The close dates of kept projects per person; bounded by the calendar."""
+    return (
+        pi_rows.where(
+            "first_kept AND close_date IS NOT NULL AND first.email IS NOT NULL"
+        )
+        .selectExpr("first.email", "close_date")
+        .groupBy("email")
+        .agg(F.sort_array(F.collect_set("close_date")).alias("closes"))
+    )
+
+
 def apply_closures(segment_rows: DataFrame, pi_rows: DataFrame) -> DataFrame:
     """End the latest term of a PI whose kept project closed, on the close date.
 
     `segment_rows` are the kept ones. A close date after the term's end adds a term of
     that one day; one before the term's start is left to the checks.
     """
-    latest = F.max("term_no").over(Window.partitionBy("email")) == F.col("term_no")
-    in_reach = F.filter("closes", lambda day: day >= F.col("start"))
     return (
         segment_rows.join(close_dates(pi_rows), "email", "left")
-        .withColumn("closes", F.when(latest, in_reach))
-        .withColumn("cut", F.get("closes", F.lit(0)))
-        .withColumn(
-            "cut",
-            F.when(
-                F.col("end").isNull() | (F.col("cut") <= F.col("end")), F.col("cut")
-            ),
+        .selectExpr(
+            "*", "term_no = max(term_no) OVER (PARTITION BY email) AS is_latest"
+        )
+        .selectExpr(
+            "* EXCEPT (closes)",
+            "if(is_latest, filter(closes, day -> day >= start), NULL) AS closes",
         )
-        .withColumn(
-            "later",
-            F.filter(
-                "closes",
-                lambda day: day > F.coalesce(F.col("cut"), F.lit("0001-01-01").cast("date")),
-            ),
+        .selectExpr(
+            "*", "if(coalesce(get(closes, 0) <= end, true), get(closes, 0), NULL) AS cut"
         )
-        .withColumn("end", F.coalesce("cut", "end"))
-        .withColumn("to_date", F.least("to_date", "end"))
-        .where(F.col("to_date").isNull() | (F.col("to_date") >= F.col("from_date")))
-        .select(
+        .selectExpr(
+            "email",
+            "name",
+            "term_no",
+            "start",
+            "coalesce(cut, end) AS end",
+            "from_date",
+            "least(to_date, cut) AS to_date",
+            "pi_name",
+            "power_user",
+            "filter(closes, day -> cut IS NULL OR day > cut) AS later",
+        )
+        .where("to_date IS NULL OR to_date >= from_date")
+        .selectExpr(
             "*",
-            F.posexplode(
-                F.concat(
-                    F.array(F.lit(None).cast("date")),
-                    F.coalesce(
-                        F.when(F.col("to_date") == F.col("end"), F.col("later")),
-                        F.array().cast("array<date>"),
-                    ),
-                )
-            ).alias("place", "day"),
+            """posexplode(concat(array(cast(NULL AS date)),
+                 if(to_date = end AND later IS NOT NULL, later, array()))) AS (place, day)""",
         )
-        .select(
+        .selectExpr(
             "email",
             "name",
-            (F.col("term_no") + F.col("place")).alias("term_no"),
-            F.coalesce("day", "start").alias("start"),
-            F.coalesce("day", "end").alias("end"),
-            F.coalesce("day", "from_date").alias("from_date"),
-            F.coalesce("day", "to_date").alias("to_date"),
+            "term_no + place AS term_no",
+            "coalesce(day, start) AS start",
+            "coalesce(day, end) AS end",
+            "coalesce(day, from_date) AS from_date",
+            "coalesce(day, to_date) AS to_date",
             "pi_name",
             "power_user",
         )
     )
-
-
-def close_dates(pi_rows: DataFrame) -> DataFrame:
-    """The close dates of kept projects per person; bounded by the calendar."""
-    return (
-        pi_rows.where(F.col("first_kept") & F.col("close_date").isNotNull())
-        .select(F.col("first.email").alias("email"), "close_date")
-        .where(F.col("email").isNotNull())
-        .groupBy("email")
-        .agg(F.sort_array(F.collect_set("close_date")).alias("closes"))
-    )

@@ -6,183 +6,201 @@ items as storage updates. Rows grow with the given tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterbill.sources.forms import Forms, normalise
 from quarterbill.sources.schemas import FORMS
 
 QUARTER = "1998-07-01"
 
 
-def _time(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
+def _first_start(key: str) -> str:
+    """When a supplier's first project opens."""
+    return f"""CASE {key} % 10 WHEN 8 THEN timestamp_ntz'1998-08-15 09:00:00'
+                    WHEN 7 THEN timestamp_ntz'1998-11-01 09:00:00'
+               ELSE timestamp_ntz'1994-01-01 09:00:00'
+                    + make_dt_interval(cast({key} % 300 AS int)) END"""
+
+
+class DerivedForms:
+    """The four forms, already canonical; each is made when first asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark = spark
+        self._sf_dir = sf_dir
 
-def _email(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), key.cast("string"), F.lit("@x.org"))
+    def _table(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
 
+    @cached_property
+    def _supplier(self) -> DataFrame:
+        return self._table("supplier").selectExpr(
+            "*",
+            "concat('pi', s_suppkey, '@x.org') AS email",
+            "concat('pi', s_suppkey) AS last_name",
+            "s_acctbal > 5000 AS pi_is_power_user",
+        )
+
+    @cached_property
+    def pi(self) -> DataFrame:
+        """One project per supplier, a second one for every tenth."""
+        first = self._supplier.selectExpr(
+            f"{_first_start('s_suppkey')} AS start_timestamp",
+            "email",
+            "last_name",
+            "pi_is_power_user",
+            "concat('sc', s_suppkey) AS speed_code",
+            "cast(1 + s_suppkey % 8 AS double) AS storage",
+        )
+        second = self._supplier.where("s_suppkey % 10 = 3").selectExpr(
+            "timestamp_ntz'1998-07-20 09:00:00' AS start_timestamp",
+            "email",
+            "last_name",
+            "pi_is_power_user",
+            "concat('sc2-', s_suppkey) AS speed_code",
+            "2D AS storage",
+        )
+        return first.unionByName(second)
+
+    @cached_property
+    def pi_update(self) -> DataFrame:
+        """Storage and code changes from line items; closures of every tenth supplier."""
+        changes = (
+            self._table("lineitem")
+            .where("l_linenumber = 1")
+            .where(f"l_shipdate > {_first_start('l_suppkey')}")
+            .selectExpr(
+                "l_shipdate + make_dt_interval(0, 0, 0, l_orderkey % 86400) AS timestamp",
+                "concat('pi', l_suppkey, '@x.org') AS email",
+                "concat('pi', l_suppkey) AS last_name",
+                "CASE WHEN l_returnflag = 'A' THEN concat('sc', l_partkey) END AS speed_code",
+                "CASE WHEN l_linestatus = 'F' THEN l_quantity / 8 END AS new_storage",
+                "false AS account_closed",
+            )
+        )
+        closures = self._supplier.where("s_suppkey % 10 = 9").selectExpr(
+            """if(s_suppkey % 20 = 9, timestamp_ntz'1998-08-20 10:00:00',
+                  timestamp_ntz'1998-09-15 10:00:00') AS timestamp""",
+            "email",
+            "last_name",
+            "cast(NULL AS string) AS speed_code",
+            "cast(NULL AS double) AS new_storage",
+            "true AS account_closed",
+        )
+        return changes.unionByName(closures)
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        """Orders as submissions; microseconds keep one person's replay order unique."""
+        suppliers = self._table("supplier").select(F.count(F.lit(1))).scalar()
+        return (
+            self._table("orders")
+            .withColumn(
+                "k", (F.col("o_custkey") + F.col("o_orderkey") % 3) % suppliers
+            )
+            .selectExpr(
+                "o_custkey",
+                "o_orderkey",
+                """o_orderdate + make_dt_interval(0, 0, 0,
+                     cast(o_orderkey % 86400000000 AS decimal(18,0)) / 1000000) AS ts""",
+                "o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AS hi",
+                "if(k % 10 IN (7, 9), k - 5, k) AS pk",
+            )
+            .selectExpr(
+                "*",
+                """CASE WHEN o_custkey % 5 <> 0
+                     THEN ts + make_dt_interval(cast(400 + o_orderkey % 200 AS int)) END
+                   AS end""",
+            )
+        )
 
-def _name(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), key.cast("string"))
+    @cached_property
+    def _first_orders(self) -> DataFrame:
+        first = F.min(F.struct("ts", "o_orderkey", "hi", "pk", "end")).alias("first")
+        return self._orders.groupBy("o_custkey").agg(first).select("o_custkey", "first.*")
+
+    @cached_property
+    def user(self) -> DataFrame:
+        """A customer's first order is the account request."""
+        return self._first_orders.selectExpr(
+            "ts AS start_timestamp",
+            "concat('c', o_custkey, '@x.org') AS email",
+            "concat('c', o_custkey) AS last_name",
+            "concat('pi', pk) AS pi_last_name",
+            "hi AS power_user",
+            "end AS end_timestamp",
+        )
 
+    @cached_property
+    def user_update(self) -> DataFrame:
+        """Every further order is an account update."""
+        further = self._orders.join(
+            self._first_orders.select("o_orderkey"), "o_orderkey", "left_anti"
+        )
+        return further.selectExpr(
+            "ts AS timestamp",
+            "concat('c', o_custkey, '@x.org') AS email",
+            "concat('c', o_custkey) AS last_name",
+            "CASE WHEN o_orderkey % 4 = 0 THEN concat('pi', pk) END AS pi_last_name",
+            "CASE WHEN o_orderkey % 3 <> 1 THEN hi END AS new_power_user",
+            "end AS new_end_timestamp",
+        )
 
-def _plus_days(ts: Column, days: Column) -> Column:
-    return ts + F.make_dt_interval(days=days.cast("int"))
 
+class DirtyForms:
+    """The derived forms with faults in them, for the checks."""
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._clean = DerivedForms(spark, sf_dir)
 
+    _NUMBER = r"cast(regexp_extract(last_name, '(\\d+)$', 1) AS bigint)"
 
-def first_start(key: Column) -> Column:
-    """When a supplier's first project opens."""
-    return (
-        F.when(key % 10 == 8, _time("1998-08-15 09:00:00"))
-        .when(key % 10 == 7, _time("1998-11-01 09:00:00"))
-        .otherwise(_plus_days(_time("1994-01-01 09:00:00"), key % 300))
-    )
-
-
-def pi_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One project per supplier, a second one for every tenth."""
-    supplier = _table(spark, sf_dir, "supplier")
-    key = F.col("s_suppkey")
-    common = [
-        _email("pi", key).alias("email"),
-        _name("pi", key).alias("last_name"),
-        (F.col("s_acctbal") > 5000).alias("pi_is_power_user"),
-    ]
-    first = supplier.select(
-        first_start(key).alias("start_timestamp"),
-        *common,
-        _name("sc", key).alias("speed_code"),
-        (1 + key % 8).cast("double").alias("storage"),
-    )
-    second = supplier.where(key % 10 == 3).select(
-        _time("1998-07-20 09:00:00").alias("start_timestamp"),
-        *common,
-        _name("sc2-", key).alias("speed_code"),
-        F.lit(2.0).alias("storage"),
-    )
-    return first.unionByName(second)
-
-
-def pi_update_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Storage and code changes from line items, and closures of every tenth supplier."""
-    key = F.col("l_suppkey")
-    changes = (
-        _table(spark, sf_dir, "lineitem")
-        .where((F.col("l_linenumber") == 1) & (F.col("l_shipdate") > first_start(key)))
-        .select(
-            (
-                F.col("l_shipdate")
-                + F.make_dt_interval(secs=(F.col("l_orderkey") % 86400))
-            ).alias("timestamp"),
-            _email("pi", key).alias("email"),
-            _name("pi", key).alias("last_name"),
-            F.when(
-                F.col("l_returnflag") == "A", _name("sc", F.col("l_partkey"))
-            ).alias("speed_code"),
-            F.when(F.col("l_linestatus") == "F", F.col("l_quantity") / 8).alias(
-                "new_storage"
-            ),
-            F.lit(False).alias("account_closed"),
+    @cached_property
+    def pi(self) -> DataFrame:
+        """Some requests lack storage or a speed code."""
+        return self._clean.pi.selectExpr(
+            "* EXCEPT (storage, speed_code)",
+            f"if({self._NUMBER} % 10 <> 2, storage, NULL) AS storage",
+            f"if({self._NUMBER} % 10 <> 4, speed_code, NULL) AS speed_code",
         )
-    )
-    supplier = _table(spark, sf_dir, "supplier")
-    key = F.col("s_suppkey")
-    closures = supplier.where(key % 10 == 9).select(
-        F.when(key % 20 == 9, _time("1998-08-20 10:00:00"))
-        .otherwise(_time("1998-09-15 10:00:00"))
-        .alias("timestamp"),
-        _email("pi", key).alias("email"),
-        _name("pi", key).alias("last_name"),
-        F.lit(None).cast("string").alias("speed_code"),
-        F.lit(None).cast("double").alias("new_storage"),
-        F.lit(True).alias("account_closed"),
-    )
-    return changes.unionByName(closures)
-
-
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as submissions; microseconds keep one person's replay order unique."""
-    suppliers = _table(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
-    k = (F.col("o_custkey") + F.col("o_orderkey") % 3) % suppliers
-    ts = F.col("o_orderdate") + F.make_dt_interval(
-        secs=(F.col("o_orderkey") % 86_400_000_000) / F.lit(1_000_000).cast(
-            "decimal(20,0)"
+
+    @cached_property
+    def pi_update(self) -> DataFrame:
+        """Some updates name an unknown PI, some come before the first request."""
+        clean = self._clean.pi_update
+        strays = clean.where(f"{self._NUMBER} % 10 = 5").withColumn(
+            "last_name", F.concat(F.lit("no"), "last_name")
         )
-    )
-    return (
-        _table(spark, sf_dir, "orders")
-        .select(
-            "o_custkey",
-            "o_orderkey",
-            "o_orderdate",
-            ts.alias("ts"),
-            F.col("o_orderpriority")
-            .isin("1-URGENT", "2-HIGH", "3-MEDIUM")
-            .alias("hi"),
-            k.alias("k"),
+        early = clean.where("account_closed").selectExpr(
+            "* EXCEPT (timestamp, account_closed)",
+            "timestamp_ntz'1990-01-01 00:00:00' AS timestamp",
+            "false AS account_closed",
         )
-        .withColumn(
-            "pk", F.when((F.col("k") % 10).isin(7, 9), F.col("k") - 5).otherwise(F.col("k"))
+        return clean.unionByName(strays).unionByName(early)
+
+    @cached_property
+    def user(self) -> DataFrame:
+        """Some requests lack an email or a PI."""
+        return self._clean.user.selectExpr(
+            "* EXCEPT (email, pi_last_name)",
+            f"if({self._NUMBER} % 41 <> 3, email, NULL) AS email",
+            f"if({self._NUMBER} % 43 <> 4, pi_last_name, NULL) AS pi_last_name",
         )
-        .withColumn(
-            "end",
-            F.when(
-                F.col("o_custkey") % 5 != 0,
-                _plus_days(F.col("ts"), 400 + F.col("o_orderkey") % 200),
-            ),
+
+    @cached_property
+    def user_update(self) -> DataFrame:
+        """Some updates end long ago, some reinstate without an end, some name nobody."""
+        return self._clean.user_update.selectExpr(
+            "* EXCEPT (new_end_timestamp, pi_last_name)",
+            f"""CASE WHEN {self._NUMBER} % 37 = 5
+                       THEN timestamp - make_dt_interval(4000)
+                     WHEN {self._NUMBER} % 31 = 6 THEN NULL
+                     ELSE new_end_timestamp END AS new_end_timestamp""",
+            """if(date_diff(timestamp, date'1990-01-01') % 29 = 0, 'nobody', pi_last_name)
+               AS pi_last_name""",
         )
-        .drop("k")
-    )
-
-
-def _first_orders(orders: DataFrame) -> DataFrame:
-    first = F.min(
-        F.struct("o_orderdate", "o_orderkey", "ts", "hi", "pk", "end")
-    ).alias("first")
-    return orders.groupBy("o_custkey").agg(first).select("o_custkey", "first.*")
-
-
-def user_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A customer's first order is the account request."""
-    return _first_orders(_orders(spark, sf_dir)).select(
-        F.col("ts").alias("start_timestamp"),
-        _email("c", F.col("o_custkey")).alias("email"),
-        _name("c", F.col("o_custkey")).alias("last_name"),
-        _name("pi", F.col("pk")).alias("pi_last_name"),
-        F.col("hi").alias("power_user"),
-        F.col("end").alias("end_timestamp"),
-    )
-
-
-def user_update_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every further order is an account update."""
-    orders = _orders(spark, sf_dir)
-    key = F.col("o_orderkey")
-    return orders.join(
-        _first_orders(orders).select("o_orderkey"), "o_orderkey", "left_anti"
-    ).select(
-        F.col("ts").alias("timestamp"),
-        _email("c", F.col("o_custkey")).alias("email"),
-        _name("c", F.col("o_custkey")).alias("last_name"),
-        F.when(key % 4 == 0, _name("pi", F.col("pk"))).alias("pi_last_name"),
-        F.when(key % 3 != 1, F.col("hi")).alias("new_power_user"),
-        F.col("end").alias("new_end_timestamp"),
-    )
-
-
-def derived_forms(spark: SparkSession, sf_dir: str) -> Forms:
-    """The four forms, already canonical."""
-    return Forms(
-        pi=normalise(pi_form(spark, sf_dir), "pi"),
-        pi_update=normalise(pi_update_form(spark, sf_dir), "pi_update"),
-        user=normalise(user_form(spark, sf_dir), "user"),
-        user_update=normalise(user_update_form(spark, sf_dir), "user_update"),
-    )
 
 
 def as_submitted(form_rows: DataFrame, form: str) -> DataFrame:
@@ -191,51 +209,14 @@ def as_submitted(form_rows: DataFrame, form: str) -> DataFrame:
     for field in FORMS[form]:
         if field.name not in form_rows.columns:
             continue
-        cell = F.col(field.name)
         if field.reading == "yes":
-            typed = F.when(cell, F.lit(" YES ")).otherwise(F.lit("no"))
+            typed = f"if({field.name}, ' YES ', 'no')"
         elif field.reading == "power_user":
-            typed = F.when(cell, F.lit("Power User\t")).when(
-                ~cell, F.lit("Regular user")
-            )
+            typed = f"if({field.name}, 'Power User\\t', 'Regular user')"
+            typed = f"if({field.name} IS NULL, NULL, {typed})"
         elif field.type.typeName() == "string":
-            typed = F.concat(F.lit("  "), F.upper(cell), F.lit("  "))
+            typed = f"concat('  ', upper({field.name}), '  ')"
         else:
-            typed = cell.cast("string")
-        columns.append(typed.alias(field.header))
-    return form_rows.select(*columns)
-
-
-def dirty_forms(spark: SparkSession, sf_dir: str) -> Forms:
-    """The derived forms with faults in them, for the checks."""
-    clean = derived_forms(spark, sf_dir)
-    number = F.regexp_extract("last_name", r"(\d+)$", 1).cast("long")
-    micros = F.unix_micros(F.col("timestamp").cast("timestamp")) % 1_000_000_000
-    pi = clean.pi.withColumn(
-        "storage", F.when(number % 10 != 2, F.col("storage"))
-    ).withColumn("speed_code", F.when(number % 10 != 4, F.col("speed_code")))
-    strays = clean.pi_update.where(number % 10 == 5).withColumn(
-        "last_name", F.concat(F.lit("no"), F.col("last_name"))
-    )
-    early = clean.pi_update.where(F.col("account_closed")).withColumn(
-        "timestamp", _time("1990-01-01 00:00:00")
-    ).withColumn("account_closed", F.lit(False))
-    user = (
-        clean.user.withColumn("email", F.when(number % 41 != 3, F.col("email")))
-        .withColumn("pi_last_name", F.when(number % 43 != 4, F.col("pi_last_name")))
-    )
-    update = clean.user_update.withColumn(
-        "new_end_timestamp",
-        F.when(number % 37 == 5, F.col("timestamp") - F.make_dt_interval(days=F.lit(4000)))
-        .when(number % 31 == 6, F.lit(None))
-        .otherwise(F.col("new_end_timestamp")),
-    ).withColumn(
-        "pi_last_name",
-        F.when(micros % 29 == 0, F.lit("nobody")).otherwise(F.col("pi_last_name")),
-    )
-    return Forms(
-        pi=pi,
-        pi_update=clean.pi_update.unionByName(strays).unionByName(early),
-        user=user,
-        user_update=update,
-    )
+            typed = f"cast({field.name} AS string)"
+        columns.append(f"{typed} AS `{field.header}`")
+    return form_rows.selectExpr(*columns)
