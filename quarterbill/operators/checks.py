@@ -80,7 +80,7 @@ def form_findings(forms: Forms, period: Period) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def replay_findings(days: DataFrame) -> DataFrame:
+def replay_findings(walked: DataFrame) -> DataFrame:
     """Updates for unknown persons, and terms that would end before they start."""
     too_early = """
         CASE WHEN creates THEN backdated
@@ -89,7 +89,7 @@ def replay_findings(days: DataFrame) -> DataFrame:
                   OR (divides AND (NOT split_sets_end OR splits > 1
                                    OR coalesce(lowest_after < date, false)))
         END"""
-    found = terms.walk_days(days).selectExpr(
+    found = walked.selectExpr(
         "email",
         "date",
         f"""explode(array_compact(array(

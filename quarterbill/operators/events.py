@@ -47,7 +47,7 @@ def pi_updates(forms: Forms, period: Period) -> DataFrame:
         "last_name AS pi",
         "speed_code",
         "new_storage AS storage",
-        "coalesce(account_closed, false) AS account_closed",
+        "account_closed",
         _seq(forms.pi_update),
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarterbill.functions.periods import Period
 from quarterbill.operators import events
-from quarterbill.operators.spread import spread_join
+from quarterbill.operators.spread import spread_join, stage
 from quarterbill.sources.forms import Forms
 
 
@@ -252,7 +252,7 @@ def project_updates(forms: Forms, period: Period) -> DataFrame:
     """
     opened = opened_projects(forms, period)
     firsts = first_projects(opened)
-    distinct = distinct_updates(firsts, events.pi_updates(forms, period))
+    distinct = stage(distinct_updates(firsts, events.pi_updates(forms, period)))
     targets = firsts.selectExpr("pi", "first.project_id", "first.open_date")
     to_first = (
         spread_join(

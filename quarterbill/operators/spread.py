@@ -58,14 +58,17 @@ def spread_join(
 def stage(df: DataFrame) -> DataFrame:
     """Write a result that several later steps read, in the cluster's checkpoint folder.
 
-    Without such a folder a local session gets one of its own; a cluster session goes
-    on without, and the steps compute the result anew.
+    The folder is the one the session names in `spark.checkpoint.dir`. Where none is
+    named, a local session gets one of its own; a cluster session goes on without, and
+    the steps compute the result anew.
     """
     spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            return df
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                return df
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -69,7 +69,7 @@ def day_states(events: DataFrame) -> DataFrame:
         )
     )
     backdated = events.where(BACKDATED).select("email", "date").distinct()
-    size = backdated.limit(MOST_BROADCAST_DAYS + 1).count()
+    size = backdated.count()
     if size == 0:
         return plain
     if size <= MOST_BROADCAST_DAYS:
@@ -146,11 +146,12 @@ def walk_days(days: DataFrame) -> DataFrame:
     )
 
 
-def segments(days: DataFrame) -> DataFrame:
+def segments(walked: DataFrame) -> DataFrame:
     """Validity intervals: in each, a term has one PI and one privilege.
 
-    Both ends are closed, a null end is open. Terms that end before they start, which
-    the checks report, have none.
+    `walked` comes from `walk_days`; its partitioning serves all windows here. Both ends
+    are closed, a null end is open. Terms that end before they start, which the checks
+    report, have none.
     """
     in_term = "PARTITION BY email, term_no ORDER BY date"
     whole = f"({in_term} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
@@ -166,8 +167,7 @@ def segments(days: DataFrame) -> DataFrame:
                    ELSE {name} END AS {name}"""
 
     return (
-        walk_days(days)
-        .where("known")
+        walked.where("known")
         .selectExpr(
             "email",
             "first_name AS name",

@@ -47,14 +47,14 @@ class QuarterBilling:
         return projects.read_log(self.forms, self.period)
 
     @cached_property
-    def days(self) -> DataFrame:
-        """The user log by person and day."""
-        return terms.day_states(self.user_events)
+    def walked(self) -> DataFrame:
+        """The user log by person and day, with the terms numbered."""
+        return terms.walk_days(terms.day_states(self.user_events))
 
     @cached_property
     def replayed_segments(self) -> DataFrame:
         """Validity intervals of all terms kept for the period, before closures."""
-        return terms.kept_for(terms.segments(self.days), self.period)
+        return terms.kept_for(terms.segments(self.walked), self.period)
 
     @cached_property
     def segments(self) -> DataFrame:
@@ -71,9 +71,8 @@ class QuarterBilling:
     @cached_property
     def members(self) -> DataFrame:
         """Everybody with a day under each PI that has a kept project."""
-        return members.members_of_kept(
-            members.all_members(self.segments, self.period), self.log.pis
-        )
+        everybody = stage(members.all_members(self.segments, self.period))
+        return members.members_of_kept(everybody, self.log.pis)
 
     @cached_property
     def power_members(self) -> DataFrame:
@@ -165,12 +164,22 @@ class QuarterBilling:
 
     def violations(self, *, strict: bool = False) -> DataFrame:
         """All findings of the data-quality rules."""
+        walked = stage(self.walked)
+        # A staged table has no partitioning of its own; one shuffle serves all windows.
+        replayed = terms.kept_for(
+            terms.segments(walked.repartition("email")), self.period
+        )
+        power = stage(
+            members.power_members(
+                terms.apply_closures(replayed, self.log.pis), self.period
+            )
+        )
         found = (
             checks.form_findings(self.forms, self.period)
-            .unionByName(checks.replay_findings(self.days))
+            .unionByName(checks.replay_findings(walked))
             .unionByName(checks.project_findings(self.log, self.projects, self.period))
-            .unionByName(checks.closure_findings(self.replayed_segments, self.log.pis))
-            .unionByName(checks.unattached(self.power_members, self.log.pis))
+            .unionByName(checks.closure_findings(replayed, self.log.pis))
+            .unionByName(checks.unattached(power, self.log.pis))
         )
         if strict and not found.isEmpty():
             raise checks.ViolationsFound("the forms break a data-quality rule")

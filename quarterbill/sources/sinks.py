@@ -26,7 +26,7 @@ def write_summary(
     charges: DataFrame, period: Period, path: str, *, source: str = "parquet"
 ) -> None:
     """The summary sorted by PI."""
-    ordered = charges.orderBy("pi", "open_date").select(*SUMMARY_COLUMNS)
+    ordered = charges.orderBy("pi", "open_date", "project_id").select(*SUMMARY_COLUMNS)
     _of_quarter(ordered, period, path, source)
 
 

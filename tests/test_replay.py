@@ -67,9 +67,9 @@ def test_matches_sequential_replay(spark, monkeypatch, backdated, broadcast):
     reinstated = sum(len(found) > 1 for found in expected.values())
     assert reinstated > 100
 
-    days = terms.day_states(_events(spark, logs))
+    walked = terms.walk_days(terms.day_states(_events(spark, logs)))
     found_terms, found_days = collections.defaultdict(set), collections.defaultdict(set)
-    for row in terms.segments(days).collect():
+    for row in terms.segments(walked).collect():
         found_terms[row.email].add((row.term_no, row.start, row.end))
         day = max(FIRST, row.from_date)
         while day <= LAST and (row.to_date is None or day <= row.to_date):
@@ -82,7 +82,7 @@ def test_matches_sequential_replay(spark, monkeypatch, backdated, broadcast):
         assert found_days[email] == days_of(want, FIRST, LAST), (email, logs[email])
 
     findings = collections.defaultdict(set)
-    for row in checks.replay_findings(days).collect():
+    for row in checks.replay_findings(walked).collect():
         findings[row.key].add((row.event_date, row.rule))
     assert set(findings) == set(broken), set(findings) ^ set(broken)
     for email, (rule, day) in broken.items():
@@ -99,5 +99,5 @@ def test_a_hot_person_becomes_one_row_per_day(spark):
     ).withColumns({"date": F.to_date("ts"), "is_request": F.col("src_rank") == 0})
     days = terms.day_states(events)
     assert days.count() == 3
-    last = terms.segments(days).orderBy(F.desc("from_date")).first()
+    last = terms.segments(terms.walk_days(days)).orderBy(F.desc("from_date")).first()
     assert (last.pi_name, last.power_user) == (f"p{199_999 % 7}", False)
