@@ -19,29 +19,31 @@ from quarterbill.functions.periods import Period
 MOST_BROADCAST_DAYS = 500_000
 
 REPLAY_ORDER = "ts, src_rank, seq, end_date, pi_name, power_user"
-SETS_END = "(is_request OR end_date IS NOT NULL)"
 BACKDATED = "coalesce(end_date < date, false)"
 
 
 def _latest(field: str, when: str) -> str:
-    return f"(max(struct({REPLAY_ORDER})) FILTER (WHERE {when})).{field}"
+    return f"(max(event) FILTER (WHERE {when})).{field}"
 
 
 def _day_columns() -> list[Column]:
-    marker = f"max(struct({REPLAY_ORDER})) FILTER (WHERE {SETS_END})"
+    """What a day does; `event` is the struct of `REPLAY_ORDER`."""
+    sets_end = "(event.src_rank % 2 = 0 OR event.end_date IS NOT NULL)"
     return [
         F.expr(column)
         for column in (
-            "bool_or(is_request) AS has_request",
-            f"min(struct({REPLAY_ORDER})).src_rank % 2 = 1 AS update_first",
-            f"min(struct({REPLAY_ORDER})).end_date IS NOT NULL AS first_sets_end",
-            f"(min(struct({REPLAY_ORDER}, name)) FILTER (WHERE is_request)).name AS name",
+            "bool_or(event.src_rank % 2 = 0) AS has_request",
+            "min(event).src_rank % 2 = 1 AS update_first",
+            "min(event).end_date IS NOT NULL AS first_sets_end",
+            """(min(struct(event, name)) FILTER (WHERE event.src_rank % 2 = 0)).name
+               AS name""",
             # A struct, since a request without an end also sets one (to none).
-            f"""CASE WHEN bool_or({SETS_END})
-                     THEN named_struct('end', ({marker}).end_date) END AS marker""",
-            _latest("pi_name", "pi_name IS NOT NULL") + " AS pi_name",
-            _latest("power_user", "power_user IS NOT NULL") + " AS power_user",
-            f"bool_or({BACKDATED}) AS backdated",
+            f"""CASE WHEN bool_or({sets_end})
+                     THEN named_struct('end', {_latest("end_date", sets_end)}) END
+                AS marker""",
+            _latest("pi_name", "event.pi_name IS NOT NULL") + " AS pi_name",
+            _latest("power_user", "event.power_user IS NOT NULL") + " AS power_user",
+            "bool_or(coalesce(event.end_date < date, false)) AS backdated",
         )
     ]
 
@@ -55,7 +57,8 @@ def day_states(events: DataFrame) -> DataFrame:
     """
     events = events.where("email IS NOT NULL AND ts IS NOT NULL")
     plain = (
-        events.groupBy("email", "date")
+        events.selectExpr("email", "date", "name", f"struct({REPLAY_ORDER}) AS event")
+        .groupBy("email", "date")
         .agg(*_day_columns())
         .selectExpr(
             "*",
@@ -83,8 +86,9 @@ def _ordered_days(events: DataFrame) -> DataFrame:
     first_split = "starts AND split_no = 1"
     more = (
         f"max(earlier.end) FILTER (WHERE {first_split}) AS split_end",
-        _latest("pi_name", "split_no > 0 AND pi_name IS NOT NULL") + " AS split_pi",
-        _latest("power_user", "split_no > 0 AND power_user IS NOT NULL")
+        _latest("pi_name", "split_no > 0 AND event.pi_name IS NOT NULL")
+        + " AS split_pi",
+        _latest("power_user", "split_no > 0 AND event.power_user IS NOT NULL")
         + " AS split_power",
         "cast(max(split_no) AS int) AS splits",
         f"""coalesce(bool_or(end_date IS NOT NULL) FILTER (WHERE {first_split}), false)
@@ -95,11 +99,15 @@ def _ordered_days(events: DataFrame) -> DataFrame:
     return (
         events.selectExpr(
             "*",
-            f"""last(CASE WHEN {SETS_END} THEN named_struct('end', end_date) END)
+            f"""last(CASE WHEN is_request OR end_date IS NOT NULL THEN named_struct('end', end_date) END)
                 IGNORE NULLS OVER ({by_time}
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier""",
         )
-        .selectExpr("*", "coalesce(NOT is_request AND earlier.end < date, false) AS starts")
+        .selectExpr(
+            "*",
+            "coalesce(NOT is_request AND earlier.end < date, false) AS starts",
+            f"struct({REPLAY_ORDER}) AS event",
+        )
         .selectExpr(
             "*",
             f"""sum(cast(starts AS int)) OVER ({by_time}
@@ -140,6 +148,8 @@ def walk_days(days: DataFrame) -> DataFrame:
         .selectExpr(
             "*",
             f"sum(cast(new_term AS int)) OVER {so_far} - 1 AS term_no",
+            f"max(CASE WHEN new_term THEN date END) OVER {so_far} AS start",
+            f"lead(if(new_term, NULL, date)) OVER ({by_day}) AS next_in_term",
             f"max(CASE WHEN new_term THEN date END) OVER {earlier} AS prior_start",
             f"lead(CASE WHEN divides THEN split_end END) OVER ({by_day}) AS cut_by_next",
         )
@@ -153,18 +163,16 @@ def segments(walked: DataFrame) -> DataFrame:
     are closed, a null end is open. Terms that end before they start, which the checks
     report, have none.
     """
-    in_term = "PARTITION BY email, term_no ORDER BY date"
-    whole = f"({in_term} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-    so_far = f"({in_term} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    earlier = """(PARTITION BY email ORDER BY term_no, date
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
-
-    def given(name: str) -> str:
-        # A reinstated term takes what it is not given from the old term's last day.
-        return f"""CASE WHEN new_term THEN coalesce({name},
-                     last(CASE WHEN end IS NULL OR date <= end THEN {name} END)
-                       IGNORE NULLS OVER {earlier})
-                   ELSE {name} END AS {name}"""
+    whole_term = """(PARTITION BY email, term_no ORDER BY date
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+    so_far = """(PARTITION BY email ORDER BY term_no, date
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+    def valid(name: str) -> str:
+        # A reinstated term takes what it is not given from the old term's last day, so
+        # values that came after a term's end must not count.
+        return f"""last(if(end IS NULL OR date <= end, {name}, NULL)) IGNORE NULLS
+                   OVER {so_far} AS {name}"""
 
     return (
         walked.where("known")
@@ -172,17 +180,12 @@ def segments(walked: DataFrame) -> DataFrame:
             "email",
             "first_name AS name",
             "term_no",
+            "start",
             "date",
-            "new_term",
+            "next_in_term",
             "if(divides, split_pi, pi_name) AS pi_name",
             "if(divides, split_power, power_user) AS power_user",
-            f"first(date) OVER {whole} AS start",
-            f"last(coalesce(cut_by_next, after.end)) OVER {whole} AS end",
-            f"date_sub(lead(date) OVER ({in_term}), 1) AS day_before_next",
-        )
-        .selectExpr(
-            "email", "name", "term_no", "date", "start", "end", "day_before_next",
-            given("pi_name"), given("power_user"),
+            f"last(coalesce(cut_by_next, after.end)) OVER {whole_term} AS end",
         )
         .selectExpr(
             "email",
@@ -191,9 +194,9 @@ def segments(walked: DataFrame) -> DataFrame:
             "start",
             "end",
             "date AS from_date",
-            "least(end, day_before_next) AS to_date",
-            f"last(pi_name) IGNORE NULLS OVER {so_far} AS pi_name",
-            f"last(power_user) IGNORE NULLS OVER {so_far} AS power_user",
+            "least(end, date_sub(next_in_term, 1)) AS to_date",
+            valid("pi_name"),
+            valid("power_user"),
         )
         .where("to_date IS NULL OR to_date >= from_date")
     )
