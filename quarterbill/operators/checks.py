@@ -11,6 +11,7 @@ from quarterbill.functions.periods import Period
 from quarterbill.operators import events, members, pricing, projects, terms
 from quarterbill.operators.spread import spread_join
 from quarterbill.sources.forms import Forms
+from quarterbill.sources.schemas import UNREADABLE
 
 
 class ViolationsFound(Exception):
@@ -77,6 +78,13 @@ def form_findings(forms: Forms, period: Period) -> DataFrame:
                 "missing_timestamp", "form", "email", "NULL",
             )
         )
+        if UNREADABLE in form.columns:
+            found.append(
+                _finding(
+                    form.where(f"{UNREADABLE} IS NOT NULL"),
+                    "unreadable_cell", "form", "email", stamp, UNREADABLE,
+                )
+            )
     return reduce(DataFrame.unionByName, found)
 
 

@@ -61,6 +61,18 @@ class QuarterBilling:
         """Validity intervals after project closures ended their PIs' terms."""
         return terms.apply_closures(self.replayed_segments, self.log.pis)
 
+    @cached_property
+    def segments_in_period(self) -> DataFrame:
+        """The same, without the intervals that were over before the period."""
+        return self._close(self.replayed_segments)
+
+    def _close(self, replayed: DataFrame) -> DataFrame:
+        # Closures fall into the period, so they cut no earlier interval.
+        recent = replayed.where(
+            f"to_date IS NULL OR to_date >= date'{self.period.start}'"
+        )
+        return terms.apply_closures(recent, self.log.pis)
+
     @cached_property
     def projects(self) -> DataFrame:
         """Projects kept for the period."""
@@ -71,18 +83,18 @@ class QuarterBilling:
     @cached_property
     def members(self) -> DataFrame:
         """Everybody with a day under each PI that has a kept project."""
-        everybody = stage(members.all_members(self.segments, self.period))
+        everybody = stage(members.all_members(self.segments_in_period, self.period))
         return members.members_of_kept(everybody, self.log.pis)
 
     @cached_property
     def power_members(self) -> DataFrame:
         """Power users per PI."""
-        return members.power_members(self.segments, self.period)
+        return members.power_members(self.segments_in_period, self.period)
 
     def users_of(self, project_id: str) -> DataFrame:
         """Everybody with a day under one project's PI, one row per term."""
         pi = self.projects.where(F.col("project_id") == project_id).select("pi")
-        rows = members.all_members(self.segments, self.period)
+        rows = members.all_members(self.segments_in_period, self.period)
         return members.one_row_per_term(rows.join(pi, "pi", "left_semi"))
 
     def power_user_list(self) -> DataFrame:
@@ -170,9 +182,7 @@ class QuarterBilling:
             terms.segments(walked.repartition("email")), self.period
         )
         power = stage(
-            members.power_members(
-                terms.apply_closures(replayed, self.log.pis), self.period
-            )
+            members.power_members(self._close(replayed), self.period)
         )
         found = (
             checks.form_findings(self.forms, self.period)

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterbill.functions import text
-from quarterbill.sources.schemas import FORMS, SUBMISSION_ID, FormField
+from quarterbill.sources.schemas import (
+    FORMS,
+    NUMBER,
+    SUBMISSION_ID,
+    TIME,
+    UNREADABLE,
+    FormField,
+)
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -23,13 +30,23 @@ class Forms:
 
 
 def read_form(
-    spark: SparkSession, path: str, form: str, *, source: str = "csv"
+    spark: SparkSession,
+    path: str,
+    form: str,
+    *,
+    source: str = "csv",
+    timestamp_format: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Read one form; CSV cells arrive as text, so no schema is inferred."""
-    reader = spark.read
+    """Read one form; CSV cells arrive as text, so no schema is inferred.
+
+    Free-text answers may hold line breaks, for which Spark reads each CSV file in one
+    task. Where no cell does, `multi_line=False` lets it split large files.
+    """
+    reader = spark.read.format(source)
     if source == "csv":
-        reader = reader.option("header", True).option("multiLine", False)
-    return normalise(reader.format(source).load(path), form)
+        reader = reader.options(header=True, multiLine=multi_line, escape='"')
+    return normalise(reader.load(path), form, timestamp_format=timestamp_format)
 
 
 def read_forms(
@@ -39,45 +56,61 @@ def read_forms(
     pi_update: str,
     user: str,
     user_update: str,
-    source: str = "csv",
+    **options: object,
 ) -> Forms:
-    """Read all four forms."""
+    """Read all four forms; `options` are those of `read_form`."""
     return Forms(
-        pi=read_form(spark, pi, "pi", source=source),
-        pi_update=read_form(spark, pi_update, "pi_update", source=source),
-        user=read_form(spark, user, "user", source=source),
-        user_update=read_form(spark, user_update, "user_update", source=source),
+        pi=read_form(spark, pi, "pi", **options),
+        pi_update=read_form(spark, pi_update, "pi_update", **options),
+        user=read_form(spark, user, "user", **options),
+        user_update=read_form(spark, user_update, "user_update", **options),
     )
 
 
-def normalise(raw: DataFrame, form: str) -> DataFrame:
+def normalise(
+    raw: DataFrame, form: str, *, timestamp_format: str | None = None
+) -> DataFrame:
     """Rename source headers, clean text and cast; unknown columns are left out.
 
     A column may come under its header or under its canonical name. A column the form
-    lacks becomes null (false for yes/no questions).
+    lacks becomes null (false for yes/no questions). `unreadable` names the cells of a
+    row that hold text which is no time or number; the checks report them.
     """
     present = {field.name: field.dataType for field in raw.schema}
-    columns = []
+    columns, unreadable = [], []
     for field in FORMS[form]:
         found = next((n for n in (field.header, field.name) if n in present), None)
         cell = F.lit(None).cast("string") if found is None else F.col(f"`{found}`")
         kind = T.StringType() if found is None else present[found]
-        columns.append(_read_cell(cell, kind, field).alias(field.name))
+        value = _read_cell(cell, kind, field, timestamp_format)
+        columns.append(value.alias(field.name))
+        if isinstance(kind, T.StringType) and field.type in (TIME, NUMBER):
+            is_bad = (text.clean(cell) != "") & value.isNull()
+            unreadable.append(F.when(is_bad, F.lit(field.name)))
     if SUBMISSION_ID in present:
         columns.append(F.col(SUBMISSION_ID).cast("long").alias(SUBMISSION_ID))
+    if unreadable:
+        names = F.nullif(F.concat_ws(",", *unreadable), F.lit(""))
+        columns.append(names.alias(UNREADABLE))
     return raw.select(*columns)
 
 
-def _read_cell(cell: Column, kind: T.DataType, field: FormField) -> Column:
+def _read_cell(
+    cell: Column, kind: T.DataType, field: FormField, timestamp_format: str | None
+) -> Column:
     is_text = isinstance(kind, T.StringType)
     cleaned = F.nullif(text.clean(cell), F.lit("")) if is_text else cell
     if field.reading == "yes":
         return text.yes(cleaned) if is_text else F.coalesce(cell, F.lit(False))
     if field.reading == "power_user":
         return cleaned == "power user" if is_text else cell
-    if isinstance(field.type, T.DoubleType):
+    if field.type == NUMBER:
         number = cleaned.try_cast("double") if is_text else cell.cast("double")
         return F.when(~F.isnan(number), number)
-    if isinstance(field.type, T.TimestampNTZType):
-        return cleaned.try_cast("timestamp_ntz") if is_text else cell.cast(field.type)
+    if field.type == TIME:
+        if not is_text:
+            return cell.cast(TIME)
+        if timestamp_format is None:
+            return cleaned.try_cast(TIME)
+        return F.try_to_timestamp(cell, F.lit(timestamp_format)).cast(TIME)
     return cleaned if is_text else text.clean(cell.cast("string"))

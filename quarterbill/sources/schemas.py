@@ -89,7 +89,5 @@ FORMS = {
 # A form may also carry a running number; it breaks ties between equal timestamps.
 SUBMISSION_ID = "submission_id"
 
-
-def canonical_schema(form: str) -> T.StructType:
-    """Schema of a form after reading."""
-    return T.StructType([T.StructField(f.name, f.type) for f in FORMS[form]])
+# Reading a form from text adds this column.
+UNREADABLE = "unreadable"

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-from quarterbill import Period, QuarterBilling
+from quarterbill import Forms, Period, QuarterBilling
 from quarterbill.sources import derived
 
 DATA = Path("/root/testdata/sf0.001")
@@ -67,12 +67,38 @@ def test_known_figures(spark):
     assert (row.total_storage, row.total_compute) == (6871.875, 11250.0)
 
 
-@pytest.mark.parametrize("name", ["quarter_summary", "power_user_charges", "bills"])
-def test_plans_stay_distributed(spark, name):
-    frame = entry_point.queries()[name](spark, str(DATA))
-    plan = frame._jdf.queryExecution().optimizedPlan().toString()
-    for node in ("Join Cross", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
+@pytest.fixture(scope="module")
+def stored_forms(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("forms")
+    made = derived.DerivedForms(spark, str(DATA))
+    stored = {}
+    for name in ("pi", "pi_update", "user", "user_update"):
+        getattr(made, name).write.parquet(f"{folder}/{name}")
+        stored[name] = spark.read.parquet(f"{folder}/{name}")
+    return Forms(**stored)
+
+
+def _final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize(
+    "report", ["summary", "projects", "segments", "priced_members", "bill_lines"]
+)
+def test_plans_stay_distributed(stored_forms, report):
+    run = QuarterBilling(stored_forms, Period.quarter(derived.QUARTER))
+    made = getattr(run, report)
+    plan = _final_plan(made() if callable(made) else made)
+    for node in (
+        "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "Python", "Pandas",
+    ):
         assert node not in plan
-    physical = frame._jdf.queryExecution().executedPlan().toString()
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
-        assert node not in physical
+
+
+def test_one_shuffle_serves_all_windows_of_the_replay(stored_forms):
+    run = QuarterBilling(stored_forms, Period.quarter(derived.QUARTER))
+    plan = _final_plan(run.replayed_segments)
+    # By person and day, then by person.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "LessThan(start_timestamp" in plan

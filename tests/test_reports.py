@@ -38,7 +38,8 @@ SUBMISSIONS = {
         )
     ],
     "user_update": [
-        {"timestamp": "2020-12-22 08:00:00", "email": "lemon@uwo.ca", "agree": ""},
+        {"timestamp": "2020-12-22 08:00:00", "email": "lemon@uwo.ca", "agree": "",
+         "feedback": 'It is "fine",\nthank you'},
         {"timestamp": "2020-12-23 08:00:00", "email": "quince@uwo.ca", "agree": "Yes",
          "new_power_user": "Regular user"},
     ],
@@ -56,6 +57,7 @@ def test_normalisation(run):
     first, second = run.forms.user_update.orderBy("timestamp").collect()
     assert first.agree is False and first.new_power_user is None
     assert second.agree is True and second.new_power_user is False
+    assert first.feedback == 'it is "fine",\nthank you'
     assert run.forms.user.where("pi_last_name = 'mango'").count() == 5
     assert run.forms.pi.count() == 3 and run.forms.user.count() == 6
 
@@ -150,3 +152,34 @@ def test_strict(run, spark, tmp_path):
     broken = QuarterBilling(forms, run.period)
     with pytest.raises(ViolationsFound):
         broken.violations(strict=True)
+
+
+def test_unreadable_cells_are_reported(spark, tmp_path):
+    forms = write_forms(
+        spark,
+        tmp_path,
+        {
+            **SUBMISSIONS,
+            "user": [
+                {"start_timestamp": "2020-11-12 08:00:00", "email": "lemon@uwo.ca",
+                 "last_name": "Lemon", "pi_last_name": "Kiwi", "power_user": "Yes",
+                 "end_timestamp": "end of term"}
+            ],
+            "user_update": [],
+        },
+    )
+    found = QuarterBilling(forms, Period.quarter("2020-11-01")).violations().collect()
+    assert [(r.rule, r.key, r.detail) for r in found] == [
+        ("unreadable_cell", "lemon@uwo.ca", "end_timestamp")
+    ]
+
+
+def test_other_timestamp_format(spark, tmp_path):
+    forms = write_forms(
+        spark,
+        tmp_path,
+        {"user": [{"start_timestamp": "9/15/2020 14:05", "email": "a@b"}]},
+        timestamp_format="M/d/yyyy H:mm",
+    )
+    assert forms.user.first().start_timestamp == dt.datetime(2020, 9, 15, 14, 5)
+    assert forms.user.first().unreadable is None
