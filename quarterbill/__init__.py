@@ -3,6 +3,8 @@
 from quarterbill.functions.periods import Period
 from quarterbill.functions.policy import Policy
 from quarterbill.plans.billing import QuarterBilling
+from quarterbill.plans.jobs import bill_quarter, list_power_users
 from quarterbill.sources.forms import Forms, read_form, read_forms
 
-__all__ = ["Forms", "Period", "Policy", "QuarterBilling", "read_form", "read_forms"]
+__all__ = ["Forms", "Period", "Policy", "QuarterBilling", "bill_quarter", "list_power_users",
+           "read_form", "read_forms"]

@@ -20,6 +20,11 @@ from quarterbill.sources.forms import Forms
 TIME_ZONE = ZoneInfo("America/Toronto")
 
 
+def today() -> dt.date:
+    """The date that bills carry unless told otherwise."""
+    return dt.datetime.now(tz=TIME_ZONE).date()
+
+
 class QuarterBilling:
     """All results for one period. Every property and method is a DataFrame.
 
@@ -121,7 +126,8 @@ class QuarterBilling:
             self.staged_candidates, self.log.pis, self.period, self.policy
         )
 
-    def _charges(self, candidates: DataFrame) -> DataFrame:
+    def charges_from(self, candidates: DataFrame) -> DataFrame:
+        """All prices of billable projects, from power users that may be staged."""
         per_pi = pricing.compute_per_pi(candidates, self.policy).drop("first_charged")
         kept = projects.projects(self.log, self.period, per_holder=per_pi)
         return pricing.quarter_charges(kept, self.period, self.policy)
@@ -134,7 +140,7 @@ class QuarterBilling:
     @cached_property
     def charges(self) -> DataFrame:
         """All prices of billable projects."""
-        return self._charges(self.candidates)
+        return self.charges_from(self.candidates)
 
     # -- reports -------------------------------------------------------------------
 
@@ -148,10 +154,10 @@ class QuarterBilling:
 
     def _heads(self, bill_date: dt.date | None) -> DataFrame:
         return reports.bill_heads(
-            self._charges(self.staged_candidates),
+            self.charges_from(self.staged_candidates),
             self.period,
             self.policy,
-            bill_date or dt.datetime.now(tz=TIME_ZONE).date(),
+            bill_date or today(),
         )
 
     def bill_lines(self, bill_date: dt.date | None = None) -> DataFrame:

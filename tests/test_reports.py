@@ -7,6 +7,7 @@ import pytest
 from quarterbill import Period, Policy, QuarterBilling
 from quarterbill.operators.checks import ViolationsFound
 from quarterbill.plans import reports
+from quarterbill.plans.jobs import bill_quarter, list_power_users
 from quarterbill.sources import sinks
 from tests.forms_csv import write_forms
 
@@ -142,6 +143,23 @@ def test_sinks(run, spark, tmp_path, capsys):
     ]
 
 
+def test_jobs(run, spark, tmp_path):
+    out = str(tmp_path / "out")
+    totals = bill_quarter(
+        run.forms, quarter_start="2020-11-01", out_dir=out, bill_date=dt.date(2020, 12, 9)
+    )
+    assert totals.first().total_overall == 1362.5
+    summary = spark.read.parquet(f"{out}/summary")
+    assert {r.pi: r.total_price for r in summary.collect()} == {
+        "kiwi": 425, "mango": 750, "banana": 187.5,
+    }
+    assert spark.read.parquet(f"{out}/bills").where("body LIKE '%Dec 09, 2020%'").count() == 3
+    assert spark.read.parquet(f"{out}/bill_lines").count() == 3 * 3 + 8
+    days = {"start": "2020-10-01", "end": "2020-10-02"}
+    users = list_power_users(run.forms, **days, out_path=str(tmp_path / "users"))
+    assert sorted(r.name for r in users.collect()) == ["kiwi", "mango", "nectarine"]
+
+
 def test_strict(run, spark, tmp_path):
     assert run.violations(strict=True).isEmpty()
     forms = write_forms(
