@@ -308,8 +308,8 @@ head AS (
             || '_quarter-{START}_bill.txt' AS doc_name FROM charge),
 term_rows AS (
   SELECT p.project_id, h.doc_name, p.first_start, p.email, p.name, p.price, t."start", t."end",
-         row_number() OVER (PARTITION BY p.project_id, p.email ORDER BY t."start", t.term_no) - 1
-           AS place
+         CAST(row_number() OVER (PARTITION BY p.project_id, p.email
+                                 ORDER BY t."start", t.term_no) - 1 AS INT) AS place
   FROM priced p JOIN head h USING (project_id)
   JOIN power_terms t ON t.pi = p.pi AND t.email = p.email),
 lines AS (
@@ -365,6 +365,8 @@ def statements() -> dict[str, str]:
           SELECT quarter_start, n_orders, last_day(quarter_start) AS early_cutoff,
                  last_day(CAST(quarter_start + INTERVAL 1 MONTH AS DATE)) AS late_cutoff,
                  last_day(CAST(quarter_start + INTERVAL 2 MONTH AS DATE)) AS quarter_end,
+                 CAST(last_day(CAST(quarter_start + INTERVAL 2 MONTH AS DATE)) - quarter_start + 1
+                      AS INT) AS n_days,
                  CAST(greatest(
                    last_day(CAST(quarter_start + INTERVAL 1 MONTH AS DATE)) - quarter_start,
                    last_day(CAST(quarter_start + INTERVAL 2 MONTH AS DATE)) - last_day(quarter_start)
@@ -377,6 +379,29 @@ def statements() -> dict[str, str]:
         + " SELECT project_id, pi, email, open_date, close_date, has_power_users FROM kept",
         "project_updates": log
         + " SELECT project_id, pi, date, speed_code, storage FROM all_updates",
+        "projects_as_of": log
+        + " SELECT project_id, pi, open_date, close_date FROM kept"
+        f" WHERE open_date <= DATE '{LATE}' AND (close_date IS NULL OR close_date >= DATE '{LATE}')",
+        "storage_history": log
+        + """, changed AS (
+              SELECT u.project_id, u.pi, u.date, k.close_date, sum(u.storage) AS added
+              FROM all_updates u JOIN kept k USING (project_id) GROUP BY ALL
+              HAVING added <> 0 OR u.date = any_value(k.open_date)),
+            spans AS (
+              SELECT project_id, pi, date AS from_date, close_date,
+                     lead(date) OVER w - 1 AS before_next,
+                     sum(added) OVER w AS storage
+              FROM changed WINDOW w AS (PARTITION BY project_id ORDER BY date))
+            SELECT project_id, pi, from_date, storage,
+                   CASE WHEN close_date IS NULL OR before_next < close_date THEN before_next
+                        ELSE close_date END AS to_date
+            FROM spans WHERE close_date IS NULL OR from_date <= close_date""",
+        "storage_on_a_day": log
+        + f""" SELECT k.project_id, k.pi, sum(u.storage) AS storage
+              FROM kept k JOIN all_updates u USING (project_id)
+              WHERE k.open_date <= DATE '{START}' AND u.date <= DATE '{START}'
+                AND (k.close_date IS NULL OR k.close_date >= DATE '{START}')
+              GROUP BY ALL""",
         "storage_as_of": priced
         + " SELECT project_id, storage_early, storage_late, storage_end FROM stored",
         "speed_codes": priced + " SELECT project_id, speed_code FROM stored",

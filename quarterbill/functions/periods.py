@@ -24,6 +24,16 @@ def end_of_months_column(start: Column, months: int) -> Column:
     return F.last_day(F.add_months(F.trunc(start, "MM"), months - 1))
 
 
+def days_in_range(start: Column, end: Column) -> Column:
+    """All days of a closed range, as an array."""
+    return F.sequence(start, end)
+
+
+def active_on(day: str, start: str, end: str) -> str:
+    """Whether a closed interval with an optional end holds a day, as SQL text."""
+    return f"{start} <= {day} AND ({end} IS NULL OR {end} >= {day})"
+
+
 @dataclass(frozen=True)
 class Period:
     """A closed range of days; `early_cutoff` and `late_cutoff` exist for billing only."""
@@ -70,15 +80,11 @@ def period_columns(start: Column, policy: Policy | None = None) -> list[Column]:
         early.alias("early_cutoff"),
         late.alias("late_cutoff"),
         end.alias("quarter_end"),
+        F.size(days_in_range(start, end)).alias("n_days"),
         F.greatest(F.date_diff(late, start), F.date_diff(end, early)).alias("min_days"),
     ]
 
 
-def midnight(day: dt.date) -> Column:
-    """Start of a day as a naive timestamp literal, so that filters reach the scan."""
-    return F.lit(day.isoformat()).cast("timestamp_ntz")
-
-
 def day_after(day: dt.date) -> dt.date:
     """The next calendar day."""
     return day + dt.timedelta(days=1)

@@ -6,12 +6,13 @@ then summed per PI and day, so that what reaches one PI is bounded by the calend
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterbill.functions.periods import Period
+from quarterbill.functions.periods import Period, active_on
 from quarterbill.operators import events
 from quarterbill.operators.spread import spread_join, stage
 from quarterbill.sources.forms import Forms
@@ -245,6 +246,53 @@ def projects(
     )
 
 
+def active(project_rows: DataFrame, day: dt.date) -> DataFrame:
+    """Projects open on a day."""
+    return project_rows.where(active_on(f"date'{day}'", "open_date", "close_date"))
+
+
+def storage_history(log: ProjectLog) -> DataFrame:
+    """Storage of every kept project as validity intervals, for any as-of lookup.
+
+    The windows run over the days of one PI, which the calendar bounds.
+    """
+    by_day = "PARTITION BY pi ORDER BY date"
+    changes = (
+        log.days.join(
+            log.pis.where("first_kept").selectExpr(
+                "pi", "first.project_id", "first.open_date", "close_date"
+            ),
+            "pi",
+        )
+        .where("date = open_date OR (date > open_date AND day_storage <> 0)")
+        .selectExpr(
+            "project_id",
+            "pi",
+            "date AS from_date",
+            f"least(date_sub(lead(date) OVER ({by_day}), 1), close_date) AS to_date",
+            f"""sum(day_storage) OVER ({by_day}
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS storage""",
+        )
+        .where("to_date IS NULL OR to_date >= from_date")
+    )
+    firsts = log.pis.selectExpr("first.project_id")
+    others = log.opened.join(firsts, "project_id", "left_anti").selectExpr(
+        "project_id",
+        "pi",
+        "open_date AS from_date",
+        "cast(NULL AS date) AS to_date",
+        "coalesce(storage, 0D) AS storage",
+    )
+    return changes.unionByName(others)
+
+
+def storage_on(history: DataFrame, day: dt.date) -> DataFrame:
+    """Storage on a day of every project open then."""
+    return history.where(active_on(f"date'{day}'", "from_date", "to_date")).select(
+        "project_id", "pi", "storage"
+    )
+
+
 def project_updates(forms: Forms, period: Period) -> DataFrame:
     """The distinct dated updates of every project, joined to the project.
 

@@ -11,10 +11,12 @@ order; such days are taken out by a size-checked join and sorted on their own.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterbill.functions.periods import Period
+from quarterbill.functions.periods import Period, active_on
 
 MOST_BROADCAST_DAYS = 500_000
 
@@ -99,7 +101,8 @@ def _ordered_days(events: DataFrame) -> DataFrame:
     return (
         events.selectExpr(
             "*",
-            f"""last(CASE WHEN is_request OR end_date IS NOT NULL THEN named_struct('end', end_date) END)
+            f"""last(CASE WHEN is_request OR end_date IS NOT NULL
+                          THEN named_struct('end', end_date) END)
                 IGNORE NULLS OVER ({by_time}
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier""",
         )
@@ -224,12 +227,11 @@ def latest_terms(segment_rows: DataFrame) -> DataFrame:
     )
 
 
-def as_of(segment_rows: DataFrame, day: Column) -> DataFrame:
+def as_of(segment_rows: DataFrame, day: dt.date) -> DataFrame:
     """Who was active on a day, with the PI and the privilege of that day."""
-    return segment_rows.where(
-        (F.col("from_date") <= day)
-        & (F.col("to_date").isNull() | (F.col("to_date") >= day))
-    ).select("email", "name", "term_no", "pi_name", "power_user")
+    return segment_rows.where(active_on(f"date'{day}'", "from_date", "to_date")).select(
+        "email", "name", "term_no", "pi_name", "power_user"
+    )
 
 
 def close_dates(pi_rows: DataFrame) -> DataFrame:
