@@ -53,6 +53,10 @@ def form_findings(forms: Forms, period: Period) -> DataFrame:
             opened.where("email IS NULL"),
             "missing_key", "project", "pi", "date", "'email'",
         ),
+        _finding(
+            asked.where("account_closed AND email IS NULL"),
+            "missing_key", "project", "pi", "date", "'email'",
+        ),
         _finding(
             opened.where("storage IS NULL"), "missing_storage", "project", "pi", "date"
         ),

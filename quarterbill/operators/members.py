@@ -39,20 +39,20 @@ def memberships(rows: DataFrame) -> DataFrame:
     Active and power days count every day of the terms that qualify, whichever PI the
     person had on that day.
     """
-    term = F.struct("start", "term_no", "end", "name", "active_days", "power_days")
+    term = ["start", "term_no", "end", "name", "active_days", "power_days"]
     return (
         rows.where("pi_name IS NOT NULL")
-        .groupBy("email", F.col("pi_name").alias("pi"))
-        .agg(F.sort_array(F.collect_set(term)).alias("terms"))
-        .selectExpr(
-            "pi",
-            "email",
-            "terms",
-            "terms[0].name AS name",
-            "terms[0].start AS first_start",
-            "aggregate(terms, 0L, (days, term) -> days + term.active_days) AS active_days",
-            "aggregate(terms, 0L, (days, term) -> days + term.power_days) AS power_days",
+        .select("email", F.col("pi_name").alias("pi"), *term)
+        .distinct()
+        .groupBy("email", "pi")
+        .agg(
+            F.sum("active_days").alias("active_days"),
+            F.sum("power_days").alias("power_days"),
+            F.min("start").alias("first_start"),
+            # Left out of the plan where a report does not list terms.
+            F.sort_array(F.collect_list(F.struct(*term))).alias("terms"),
         )
+        .withColumn("name", F.expr("terms[0].name"))
     )
 
 
