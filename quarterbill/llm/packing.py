@@ -24,46 +24,80 @@ WINDOW = 4096
 END = 2
 #: Open windows of a task; beyond, they are closed as at the end.
 MOST_OPEN = 1024
-MOST_CACHED = 500_000
-#: Texts that no normaliser changes but by lower-casing single characters.
-PLAIN = re.compile("[\t-\r -~\xa0-įı-ſ]*")
+#: Texts that no normaliser changes but by lower-casing single characters, and their pieces:
+#: contractions, runs of letters, single digits, runs of other signs.
+PLAIN = re.compile("[\t-\r -~\xa0-\u012f\u0131-\u017f]*")
+LETTER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f"
+DIGIT = "0-9\xb2\xb3\xb9\xbc-\xbe"
+PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LETTER}]+|[{DIGIT}]|[^\s{LETTER}{DIGIT}]+")
+#: Stands for the end of a word in bytes; plain texts have no control characters.
+MARK = "\x01"
+
+
+def _word_ranks(spec: dict) -> dict[bytes, int] | None:
+    """The vocabulary as bytes and merge ranks, a word's end as MARK; None if it has another form."""
+    model = spec["model"]
+    if model.get("type") != "BPE" or model.get("end_of_word_suffix") != "</w>":
+        return None
+    vocabulary, merges = model["vocab"], model["merges"]
+    first = len(vocabulary) - len(merges)
+    made = ("".join(m if isinstance(m, list) else m.split(" ")) for m in merges)
+    if any(vocabulary[m] != first + i for i, m in enumerate(made)):  # a merge's rank must be its id
+        return None
+    # the byte-level alphabet: printable bytes stand for themselves, the others follow 255
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    ranks = {MARK.encode(): len(vocabulary)}
+    for token, rank in vocabulary.items():
+        body = token.removesuffix("</w>")
+        raw = bytes(byte[c] for c in body)
+        if MARK.encode() not in raw:
+            ranks[raw + MARK.encode() * (body != token)] = rank
+    return ranks
 
 
 class Tokens:
-    """Token ids of texts. The tokenizer's pieces never span white space, so a plain text's
-    ids are those of its words, which are kept; any other text is encoded whole."""
+    """Token ids of texts, as the tokenizer file gives them.
+
+    Plain texts are cut into the tokenizer's pieces here and merged by tiktoken, which reads
+    the same vocabulary several times faster; any other text is encoded by tokenizers. If the
+    vocabulary has another form, or the two disagree on a trial text, all texts are.
+    """
+
+    TRIAL = "It's 2 o'clock -- they'll WON'T over-internationalise caf\xe9s, na\xefve 3.14 \xbd \u0153uvre?! x_y@z \xa0#1"
 
     def __init__(self, path: str | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        # a vocabulary with word ends cuts at white space and drops it; any other may not
-        self.by_word = bool(json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix"))
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _words(self, words: list[str]) -> Iterator[tuple[int, ...]]:
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        fresh = {}
-        if new:
-            fresh = {w: tuple(e.ids) for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False))}
-            if len(known) < MOST_CACHED:
-                known.update(fresh)
-        return (known[w] if w in known else fresh[w] for w in words)
+        self.fast = None
+        ranks = _word_ranks(json.loads(self.tokenizer.to_str()))
+        if ranks:
+            self.fast = tiktoken.Encoding("words", pat_str=f"[^{MARK}]+{MARK}", mergeable_ranks=ranks, special_tokens={})
+            if self._plain(self.TRIAL) != self._any(self.TRIAL):
+                self.fast = None
+
+    def _plain(self, text: str) -> list[int]:
+        pieces = PIECE.findall(text.lower())
+        return self.fast.encode_ordinary(MARK.join(pieces) + MARK) if pieces else []
+
+    def _any(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str | None, end: int = END) -> np.ndarray:
         text = text or ""
-        if not self.by_word or any(s in text for s in self.special) or not PLAIN.fullmatch(text):
-            ids = list(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        else:
-            ids = [i for w in self._words(text.split()) for i in w]
-        ids.append(end)
-        return np.array(ids, np.uint32)
+        plain = self.fast and PLAIN.fullmatch(text) and not any(s in text for s in self.special)
+        ids = self._plain(text) if plain else self._any(text)
+        out = np.empty(len(ids) + 1, np.uint32)
+        out[:-1], out[-1] = ids, end
+        return out
 
 
 class Packer:
