@@ -280,7 +280,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
     minimum (a group of such rows alone has a null component). Other columns are ignored.
     """
     grouped = _grouped(docs, shingle, max_bits)
-    least = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join back can be split where a group holds many rows
+    least = stage(grouped.groupBy("group").agg(F.min("doc_id").alias("component_id")), "least")
     return grouped.join(least, "group").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterbill.llm.common import stage
@@ -115,8 +115,8 @@ def train(
 ) -> Model:
     """Learn from the labelled documents that are not held out.
 
-    sample: texts per class that are learned from, the first by a hash of their id; all, if
-    fewer. most_features, least_lift, least_texts, least_z: features that are kept, how many times
+    sample: about how many texts per class are learned from, by a hash of their id; all, if
+    there are fewer. most_features, least_lift, least_texts, least_z: features that are kept, how many times
     commoner they are among toxic texts, in how many of these they are, and how many standard
     errors apart the two shares lie. The sample's ids
     and what is collected for the fit are bounded by these. Labels that are null are left
@@ -124,11 +124,12 @@ def train(
     clean labels the model has no features and a leak near the share of toxic texts.
     """
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
+    marked = marked.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     totals = dict(map(tuple, marked.groupBy("toxic").count().collect()))
-    chosen = marked.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample).drop("_n")
-    # at most `sample` ids a class: a bounded table
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    n = F.when(F.col("toxic") == 1, F.lit(totals.get(1, 0))).otherwise(F.lit(totals.get(0, 0)))
+    chosen = marked.where(draw * n < sample)
+    # about `sample` ids a class: a bounded table
     texts = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
     count = {c: n for c, n in texts.groupBy("toxic").count().collect()}
     n1, n0 = count.get(1, 0), count.get(0, 0)

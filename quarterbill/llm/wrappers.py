@@ -287,7 +287,8 @@ def templates(pages: DataFrame) -> DataFrame:
         .where(F.col("n") >= LEAST_PAGES)
         .select("host", "first")
     )
-    votes = read.join(firsts, "host").mapInPandas(_votes, "host string, sign long, aligned long, same long")
+    # written, so that the join has a shuffle on either side and a hot host can be split
+    votes = read.join(stage(firsts, "references"), "host").mapInPandas(_votes, "host string, sign long, aligned long, same long")
     return (
         votes.groupBy("host", "sign")
         .agg(F.sum("aligned").alias("aligned"), F.sum("same").alias("same"))
