@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterbill.llm import ann, mixing, packing, quality, secrets, simhash, toxicity, warc, wrappers
+from quarterbill.llm import ann, mixing, packing, quality, secrets, simhash, substrings, toxicity, warc, wrappers
 from quarterbill.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses of 50-byte strings that a smaller one holds."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=50).drop("bounds")
+
+
 def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page as its record in the archives says."""
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
@@ -66,7 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_pack_sequences, op3_simhash_groups, op4_quality_rules, op5_toxicity,
-        op7_warc_index, op8_main_text, op9_nearest_vectors, op10_secret_scan,
+        op6_repeated_strings, op7_warc_index, op8_main_text, op9_nearest_vectors, op10_secret_scan,
     )
 }
 
