@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from quarterbill.llm.common import stage
 
 LENGTH, GRAM = 50, 24
-CHUNK = 16 << 20  # bytes of text that a task compares before it sends anything
+CHUNK = 8 << 20  # bytes of text that a task compares before it sends anything
 BASE = 0x9E3779B97F4A7C15
 ROW = "kind int, bucket int, blob binary"
 ANCHORS, COVERED, OPEN, SPANS = 0, 1, 2, 3
@@ -145,7 +145,7 @@ class Remover:
         if not 8 <= gram < length < 1 << 15:
             raise ValueError("a gram is shorter than the strings, and 8 bytes at least")
         self.docs, self.length, self.gram = docs.select("doc_id", "text"), length, gram
-        self.buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def _anchors(self):
         length, gram, buckets = self.length, self.gram, self.buckets
@@ -191,6 +191,7 @@ class Remover:
                     yield from _pack(COVERED, doc % buckets, [doc, place])
                     continue
                 c, g, doc, place = _unpack(blobs, ANCHOR_ROW)
+                blobs.clear()
                 order = np.lexsort((doc, c, g))
                 c, g, doc, place = c[order], g[order], doc[order], place[order]
                 new_g = np.ones(len(g), bool)
@@ -278,6 +279,7 @@ class Remover:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, _, blobs in _grouped(batches):
                 g, doc, low, sizes, c = _unpack(blobs, kinds)
+                blobs.clear()
                 c = np.frombuffer(c.tobytes(), np.uint8).reshape(-1, width)
                 powers = np.multiply.accumulate(np.concatenate([[U(1)], np.full(width, U(BASE), U)]))
                 inverse = np.multiply.accumulate(np.concatenate([[U(1)], np.full(width, U(pow(BASE, -1, 1 << 64)), U)]))
