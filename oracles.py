@@ -117,7 +117,7 @@ opened AS (
          min(start_timestamp) AS open_ts,
          last_name || '|' || strftime(open_date, '%Y-%m-%d') || '|' || email || '|'
            || coalesce(speed_code, '') || '|'
-           || coalesce(CAST(CAST(storage AS DECIMAL(24, 6)) AS VARCHAR), '') AS project_id
+           || coalesce(CAST(storage AS VARCHAR), '') AS project_id
   FROM pi_req GROUP BY ALL),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY pi ORDER BY open_date, open_ts, email,
@@ -457,16 +457,30 @@ def statements() -> dict[str, str]:
                                           share, amount), chr(10)
                                 ORDER BY user_start, user_email, place) AS body
               FROM lines GROUP BY 1, 2)
-            SELECT h.project_id, h.doc_name,
-              'Invoice To: ' || h.pi || chr(10)
+            , u AS (
+              SELECT project_id, CAST((place_no - 1) // 3 + 1 AS INTEGER) AS part_no,
+                     string_agg(concat_ws(' | ', name, start_date, end_date, quantity, unit_price,
+                                          share, amount), chr(10)
+                                ORDER BY user_start, user_email, place) AS body
+              FROM (SELECT *, dense_rank() OVER (PARTITION BY project_id
+                                                 ORDER BY user_start, user_email) AS place_no
+                    FROM lines WHERE section = 2) GROUP BY 1, 2),
+            parts AS (
+              SELECT h.*, CAST(unnest(range(1, coalesce(m.parts, 1) + 1)) AS INTEGER) AS part_no,
+                     coalesce(m.parts, 1) AS parts
+              FROM head h LEFT JOIN (SELECT project_id, max(part_no) AS parts FROM u GROUP BY 1) m
+                USING (project_id))
+            SELECT h.project_id, h.doc_name, h.part_no, concat_ws(chr(10),
+              CASE WHEN h.part_no = 1 THEN 'Invoice To: ' || h.pi || chr(10)
               || 'Billing Period: Jul 01, 1998--Sep 30, 1998' || chr(10)
               || 'Date: Oct 01, 1998' || chr(10)
               || 'Name | Start Date | End Date | Quantity | Unit Price | Quarter | Amount' || chr(10)
-              || 'Storage' || chr(10) || s.body || chr(10) || 'Power Users' || chr(10)
-              || coalesce(u.body || chr(10), '') || t.body || chr(10) || b.body || chr(10)
-              || 'Billed to speed code: ' || coalesce(h.speed_code, '') AS body
-            FROM head h JOIN bodies s ON s.project_id = h.project_id AND s.section = 1
-            LEFT JOIN bodies u ON u.project_id = h.project_id AND u.section = 2
+              || 'Storage' || chr(10) || s.body || chr(10) || 'Power Users' END,
+              u.body,
+              CASE WHEN h.part_no = h.parts THEN t.body || chr(10) || b.body || chr(10)
+              || 'Billed to speed code: ' || coalesce(h.speed_code, '') END) AS body
+            FROM parts h JOIN bodies s ON s.project_id = h.project_id AND s.section = 1
+            LEFT JOIN u ON u.project_id = h.project_id AND u.part_no = h.part_no
             JOIN bodies t ON t.project_id = h.project_id AND t.section = 3
             JOIN bodies b ON b.project_id = h.project_id AND b.section = 4""",
         "violations_clean": days + _findings(),

@@ -34,3 +34,11 @@ def long_date_or_open(day: Column) -> Column:
 def money(amount: Column) -> Column:
     """Two decimals; halves go to the even cent."""
     return F.format_string("%.2f", F.bround(amount, 2))
+
+
+def plain_number(number: Column) -> Column:
+    """A number's digits without an exponent, with at least one decimal."""
+    short = number.cast("string")
+    long = F.rtrim(number.try_cast("decimal(38,12)").cast("string"), F.lit("0"))
+    written = F.when(F.endswith(long, F.lit(".")), F.concat(long, F.lit("0"))).otherwise(long)
+    return F.when(F.contains(short, F.lit("E")), F.coalesce(written, short)).otherwise(short)

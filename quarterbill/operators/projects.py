@@ -42,7 +42,7 @@ def opened_projects(forms: Forms, period: Period) -> DataFrame:
         .selectExpr(
             "*",
             """concat_ws('|', pi, open_date, coalesce(email, ''), coalesce(speed_code, ''),
-                 coalesce(cast(cast(storage AS decimal(24,6)) AS string), ''))
+                 coalesce(cast(storage AS string), ''))
                AS project_id""",
         )
     )

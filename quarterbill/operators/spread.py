@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,15 +29,15 @@ def spread_join(
 
     Keys with more than `rows_per_task` rows are cut into pieces by a hash of
     `spread_by`, and only their row of `per_key` is copied to each piece. The list of
-    such keys is broadcast; it has at most `MOST_HOT_KEYS` entries, the largest keys
-    first, and any key beyond them is joined like a normal one.
+    such keys is broadcast: a key on it holds at least one `MOST_HOT_KEYS`th of all rows, so it
+    has no more entries than that. Keys between the two bounds are left to Spark's own
+    splitting of skewed joins.
     """
     if counts is None:
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    share = counts.select(F.coalesce(F.sum("n"), F.lit(0)) / MOST_HOT_KEYS).scalar()
     hot = F.broadcast(
-        counts.where(F.col(key).isNotNull() & (F.col("n") > rows_per_task))
-        .orderBy(F.col("n").desc(), key)
-        .limit(MOST_HOT_KEYS)
+        counts.where(F.col(key).isNotNull() & (F.col("n") > F.greatest(F.lit(rows_per_task), share)))
         .select(key, F.ceil(F.col("n") / rows_per_task).cast("int").alias("_pieces"))
     )
     left = rows.join(hot, key, "left").withColumn(
@@ -55,20 +59,26 @@ def spread_join(
     return left.drop("_pieces").join(right, [key, "_piece"], how).drop("_piece")
 
 
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="quarterbill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Write a result that several later steps read, in the cluster's checkpoint folder.
+    """Write a result that several later steps read, as Parquet in the shared folder.
 
-    The folder is the one the session names in `spark.checkpoint.dir`. Where none is
-    named, a local session gets one of its own; a cluster session goes on without, and
-    the steps compute the result anew.
+    The folder is the one the session names in `spark.checkpoint.dir`. Where none is named,
+    a session whose tasks all run in this process gets one of its own, removed at its end;
+    on a cluster that is an error, as executors share no other folder.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                return df
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"file://{_own_folder()}"
+    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

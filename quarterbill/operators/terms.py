@@ -6,7 +6,7 @@ number of events never sits in one task. Then windows per person run over those
 which there are at most as many as calendar days.
 
 Only a day on which somebody asks for an end before that same day needs its events in
-order; such days are taken out by a size-checked join and sorted on their own.
+order; such days are taken out by a semi join and sorted on their own.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from quarterbill.functions.periods import Period, active_on
 
-MOST_BROADCAST_DAYS = 500_000
-
 REPLAY_ORDER = "ts, src_rank, seq, end_date, pi_name, power_user"
 BACKDATED = "coalesce(end_date < date, false)"
 
@@ -74,11 +72,6 @@ def day_states(events: DataFrame) -> DataFrame:
         )
     )
     backdated = events.where(BACKDATED).select("email", "date").distinct()
-    size = backdated.count()
-    if size == 0:
-        return plain
-    if size <= MOST_BROADCAST_DAYS:
-        backdated = F.broadcast(backdated)
     ordered = _ordered_days(events.join(backdated, ["email", "date"], "left_semi"))
     return plain.where("NOT backdated").unionByName(ordered)
 

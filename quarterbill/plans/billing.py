@@ -168,16 +168,25 @@ class QuarterBilling:
             self.policy,
         )
 
-    def bills(self, bill_date: dt.date | None = None) -> DataFrame:
-        """Nested bills, one row per project."""
+    def bills(
+        self,
+        bill_date: dt.date | None = None,
+        users_in_part: int = reports.USERS_IN_PART,
+    ) -> DataFrame:
+        """Nested bills, one row per project and part."""
         return reports.bills(
             self._heads(bill_date),
             reports.bill_users(self.priced_members, self.period, self.policy),
+            users_in_part,
         )
 
-    def bill_documents(self, bill_date: dt.date | None = None) -> DataFrame:
-        """Rendered bills."""
-        return reports.bill_documents(self.bills(bill_date), self.policy)
+    def bill_documents(
+        self,
+        bill_date: dt.date | None = None,
+        users_in_part: int = reports.USERS_IN_PART,
+    ) -> DataFrame:
+        """Rendered bills, one row per project and part."""
+        return reports.bill_documents(self.bills(bill_date, users_in_part), self.policy)
 
     # -- checks --------------------------------------------------------------------
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterbill.functions import text
 from quarterbill.functions.periods import Period
 from quarterbill.functions.policy import Policy
 from quarterbill.operators import members as m
+from quarterbill.operators.spread import stage
 
 SUMMARY_COLUMNS = [
     "pi",
@@ -31,7 +32,7 @@ STORAGE_LINE, USER_LINE, SUBTOTAL_LINE, BALANCE_LINE = 1, 2, 3, 4
 LINE_FIELDS = [
     "name", "start_date", "end_date", "quantity", "unit_price", "share", "amount",
 ]
-MOST_LINES_IN_ONE_TEXT = 50_000
+USERS_IN_PART = 5_000  # layout: power users on one part of a bill
 
 
 def summary(charges: DataFrame) -> DataFrame:
@@ -127,7 +128,7 @@ def _head_lines(policy: Policy) -> list[Column]:
             name=F.col("pi_name"),
             start_date=F.col("storage.timestamp"),
             end_date=F.lit(text.OPEN_END),
-            quantity=F.concat(F.col("storage.amount").cast("string"), F.lit(" TB")),
+            quantity=F.concat(text.plain_number(F.col("storage.amount")), F.lit(" TB")),
             unit_price=_dollars(F.col("storage.price")),
             share=share,
             amount=_dollars(F.col("storage.subtotal")),
@@ -201,20 +202,49 @@ def bill_lines(heads: DataFrame, users: DataFrame, policy: Policy) -> DataFrame:
     return fixed.unionByName(per_user)
 
 
-def bills(
-    heads: DataFrame, users: DataFrame, most_users: int = MOST_LINES_IN_ONE_TEXT
-) -> DataFrame:
-    """Nested bills, one row per project.
+def numbered_users(users: DataFrame) -> DataFrame:
+    """Users with `number`, their place in their project's bill, from 0.
 
-    The array of power users is null for a project with more than `most_users` of them;
-    their lines are in `bill_lines`, which has no such bound.
+    Rows are sorted by range, counted per project and range, and placed after the counts
+    before them, so that no task holds a whole project.
     """
+    order = ["project_id", "first_start", "email"]
+    placed = stage(
+        users.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_range", F.spark_partition_id())
+        .withColumn("_at", F.monotonically_increasing_id())
+    )
+    earlier = (
+        Window.partitionBy("project_id")
+        .orderBy("_range")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ranges = (
+        placed.groupBy("project_id", "_range")
+        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    )
+    return (
+        placed.join(ranges, ["project_id", "_range"])
+        .withColumn("number", F.col("_at") - F.col("_first") + F.col("_before"))
+        .drop("_range", "_at", "_first", "_n", "_before")
+    )
+
+
+def bills(heads: DataFrame, users: DataFrame, users_in_part: int = USERS_IN_PART) -> DataFrame:
+    """Nested bills, one row per project and part.
+
+    A part holds `users_in_part` power users, the last what is left; a bill without any has
+    one part. Every part repeats the fields of the head.
+    """
+    part = (F.floor(F.col("number") / users_in_part) + 1).cast("int")
     nested = (
-        users.where(F.col("power_users") <= most_users)
-        .groupBy("project_id")
+        numbered_users(users)
+        .groupBy("project_id", part.alias("part_no"))
         .agg(
             F.transform(
-                F.sort_array(F.collect_list(F.struct("first_start", "email", "user"))),
+                F.sort_array(F.collect_list(F.struct("number", "user"))),
                 lambda entry: entry["user"],
             ).alias("users")
         )
@@ -223,12 +253,14 @@ def bills(
     return joined.select(
         "project_id",
         "doc_name",
+        F.coalesce("part_no", F.lit(1)).alias("part_no"),
+        F.greatest(F.ceil(F.col("power_users") / users_in_part), F.lit(1))
+        .cast("int")
+        .alias("parts"),
         "pi_name",
         "dates",
         "storage",
-        F.when(
-            F.col("power_users") <= most_users, F.coalesce("users", F.array())
-        ).alias("power_users"),
+        F.coalesce("users", F.array()).alias("power_users"),
         F.col("power_users").alias("power_user_count"),
         "power_users_subtotal",
         "total",
@@ -237,7 +269,7 @@ def bills(
 
 
 def bill_documents(nested: DataFrame, policy: Policy) -> DataFrame:
-    """Rendered bills: name and text. The text is null where `bills` has no array."""
+    """Rendered bills: name, part and text; the parts of a bill in order are its text."""
 
     def rendered(line: Column) -> Column:
         return F.concat_ws(" | ", *[line[name] for name in LINE_FIELDS])
@@ -252,33 +284,32 @@ def bill_documents(nested: DataFrame, policy: Policy) -> DataFrame:
             lambda user: F.transform(_user_lines(user, policy), rendered),
         )
     )
+    head = F.array(
+        F.concat(F.lit("Invoice To: "), F.col("pi_name")),
+        F.concat(
+            F.lit("Billing Period: "), F.col("dates.start"), F.lit("--"), F.col("dates.end")
+        ),
+        F.concat(F.lit("Date: "), F.col("dates.bill")),
+        F.lit(" | ".join(TITLES)),
+        F.lit("Storage"),
+        storage,
+        F.lit("Power Users"),
+    )
+    tail = F.array(
+        subtotal,
+        balance,
+        F.concat(F.lit("Billed to speed code: "), F.coalesce("speed_code", F.lit(""))),
+    )
+    none = F.array().cast("array<string>")
     body = F.array_join(
         F.concat(
-            F.array(
-                F.concat(F.lit("Invoice To: "), F.col("pi_name")),
-                F.concat(
-                    F.lit("Billing Period: "),
-                    F.col("dates.start"), F.lit("--"), F.col("dates.end"),
-                ),
-                F.concat(F.lit("Date: "), F.col("dates.bill")),
-                F.lit(" | ".join(TITLES)),
-                F.lit("Storage"),
-                storage,
-                F.lit("Power Users"),
-            ),
+            F.when(F.col("part_no") == 1, head).otherwise(none),
             user_lines,
-            F.array(
-                subtotal,
-                balance,
-                F.concat(
-                    F.lit("Billed to speed code: "),
-                    F.coalesce("speed_code", F.lit("")),
-                ),
-            ),
+            F.when(F.col("part_no") == F.col("parts"), tail).otherwise(none),
         ),
         "\n",
     )
-    return counted.select("project_id", "doc_name", body.alias("body"))
+    return counted.select("project_id", "doc_name", "part_no", body.alias("body"))
 
 
 def power_user_list(of_kept: DataFrame) -> DataFrame:

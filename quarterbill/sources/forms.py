@@ -106,11 +106,16 @@ def _read_cell(
         return cleaned == "power user" if is_text else cell
     if field.type == NUMBER:
         number = cleaned.try_cast("double") if is_text else cell.cast("double")
-        return F.when(~F.isnan(number), number)
+        return F.when(F.abs(number) < float("inf"), number)  # not for NaN either
     if field.type == TIME:
         if not is_text:
             return cell.cast(TIME)
         if timestamp_format is None:
             return cleaned.try_cast(TIME)
-        return F.try_to_timestamp(cell, F.lit(timestamp_format)).cast(TIME)
+        # read and written in one zone, so that no session's clock change moves a time
+        instant = F.try_to_timestamp(
+            F.concat(cleaned, F.lit(" +00:00")), F.lit(f"{timestamp_format} XXX")
+        )
+        epoch = F.lit("1970-01-01 00:00:00").cast(TIME)
+        return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
     return cleaned if is_text else text.clean(cell.cast("string"))

@@ -40,7 +40,7 @@ def write_bill_lines(
 
 
 def write_bill_documents(documents: DataFrame, period: Period, path: str) -> None:
-    """One row per bill: name and text."""
+    """One row per bill and part: name, part and text."""
     _of_quarter(documents, period, path, "parquet")
 
 

@@ -119,8 +119,8 @@ DAYS = {
 }
 
 FINDINGS = {
-    ("inactive_at_period_end", "e7b-a|2020-01-01|e7b-a@x|a2020-01-01|4.000000", "2021-01-01"),
-    ("inactive_at_period_end", "e16-a|2020-01-01|e16-a@x|a2020-01-01|4.000000", "2021-01-02"),
+    ("inactive_at_period_end", "e7b-a|2020-01-01|e7b-a@x|a2020-01-01|4.0", "2021-01-01"),
+    ("inactive_at_period_end", "e16-a|2020-01-01|e16-a@x|a2020-01-01|4.0", "2021-01-02"),
     ("end_before_start", "e8b-u@x", "2020-12-01"),
     ("user_update_without_user", "e15-a@x", "2020-11-01"),
 }
@@ -172,5 +172,5 @@ def test_bill_lines(run):
 
 
 def test_users_of_one_project(run):
-    moved = run.users_of("e10-b|2020-02-01|e10-b@x|b2020-02-01|0.000000")
+    moved = run.users_of("e10-b|2020-02-01|e10-b@x|b2020-02-01|0.0")
     assert {r.email for r in moved.collect()} == {"e10-b@x", "e10-u@x"}

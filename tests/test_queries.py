@@ -42,7 +42,15 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+#: The library's own queries; the training-data operators have their tests in tests/llm.
+OWN = sorted(
+    name
+    for name, query in entry_point.queries().items()
+    if not query.__module__.startswith(("quarterbill.llm", "corpus_pipeline"))
+)
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_equals_sql(spark, duck, name):
     frame = entry_point.queries()[name](spark, str(DATA))
     result = duck.execute(entry_point.oracle_sql()[name])
@@ -52,7 +60,7 @@ def test_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert len(OWN) == 31 and set(OWN) <= set(entry_point.oracle_sql())
 
 
 def test_known_figures(spark):

@@ -50,11 +50,8 @@ def _events(spark, logs):
     )
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
 @pytest.mark.parametrize("backdated", [0.0, 0.4])
-def test_matches_sequential_replay(spark, monkeypatch, backdated, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(terms, "MOST_BROADCAST_DAYS", 1)
+def test_matches_sequential_replay(spark, backdated):
     rng = random.Random(int(backdated * 10) + 20)
     logs = {f"u{n}": _random_log(rng, 12, backdated) for n in range(4000)}
     expected, broken = {}, {}

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from quarterbill import Period, Policy, QuarterBilling
+from quarterbill.functions import text
 from quarterbill.operators.checks import ViolationsFound
 from quarterbill.plans import reports
 from quarterbill.plans.jobs import bill_quarter, list_power_users
@@ -98,13 +99,37 @@ def test_golden_bill(run):
     assert text.body.endswith("Billed to speed code: kkkk")
 
 
-def test_large_bills_are_left_to_the_lines(run):
-    heads = run._heads(dt.date(2020, 12, 9))
-    users = reports.bill_users(run.priced_members, run.period, run.policy)
-    nested = reports.bills(heads, users, most_users=3)
-    found = {r.pi_name: r for r in nested.collect()}
-    assert found["mango"].power_users is None and found["mango"].power_user_count == 6
-    assert len(found["kiwi"].power_users) == 2 and found["banana"].power_users == []
+def test_large_bills_have_parts(run):
+    date = dt.date(2020, 12, 9)
+    found = {}
+    for r in run.bills(date, users_in_part=2).collect():
+        found.setdefault(r.pi_name, {})[r.part_no] = (r.parts, [u.last_name for u in r.power_users])
+    assert [len(users) for _, users in found["mango"].values()] == [2, 2, 2]
+    assert found["banana"] == {1: (1, [])} and len(found["kiwi"]) == 1
+    whole = {r.project_id: r.body for r in run.bill_documents(date).collect()}
+    parts = {}
+    for r in run.bill_documents(date, users_in_part=1).orderBy("part_no").collect():
+        parts.setdefault(r.project_id, []).append(r.body)
+    assert {k: "\n".join(v) for k, v in parts.items()} == whole and max(map(len, parts.values())) == 6
+
+
+def test_values_that_a_bill_must_show(spark, tmp_path):
+    numbers = spark.createDataFrame([(2.0,), (0.0002,), (12345678.0,), (1e20,)], "x double")
+    assert [r[0] for r in numbers.select(text.plain_number(numbers.x)).collect()] == [
+        "2.0", "0.0002", "12345678.0", "100000000000000000000.0",
+    ]
+    forms = write_forms(
+        spark,
+        tmp_path,
+        {"pi": [{"start_timestamp": " 2021-03-14 02:30 ", "email": "a@b", "last_name": "A", "storage": "inf"}]},
+        timestamp_format="yyyy-MM-dd HH:mm",
+    )
+    spark.conf.set("spark.sql.session.timeZone", "America/Toronto")
+    try:
+        row = forms.pi.first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.start_timestamp == dt.datetime(2021, 3, 14, 2, 30) and row.storage is None
 
 
 def test_totals_and_policy(run):
