@@ -24,14 +24,14 @@ pi_form AS (
          'sc2-' || s_suppkey, CAST(2 AS DOUBLE), s_acctbal > 5000
   FROM supplier WHERE s_suppkey % 10 = 3),
 pi_update_form AS (
-  SELECT l_shipdate + to_seconds(CAST(l_orderkey % 86400 AS INT)) AS "timestamp",
+  SELECT l_shipdate + to_seconds(CAST(l_orderkey % 86400 AS INT))
+           + to_microseconds(CAST(l_linenumber AS BIGINT)) AS "timestamp",
          p.email, p.last_name,
          CASE WHEN l_returnflag = 'A' THEN 'sc' || l_partkey END AS speed_code,
          CASE WHEN l_linestatus = 'F' THEN l_quantity / 8 END AS new_storage,
          FALSE AS account_closed
   FROM lineitem JOIN (SELECT last_name, email, min(start_timestamp) AS s
                       FROM pi_form GROUP BY 1, 2) p ON p.last_name = 'pi' || l_suppkey
-  WHERE l_linenumber = 1 AND l_shipdate > p.s
   UNION ALL
   SELECT CASE WHEN s_suppkey % 20 = 9 THEN TIMESTAMP '1998-08-20 10:00:00'
               ELSE TIMESTAMP '1998-09-15 10:00:00' END,

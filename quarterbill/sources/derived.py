@@ -69,10 +69,11 @@ class DerivedForms:
         """Storage and code changes from line items; closures of every tenth supplier."""
         changes = (
             self._table("lineitem")
-            .where("l_linenumber = 1")
-            .where(f"l_shipdate > {_first_start('l_suppkey')}")
             .selectExpr(
-                "l_shipdate + make_dt_interval(0, 0, 0, l_orderkey % 86400) AS timestamp",
+                # the line's number in microseconds keeps the order of an order's lines
+                """l_shipdate + make_dt_interval(0, 0, 0,
+                     cast(l_orderkey % 86400 AS decimal(18,6)) + l_linenumber * 0.000001)
+                   AS timestamp""",
                 "concat('pi', l_suppkey, '@x.org') AS email",
                 "concat('pi', l_suppkey) AS last_name",
                 "CASE WHEN l_returnflag = 'A' THEN concat('sc', l_partkey) END AS speed_code",

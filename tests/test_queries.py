@@ -69,10 +69,10 @@ def test_known_figures(spark):
     )
     forms = run.forms
     assert [f.count() for f in (forms.pi, forms.pi_update, forms.user, forms.user_update)] == [
-        11, 793, 150, 1350,
+        11, 6001, 150, 1350,
     ]
     row = run.totals().first()
-    assert (row.total_storage, row.total_compute) == (6871.875, 11250.0)
+    assert (row.total_storage, row.total_compute) == (44926.5625, 11250.0)
 
 
 @pytest.fixture(scope="module")
@@ -98,10 +98,13 @@ def test_plans_stay_distributed(stored_forms, report):
     run = QuarterBilling(stored_forms, Period.quarter(derived.QUARTER))
     made = getattr(run, report)
     plan = _final_plan(made() if callable(made) else made)
-    for node in (
-        "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "Python", "Pandas",
-    ):
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert node not in plan
+    # One task may gather one partial sum per task (the total of the key counts), and no rows.
+    lines = plan.split("\n")
+    for line, below in zip(lines, lines[1:]):
+        if "SinglePartition" in line:
+            assert "HashAggregate(keys=[], functions=[partial_sum(n#" in below
 
 
 def test_one_shuffle_serves_all_windows_of_the_replay(stored_forms):
