@@ -6,6 +6,8 @@ the Spark plans use, so that the two ways check each other.
 
 from __future__ import annotations
 
+FIRST_PROJECT = "pi3|1994-01-04|pi3@x.org|sc3|4.0"
+SECOND_PROJECT = "pi3|1998-07-20|pi3@x.org|sc2-3|0.214"
 START, EARLY, LATE, END = "1998-07-01", "1998-07-31", "1998-08-31", "1998-09-30"
 MIN_DAYS = 61
 
@@ -21,7 +23,7 @@ pi_form AS (
   FROM supplier
   UNION ALL
   SELECT TIMESTAMP '1998-07-20 09:00:00', 'pi' || s_suppkey || '@x.org', 'pi' || s_suppkey,
-         'sc2-' || s_suppkey, CAST(2 AS DOUBLE), s_acctbal > 5000
+         'sc2-' || s_suppkey, CAST(0.214 AS DOUBLE), s_acctbal > 5000
   FROM supplier WHERE s_suppkey % 10 = 3),
 pi_update_form AS (
   SELECT l_shipdate + to_seconds(CAST(l_orderkey % 86400 AS INT))
@@ -35,7 +37,7 @@ pi_update_form AS (
   UNION ALL
   SELECT CASE WHEN s_suppkey % 20 = 9 THEN TIMESTAMP '1998-08-20 10:00:00'
               ELSE TIMESTAMP '1998-09-15 10:00:00' END,
-         'pi' || s_suppkey || '@x.org', 'pi' || s_suppkey, NULL, NULL, TRUE
+         CASE WHEN s_suppkey % 40 = 9 THEN 'pi' ELSE 'office' END || s_suppkey || '@x.org', 'pi' || s_suppkey, NULL, NULL, TRUE
   FROM supplier WHERE s_suppkey % 10 = 9),
 submissions AS (
   SELECT o_custkey, o_orderkey, rn,
@@ -57,13 +59,22 @@ user_update_form AS (
          CASE WHEN o_orderkey % 3 <> 1 THEN hi END AS new_power_user,
          CASE WHEN o_custkey % 5 <> 0
               THEN ts + to_days(CAST(400 + o_orderkey % 200 AS INT)) END AS new_end_timestamp
-  FROM submissions WHERE rn > 1)
+  FROM submissions WHERE rn > 1
+  UNION ALL
+  SELECT c.filed, 'pi' || s_suppkey || '@x.org', 'pi' || s_suppkey, NULL, NULL, c.until
+  FROM supplier JOIN (VALUES
+    (29, TIMESTAMP '1998-06-01 10:00:00', TIMESTAMP '1998-08-01 00:00:00'),
+    (39, TIMESTAMP '1998-01-10 10:00:00', TIMESTAMP '1998-03-01 00:00:00'),
+    (39, TIMESTAMP '1998-09-20 10:00:00', TIMESTAMP '1999-06-30 00:00:00')) c(k, filed, until)
+    ON s_suppkey % 40 = c.k)
 """
 
 # The same forms with faults in them, under the names the rules read.
 DIRTY = """
 dirty_pi AS (
-  SELECT * REPLACE (CASE WHEN n % 10 <> 2 THEN storage END AS storage,
+  SELECT * REPLACE (CASE WHEN n % 20 <> 6 THEN last_name END AS last_name,
+                    CASE WHEN n % 20 <> 1 THEN email END AS email,
+                    CASE WHEN n % 10 <> 2 THEN storage END AS storage,
                     CASE WHEN n % 10 <> 4 THEN speed_code END AS speed_code)
   FROM (SELECT *, CAST(regexp_extract(last_name, '(\\d+)$', 1) AS BIGINT) AS n FROM pi_form)),
 dirty_pi_update AS (
@@ -75,7 +86,9 @@ dirty_pi_update AS (
   SELECT * REPLACE (TIMESTAMP '1990-01-01 00:00:00' AS "timestamp", FALSE AS account_closed)
   FROM pi_update_form WHERE account_closed),
 dirty_user AS (
-  SELECT * REPLACE (CASE WHEN n % 41 <> 3 THEN email END AS email,
+  SELECT * REPLACE (CASE WHEN n % 47 <> 5 THEN power_user END AS power_user,
+                    CASE WHEN n % 53 <> 6 THEN start_timestamp END AS start_timestamp,
+                    CASE WHEN n % 41 <> 3 THEN email END AS email,
                     CASE WHEN n % 43 <> 4 THEN pi_last_name END AS pi_last_name)
   FROM (SELECT *, CAST(regexp_extract(last_name, '(\\d+)$', 1) AS BIGINT) AS n FROM user_form)),
 dirty_user_update AS (
@@ -115,10 +128,11 @@ user_log AS (
 opened AS (
   SELECT last_name AS pi, open_date, email, speed_code, storage,
          min(start_timestamp) AS open_ts,
-         last_name || '|' || strftime(open_date, '%Y-%m-%d') || '|' || email || '|'
+         last_name || '|' || strftime(open_date, '%Y-%m-%d') || '|'
+           || coalesce(email, '') || '|'
            || coalesce(speed_code, '') || '|'
            || coalesce(CAST(storage AS VARCHAR), '') AS project_id
-  FROM pi_req GROUP BY ALL),
+  FROM pi_req WHERE last_name IS NOT NULL GROUP BY ALL),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY pi ORDER BY open_date, open_ts, email,
                                speed_code, storage) AS place FROM opened),
@@ -198,7 +212,7 @@ replayed AS (
   SELECT * FROM segs WHERE (to_date IS NULL OR to_date >= from_date)
     AND ("end" IS NULL OR "end" > DATE '{start}')),
 closing AS (
-  SELECT DISTINCT email, close_date FROM kept WHERE close_date IS NOT NULL),
+  SELECT DISTINCT email, close_date FROM kept WHERE close_date IS NOT NULL AND email IS NOT NULL),
 latest AS (
   SELECT email, max(term_no) AS term_no, max("start") AS "start", max_by("end", term_no) AS "end"
   FROM (SELECT email, term_no, any_value("start") AS "start",
@@ -346,6 +360,7 @@ def statements() -> dict[str, str]:
     priced = _with(FORMS, _log(START, END), _terms(START), _days(START, END), PRICED)
     lines = _with(FORMS, _log(START, END), _terms(START), _days(START, END), PRICED, LINES)
     year = ("1997-01-01", "1997-12-31")
+    documents = lines + BODIES
     in_year = _with(FORMS, _log(*year), _terms(year[0]), _days(*year))
     dirty = _with(
         FORMS, DIRTY, _log(START, END, "dirty"), _terms(START), _days(START, END)
@@ -420,8 +435,12 @@ def statements() -> dict[str, str]:
         "closure_pass": term
         + ' SELECT DISTINCT email, name, term_no, "start", "end" FROM seg_final',
         "project_users": days
-        + ' SELECT DISTINCT h.project_id, h.pi, d.email, d.name, d.term_no, d."start", d."end"'
-        " FROM user_days d JOIN holder h ON h.pi = d.pi_name",
+        + ' SELECT DISTINCT d.pi_name AS pi, d.email, d.name, d.term_no, d."start", d."end"'
+        " FROM user_days d WHERE d.pi_name IN (SELECT pi FROM kept)",
+        "users_of_second_project": days
+        + ' SELECT DISTINCT k.pi, d.email, d.name, d.term_no, d."start", d."end"'
+        " FROM user_days d JOIN kept k ON k.pi = d.pi_name"
+        f" WHERE k.project_id = '{SECOND_PROJECT}'",
         "power_user_list": days
         + " SELECT t.name, t.email FROM power_terms t JOIN holder h USING (pi)",
         "power_user_list_year": in_year
@@ -443,15 +462,42 @@ def statements() -> dict[str, str]:
         + " SELECT pi, email, storage_amount, storage_price, billed_power_users, compute_price,"
         " storage_price + compute_price AS total_price, speed_code FROM charge",
         "quarter_totals": priced
-        + """ SELECT sum(storage_price) AS total_storage, sum(compute_price) AS total_compute,
-                sum(storage_price + compute_price) AS total_overall,
-                avg(storage_price) AS mean_storage, avg(compute_price) AS mean_compute,
-                avg(storage_price + compute_price) AS mean_overall FROM charge""",
+        + """ SELECT round(sum(storage_price), 6) AS total_storage,
+                round(sum(compute_price), 6) AS total_compute,
+                round(sum(storage_price + compute_price), 6) AS total_overall,
+                round(avg(storage_price), 6) AS mean_storage,
+                round(avg(compute_price), 6) AS mean_compute,
+                round(avg(storage_price + compute_price), 6) AS mean_overall FROM charge""",
         "bills": lines
         + " SELECT project_id, doc_name, section, user_start, user_email, place, name, start_date,"
         " end_date, quantity, unit_price, share, amount FROM lines",
-        "bill_documents": lines
-        + """, bodies AS (
+        "bill_documents": documents,
+        "bill_of_project": f"SELECT * FROM ({documents}) WHERE project_id = '{FIRST_PROJECT}'",
+        "bills_nested": lines
+        + """, user_numbers AS (
+              SELECT *, dense_rank() OVER (PARTITION BY project_id
+                                           ORDER BY user_start, user_email) AS user_no
+              FROM lines WHERE section = 2),
+            per_user AS (
+              SELECT project_id, CAST((user_no - 1) // 3 + 1 AS INTEGER) AS part_no,
+                     CAST((user_no - 1) % 3 AS INTEGER) AS place_in_part,
+                     max(name) AS last_name, max(amount) AS amount,
+                     string_agg(start_date || ' to ' || end_date, '; ' ORDER BY place) AS terms
+              FROM user_numbers GROUP BY project_id, user_no)
+            SELECT h.project_id, h.doc_name, coalesce(u.part_no, 1) AS part_no,
+                   CAST(greatest(ceil(h.power_users / 3), 1) AS INTEGER) AS parts,
+                   h.pi AS pi_name, h.storage_end AS storage_tb,
+                   printf('%.2f', h.storage_price) AS storage_subtotal,
+                   printf('%.2f', h.compute_price) AS power_users_subtotal,
+                   printf('%.2f', h.storage_price + h.compute_price) AS total, h.speed_code,
+                   u.place_in_part, u.last_name, u.terms, substr(u.amount, 2) AS subtotal
+            FROM head h LEFT JOIN per_user u USING (project_id)""",
+        "violations_clean": days + _findings(),
+        "violations_dirty": dirty + _findings("dirty_user"),
+    }
+
+
+BODIES = """, bodies AS (
               SELECT project_id, section,
                      string_agg(concat_ws(' | ', name, start_date, end_date, quantity, unit_price,
                                           share, amount), chr(10)
@@ -482,13 +528,10 @@ def statements() -> dict[str, str]:
             FROM parts h JOIN bodies s ON s.project_id = h.project_id AND s.section = 1
             LEFT JOIN u ON u.project_id = h.project_id AND u.part_no = h.part_no
             JOIN bodies t ON t.project_id = h.project_id AND t.section = 3
-            JOIN bodies b ON b.project_id = h.project_id AND b.section = 4""",
-        "violations_clean": days + _findings(),
-        "violations_dirty": dirty + _findings(),
-    }
+            JOIN bodies b ON b.project_id = h.project_id AND b.section = 4"""
 
 
-def _findings() -> str:
+def _findings(user_form: str = "user_form") -> str:
     return f""",
 walk AS (
   SELECT *, max(CASE WHEN is_new OR creates THEN date END) OVER
@@ -498,6 +541,17 @@ found AS (
   SELECT 'missing_key' AS rule, 'user' AS entity, name AS key, CAST(ts AS DATE) AS event_date,
          'email' AS detail FROM user_log WHERE src_rank < 2 AND email IS NULL
   UNION ALL
+  SELECT 'missing_key', 'project', email, open_date, 'last_name' FROM pi_req
+  WHERE last_name IS NULL
+  UNION ALL
+  SELECT 'missing_key', 'project', last_name, open_date, 'email' FROM pi_req WHERE email IS NULL
+  UNION ALL
+  SELECT 'missing_power_user', 'user', email, CAST(ts AS DATE), NULL FROM user_log
+  WHERE src_rank = 0 AND power_user IS NULL
+  UNION ALL
+  SELECT 'missing_timestamp', 'form', email, NULL, NULL FROM {user_form}
+  WHERE start_timestamp IS NULL
+  UNION ALL
   SELECT 'missing_storage', 'project', last_name, open_date, NULL FROM pi_req WHERE storage IS NULL
   UNION ALL
   SELECT 'missing_speed_code', 'project', last_name, open_date, NULL FROM pi_req

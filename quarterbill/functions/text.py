@@ -32,8 +32,26 @@ def long_date_or_open(day: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """Two decimals; halves go to the even cent."""
-    return F.format_string("%.2f", F.bround(amount, 2))
+    """Two decimals of the stored binary value, not of its shortest decimal form.
+
+    2.675 is stored as a little less, so it gives 2.67. Exact halves go to the even cent.
+    Splitting the amount into a 26-bit head and the rest makes both products exact, and so
+    the side of the half on which the amount lies. Amounts of 10^12 and more, whose cents
+    are few, are rounded in decimal form.
+    """
+    size = F.abs(amount)
+    shifted = size * F.lit(134217729.0)  # 2^27 + 1
+    head = shifted - (shifted - size)
+    cents = F.floor(size * 100)
+    over_half = (head * 100 - (cents + F.lit(0.5))) + (size - head) * 100
+    up = F.when(over_half == 0, cents % 2).otherwise((over_half > 0).cast("bigint"))
+    whole = cents + up
+    exact = F.concat(
+        F.when(F.signum(amount) < 0, F.lit("-")).otherwise(F.lit("")),
+        F.format_string("%d.%02d", F.floor(whole / 100), whole % 100),
+    )
+    rounded = F.format_string("%.2f", F.bround(amount, 2))
+    return F.when(size < F.lit(1e12), exact).otherwise(rounded)
 
 
 def plain_number(number: Column) -> Column:

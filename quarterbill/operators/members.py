@@ -87,6 +87,13 @@ def members_of_kept(members: DataFrame, pis: DataFrame, **spread: object) -> Dat
     )
 
 
+def of_pis_with_projects(members: DataFrame, pis: DataFrame, **spread: object) -> DataFrame:
+    """Members of PIs that have a kept project. All projects of a PI have the same ones."""
+    return spread_join(
+        members, holders(pis).select("pi"), "pi", spread_by=["email"], how="left_semi", **spread
+    )
+
+
 def one_row_per_term(members: DataFrame) -> DataFrame:
     """Flatten the terms of each member."""
     return members.selectExpr("* EXCEPT (terms, name)", "explode(terms) AS term").selectExpr(

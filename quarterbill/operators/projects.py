@@ -32,8 +32,16 @@ class ProjectLog:
     days: DataFrame
 
 
+def _cell(field: str) -> str:
+    """A field as a part of `project_id`: no two values, null and blank among them, alike."""
+    text = f"cast({field} AS string)"
+    escaped = rf"replace(replace({text}, r'\', r'\\'), '|', r'\|')"
+    return rf"CASE WHEN {field} IS NULL THEN '' WHEN {text} = '' THEN r'\' ELSE {escaped} END"
+
+
 def opened_projects(forms: Forms, period: Period) -> DataFrame:
     """One row per project; equal requests of one day are one project."""
+    fields = ("pi", "open_date", "email", "speed_code", "storage")
     return (
         events.pi_requests(forms, period)
         .where("pi IS NOT NULL")
@@ -41,9 +49,7 @@ def opened_projects(forms: Forms, period: Period) -> DataFrame:
         .agg(F.min("ts").alias("open_ts"))
         .selectExpr(
             "*",
-            """concat_ws('|', pi, open_date, coalesce(email, ''), coalesce(speed_code, ''),
-                 coalesce(cast(storage AS string), ''))
-               AS project_id""",
+            f"concat_ws('|', {', '.join(map(_cell, fields))}) AS project_id",
         )
     )
 

@@ -87,9 +87,12 @@ class QuarterBilling:
 
     @cached_property
     def members(self) -> DataFrame:
-        """Everybody with a day under each PI that has a kept project."""
+        """Everybody with a day under each PI that has a kept project, one row per PI.
+
+        These are the users of each of the PI's projects; `users_of` gives one project's.
+        """
         everybody = stage(members.all_members(self.segments_in_period, self.period))
-        return members.members_of_kept(everybody, self.log.pis)
+        return members.of_pis_with_projects(everybody, self.log.pis)
 
     @cached_property
     def power_members(self) -> DataFrame:
@@ -188,6 +191,26 @@ class QuarterBilling:
         """Rendered bills, one row per project and part."""
         return reports.bill_documents(self.bills(bill_date, users_in_part), self.policy)
 
+    def bill_of(
+        self,
+        project_id: str,
+        bill_date: dt.date | None = None,
+        users_in_part: int = reports.USERS_IN_PART,
+    ) -> DataFrame:
+        """The rendered bill of one project; no row where it is not billable."""
+        pi = self.projects.where(F.col("project_id") == project_id).select("pi")
+        candidates = stage(self.candidates.join(pi, "pi", "left_semi"))
+        charges = self.charges_from(candidates).where(F.col("project_id") == project_id)
+        priced = pricing.priced_members(
+            candidates, self.log.pis, self.period, self.policy
+        ).where(F.col("project_id") == project_id)
+        nested = reports.bills(
+            reports.bill_heads(charges, self.period, self.policy, bill_date or today()),
+            reports.bill_users(priced, self.period, self.policy),
+            users_in_part,
+        )
+        return reports.bill_documents(nested, self.policy)
+
     # -- checks --------------------------------------------------------------------
 
     def violations(self, *, strict: bool = False) -> DataFrame:

@@ -60,13 +60,16 @@ class DerivedForms:
             "last_name",
             "pi_is_power_user",
             "concat('sc2-', s_suppkey) AS speed_code",
-            "2D AS storage",
+            "0.214D AS storage",
         )
         return first.unionByName(second)
 
     @cached_property
     def pi_update(self) -> DataFrame:
-        """Storage and code changes from line items; closures of every tenth supplier."""
+        """Storage and code changes from line items; closures of every tenth supplier.
+
+        Three in four closures come from another person's email.
+        """
         changes = (
             self._table("lineitem")
             .selectExpr(
@@ -84,7 +87,7 @@ class DerivedForms:
         closures = self._supplier.where("s_suppkey % 10 = 9").selectExpr(
             """if(s_suppkey % 20 = 9, timestamp_ntz'1998-08-20 10:00:00',
                   timestamp_ntz'1998-09-15 10:00:00') AS timestamp""",
-            "email",
+            "if(s_suppkey % 40 = 9, email, concat('office', s_suppkey, '@x.org')) AS email",
             "last_name",
             "cast(NULL AS string) AS speed_code",
             "cast(NULL AS double) AS new_storage",
@@ -136,11 +139,15 @@ class DerivedForms:
 
     @cached_property
     def user_update(self) -> DataFrame:
-        """Every further order is an account update."""
+        """Every further order is an account update; some PIs end their own term.
+
+        Where another person closes such a PI's project, the term is over by then, or a
+        later one has begun.
+        """
         further = self._orders.join(
             self._first_orders.select("o_orderkey"), "o_orderkey", "left_anti"
         )
-        return further.selectExpr(
+        asked = further.selectExpr(
             "ts AS timestamp",
             "concat('c', o_custkey, '@x.org') AS email",
             "concat('c', o_custkey) AS last_name",
@@ -148,6 +155,27 @@ class DerivedForms:
             "CASE WHEN o_orderkey % 3 <> 1 THEN hi END AS new_power_user",
             "end AS new_end_timestamp",
         )
+        own = self._supplier.selectExpr(
+            """explode(CASE s_suppkey % 40
+                 WHEN 29 THEN array(
+                   struct(timestamp_ntz'1998-06-01 10:00:00' AS timestamp,
+                          timestamp_ntz'1998-08-01 00:00:00' AS end))
+                 WHEN 39 THEN array(
+                   struct(timestamp_ntz'1998-01-10 10:00:00' AS timestamp,
+                          timestamp_ntz'1998-03-01 00:00:00' AS end),
+                   struct(timestamp_ntz'1998-09-20 10:00:00' AS timestamp,
+                          timestamp_ntz'1999-06-30 00:00:00' AS end)) END) AS change""",
+            "email",
+            "last_name",
+        ).selectExpr(
+            "change.timestamp",
+            "email",
+            "last_name",
+            "cast(NULL AS string) AS pi_last_name",
+            "cast(NULL AS boolean) AS new_power_user",
+            "change.end AS new_end_timestamp",
+        )
+        return asked.unionByName(own)
 
 
 class DirtyForms:
@@ -160,9 +188,11 @@ class DirtyForms:
 
     @cached_property
     def pi(self) -> DataFrame:
-        """Some requests lack storage or a speed code."""
+        """Some requests lack storage, a speed code, a PI or an email."""
         return self._clean.pi.selectExpr(
-            "* EXCEPT (storage, speed_code)",
+            "* EXCEPT (storage, speed_code, last_name, email)",
+            f"if({self._NUMBER} % 20 <> 6, last_name, NULL) AS last_name",
+            f"if({self._NUMBER} % 20 <> 1, email, NULL) AS email",
             f"if({self._NUMBER} % 10 <> 2, storage, NULL) AS storage",
             f"if({self._NUMBER} % 10 <> 4, speed_code, NULL) AS speed_code",
         )
@@ -183,9 +213,11 @@ class DirtyForms:
 
     @cached_property
     def user(self) -> DataFrame:
-        """Some requests lack an email or a PI."""
+        """Some requests lack an email, a PI, a privilege or a time."""
         return self._clean.user.selectExpr(
-            "* EXCEPT (email, pi_last_name)",
+            "* EXCEPT (email, pi_last_name, power_user, start_timestamp)",
+            f"if({self._NUMBER} % 47 <> 5, power_user, NULL) AS power_user",
+            f"if({self._NUMBER} % 53 <> 6, start_timestamp, NULL) AS start_timestamp",
             f"if({self._NUMBER} % 41 <> 3, email, NULL) AS email",
             f"if({self._NUMBER} % 43 <> 4, pi_last_name, NULL) AS pi_last_name",
         )

@@ -1,8 +1,14 @@
 """Both sides of every bound, read from CSV forms. Quarter 2020-11-01..2021-01-31."""
 
+import datetime as dt
+import random
+from types import SimpleNamespace
+
 import pytest
 
 from quarterbill import Period, QuarterBilling
+from quarterbill.functions import text
+from quarterbill.operators.projects import opened_projects
 from tests.forms_csv import write_forms
 
 PERIOD = Period.quarter("2020-11-01")
@@ -174,3 +180,27 @@ def test_bill_lines(run):
 def test_users_of_one_project(run):
     moved = run.users_of("e10-b|2020-02-01|e10-b@x|b2020-02-01|0.0")
     assert {r.email for r in moved.collect()} == {"e10-b@x", "e10-u@x"}
+
+
+def test_money_is_rounded_from_the_stored_value(spark):
+    rng = random.Random(5)
+    amounts = [2.675, 0.125, 0.375, 1.005, 0.0, -2.675, -0.125, 1e11 + 0.125, 0.004999999]
+    amounts += [rng.randrange(10**7) * 0.0125 for _ in range(3000)]
+    amounts += [rng.randrange(10**6) / 1000 + 0.005 for _ in range(3000)]
+    rows = spark.createDataFrame([(a,) for a in amounts], "a double")
+    shown = rows.select("a", text.money(rows.a).alias("shown")).collect()
+    assert [(r.a, r.shown) for r in shown if r.shown != f"{r.a:.2f}"] == []
+
+
+def test_project_ids_keep_different_requests_apart(spark):
+    day = dt.datetime(2020, 1, 1)
+    cells = [("a|b", "c"), ("a", "b|c"), ("a\\", "c"), (None, "a"), ("", "a"), ("a\\|c", "")]
+    rows = [(day, email, "a", "a", False, code, 1.0) for email, code in cells]
+    pi = spark.createDataFrame(
+        rows,
+        "start_timestamp timestamp_ntz, email string, first_name string, last_name string,"
+        " pi_is_power_user boolean, speed_code string, storage double",
+    )
+    forms = SimpleNamespace(pi=pi)
+    opened = opened_projects(forms, Period.quarter("2020-11-01"))
+    assert len({r.project_id for r in opened.collect()}) == len(cells)
