@@ -4,7 +4,8 @@ Each page's tree is aligned with that of the host's first page by simple tree ma
 labels must be equal, order is kept, and the most nodes are matched; runs of siblings with
 the same label are one repeated node. A text of the first page that the aligned places of
 the other pages repeat is template; places whose text varies are slots. The main text lies
-where the slots are, less what is marked as navigation, advert, form and the like.
+in the articles or main elements, else where the slots are, less template and what is marked
+as navigation, advert, form and the like.
 """
 
 from __future__ import annotations
@@ -17,14 +18,13 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarterbill.llm.common import same_key, stage
 from quarterbill.llm.dom import BLOCK, RAW, Node, parse, tidy
 
 LEAST_PAGES = 3  # aligned pages from which a text can be template
 TEMPLATE_SHARE = 0.8  # of them must repeat it
-#: A template that takes more of a page's text than this is a copy of the page, not a template.
-MOST_TEMPLATE = 0.5
 DEEPEST = 100  # nodes below are not aligned, and so are slots
 
 #: Elements, roles and words of class or id that mark what is not article.
@@ -79,14 +79,14 @@ def label(node: Node) -> str:
 
 
 class Shape:
-    """A node for alignment: label, own text, and runs of equally labelled children."""
+    """A node for alignment: label, own texts, and runs of equally labelled children."""
 
-    __slots__ = ("label", "path", "runs", "size", "text")
+    __slots__ = ("label", "path", "runs", "texts")
 
     def __init__(self, node: Node, path: str = "", depth: int = 0):
         self.label = label(node)
         self.path = f"{path}/{self.label}"
-        self.text = tidy(" ".join(c for c in node.children if isinstance(c, str)))
+        self.texts = [t for c in node.children if isinstance(c, str) and (t := tidy(c))]
         self.runs: list[list[Shape]] = []
         for child in node.children if depth < DEEPEST else ():
             if not isinstance(child, str) and child.tag not in RAW:
@@ -96,9 +96,6 @@ class Shape:
                 else:
                     self.runs.append([shape])
 
-    def sign(self) -> int:
-        return sign(self.path, self.text)
-
 
 def sign(path: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{text}") - (1 << 63)
@@ -139,10 +136,10 @@ def repeated(reference: Shape, page: Shape) -> Iterator[tuple[int, bool]]:
     todo = [([reference], [page])]
     while todo:
         run, other = todo.pop()
-        texts = {s.text for s in other}
+        texts = {t for s in other for t in s.texts}
         for shape in run:
-            if shape.text:
-                yield shape.sign(), shape.text in texts
+            for text in shape.texts:
+                yield sign(shape.path, text), text in texts
         for i, shape in enumerate(run):
             twin = other[min(i, len(other) - 1)]
             for a, b in _matching(shape, twin, known)[1]:
@@ -164,85 +161,100 @@ def _visible(root: Node) -> Iterator[tuple[Node, str]]:
         todo += [(c, path) for c in reversed(node.children) if not isinstance(c, str)]
 
 
-def _region(root: Node, constant: set[int]) -> tuple[Node, set[int]]:
-    """The element that holds the slots, and ids of the elements in it whose text is template."""
-    visible = list(_visible(root))
-    marked = [n for n, _ in visible if n.tag == "article" and not _inside(n, ("article",))]
-    marked = marked or [n for n, _ in visible if n.tag == "main" or 'role="main"' in n.written]
-    if marked:
-        size = {id(n): sum(len(c) for e, _ in _visible_from(n) for c in e.children if isinstance(c, str)) for n in marked}
-        return max(marked, key=lambda n: size[id(n)]), set()
-    owners, template = [], set()
-    total = fixed = 0
-    for node, path in visible:
-        text = tidy(" ".join(c for c in node.children if isinstance(c, str)))
-        if text:
-            total += len(text)
-            if sign(path, text) in constant:
-                template.add(id(node))
-                fixed += len(text)
-            else:
-                owners.append(node)
-    if not owners or fixed > MOST_TEMPLATE * total:
-        return root, set()
+def _regions(root: Node, constant: set[int]) -> tuple[list[Node], set[tuple[int, int]]]:
+    """The elements that hold the slots, in page order, and the template's texts as (id of element, place in it).
+
+    They are the outermost articles, else the outermost main elements, else the smallest element
+    around all slots. Elements without a text do not count.
+    """
+    owners, template, filled = [], set(), set()
+    marked: dict[str, list[Node]] = {"article": [], "main": []}
+    for node, path in _visible(root):
+        kind = "main" if 'role="main"' in node.written else node.tag
+        if kind in marked:
+            marked[kind].append(node)
+        texts = [(i, t) for i, c in enumerate(node.children) if isinstance(c, str) and (t := tidy(c))]
+        fixed = {(id(node), i) for i, t in texts if sign(path, t) in constant} if constant else set()
+        template |= fixed
+        up: Node | None = node if texts else None
+        while up is not None and id(up) not in filled:
+            filled.add(id(up))
+            up = up.parent
+        if len(fixed) < len(texts):
+            owners.append(node)
+    for nodes in marked.values():
+        outer: list[Node] = []
+        held: set[int] = set()
+        for node in nodes:  # in page order, so an element comes after those around it
+            up = node.parent
+            while up is not None and id(up) not in held:
+                up = up.parent
+            if up is None and id(node) in filled:
+                outer.append(node)
+                held.add(id(node))
+        if outer:
+            return outer, template
+    if not owners:
+        return [root], template
     # the smallest element around all slots
     chain = []
-    node: Node | None = owners[0]
-    while node is not None:
-        chain.append(node)
-        node = node.parent
+    at: Node | None = owners[0]
+    while at is not None:
+        chain.append(at)
+        at = at.parent
     place = {id(n): i for i, n in enumerate(chain)}
     top = 0
-    for owner in owners[1:]:
-        node = owner
+    for node in owners[1:]:
         while id(node) not in place:
             node = node.parent
         top = max(top, place[id(node)])
-    return chain[top], template
-
+    return [chain[top]], template
 
-def _visible_from(node: Node) -> Iterator[tuple[Node, str]]:
-    todo = [node]
-    while todo:
-        now = todo.pop()
-        yield now, ""
-        todo += [c for c in now.children if not isinstance(c, str) and not is_boilerplate(c)]
 
-
-def main_text(html: str | None, constant: set[int] = frozenset()) -> str:
-    """The blocks of a page's main text, one per line."""
-    root = parse(html or "")
-    region, template = _region(root, constant)
+def _blocks(root: Node, constant: set[int] = frozenset()) -> list[str]:
+    """The blocks of the main text, less those whose texts are all template."""
+    regions, template = _regions(root, constant)
     blocks: list[str] = []
     buffer: list[str] = []
+    slot = not template  # a text in the buffer is none of the template's
 
     def flush() -> None:
-        if text := tidy("".join(buffer)):
+        nonlocal slot
+        if slot and (text := tidy("".join(buffer))):
             blocks.append(text)
         buffer.clear()
+        slot = not template
 
-    todo: list = [region]
+    own = {id(r) for r in regions}
+    todo: list = []
+    for region in reversed(regions):
+        todo += [None, region]
     while todo:
         item = todo.pop()
         if item is None:
             flush()
-        elif isinstance(item, str):
-            buffer.append(item)
-        elif item is not region and is_boilerplate(item):
+        elif isinstance(item, tuple):
+            text, varies = item
+            buffer.append(text)
+            slot = slot or (varies and tidy(text) != "")
+        elif id(item) not in own and is_boilerplate(item):
             continue
         elif item.tag in ("br", "wbr"):
             buffer.append(" " if item.tag == "br" else "")
         else:
-            block = item.tag in BLOCK
-            if block:
+            if item.tag in BLOCK:
                 flush()
                 todo.append(None)
-            children = item.children
-            if id(item) in template:
-                children = [c for c in children if not isinstance(c, str)]
-            todo += reversed(children)
+            for i in range(len(item.children) - 1, -1, -1):
+                child = item.children[i]
+                todo.append((child, (id(item), i) not in template) if isinstance(child, str) else child)
     flush()
-    return "\n".join(blocks)
+    return blocks
+
+
+def main_text(html: str | None, constant: set[int] = frozenset()) -> str:
+    """The blocks of a page's main text, one per line."""
+    return "\n".join(_blocks(parse(html or ""), constant))
 
 
 # --- over tables --------------------------------------------------------------------------
@@ -278,9 +290,27 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(*k, *v) for k, v in counts.items()], columns=["host", "sign", "aligned", "same"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """host, constant: signs of the texts that a host's pages repeat. Every page votes."""
+def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        batch["text"] = [xxhash.xxh128_digest("\n".join(_blocks(parse(h)))) for h in batch.html]
+        yield batch
+
+
+def voters(pages: DataFrame) -> DataFrame:
+    """host, page_id, html: of each host's pages one for each text that they show, so copies vote once."""
     read = pages.select(host().alias("host"), "page_id", "html").where("host IS NOT NULL AND html IS NOT NULL")
+    return (
+        read.mapInPandas(_marked, T.StructType([*read.schema, T.StructField("text", T.BinaryType())]))
+        .where(F.col("text") != F.lit(xxhash.xxh128_digest("")))
+        .groupBy("host", "text")
+        .agg(F.min_by(F.struct("page_id", "html"), F.struct("page_id", F.xxhash64("html"))).alias("page"))
+        .select("host", "page.page_id", "page.html")
+    )
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """host, constant: signs of the texts that a host's pages repeat. Every text of a host votes."""
+    read = stage(voters(pages), "voters")
     firsts = (
         read.groupBy("host")
         .agg(F.min_by("html", F.struct("page_id", F.xxhash64("html"))).alias("first"), F.count(F.lit(1)).alias("n"))
