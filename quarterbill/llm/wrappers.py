@@ -1,9 +1,9 @@
 """Main text of pages by wrapper induction over the pages of a host.
 
-Each page's tree is aligned with that of the host's first page by simple tree matching:
-labels must be equal, order is kept, and the most nodes are matched; runs of siblings with
-the same label are one repeated node. A text of the first page that the aligned places of
-the other pages repeat is template; places whose text varies are slots. The main text lies
+Each page's tree is aligned with those of reference pages of its host, one for each of the
+most frequent layouts, by simple tree matching: labels must be equal, order is kept, and the
+most nodes are matched; runs of siblings with the same label are one repeated node. A text
+of a reference that the aligned places of the other pages repeat is template; places whose text varies are slots. The main text lies
 in the articles or main elements, else where the slots are, less template and what is marked
 as navigation, advert, form and the like.
 """
@@ -11,12 +11,13 @@ as navigation, advert, form and the like.
 from __future__ import annotations
 
 import re
+import struct
 from collections import OrderedDict
 from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,8 @@ from quarterbill.llm.dom import BLOCK, RAW, Node, parse, tidy
 
 LEAST_PAGES = 3  # aligned pages from which a text can be template
 TEMPLATE_SHARE = 0.8  # of them must repeat it
+REFERENCES = 4  # layouts of a host, the most frequent ones, whose first page is a reference
+LAYOUT_DEPTH = 4  # elements down to here, with their classes, make the layout
 DEEPEST = 100  # nodes below are not aligned, and so are slots
 
 #: Elements, roles and words of class or id that mark what is not article.
@@ -79,22 +82,67 @@ def label(node: Node) -> str:
 
 
 class Shape:
-    """A node for alignment: label, own texts, and runs of equally labelled children."""
+    """A node for alignment: label, signs of its own texts, and runs of equally labelled children.
 
-    __slots__ = ("label", "path", "runs", "texts")
+    Aligned nodes have equal paths, so equal signs are equal texts.
+    """
+
+    __slots__ = ("label", "path", "runs", "signs")
 
-    def __init__(self, node: Node, path: str = "", depth: int = 0):
+    def __init__(self, node: Node | None, path: str = "", depth: int = 0):
+        self.runs: list[list[Shape]] = []
+        self.signs: list[int] = []
+        if node is None:
+            return
         self.label = label(node)
         self.path = f"{path}/{self.label}"
-        self.texts = [t for c in node.children if isinstance(c, str) and (t := tidy(c))]
-        self.runs: list[list[Shape]] = []
-        for child in node.children if depth < DEEPEST else ():
-            if not isinstance(child, str) and child.tag not in RAW:
-                shape = Shape(child, self.path, depth + 1)
-                if self.runs and self.runs[-1][0].label == shape.label:
-                    self.runs[-1].append(shape)
-                else:
-                    self.runs.append([shape])
+        for child in node.children:
+            if isinstance(child, str):
+                if text := tidy(child):
+                    self.signs.append(sign(self.path, text))
+            elif depth < DEEPEST and child.tag not in RAW:
+                self.add(Shape(child, self.path, depth + 1))
+
+    def add(self, child: Shape) -> None:
+        if self.runs and self.runs[-1][0].label == child.label:
+            self.runs[-1].append(child)
+        else:
+            self.runs.append([child])
+
+    def written(self) -> bytes:
+        """The tree in bytes: the signs, and a line with depth, number of signs and label for each node."""
+        lines, signs, todo = [], [], [(self, 0)]
+        while todo:
+            shape, depth = todo.pop()
+            lines.append(f"{depth} {len(shape.signs)} {shape.label}")
+            signs += shape.signs
+            todo += [(s, depth + 1) for run in reversed(shape.runs) for s in reversed(run)]
+        return struct.pack(f"<I{len(signs)}q", len(signs), *signs) + "\n".join(lines).encode()
+
+    @classmethod
+    def read(cls, data: bytes) -> Shape:
+        (n,) = struct.unpack_from("<I", data)
+        signs, at = struct.unpack_from(f"<{n}q", data, 4), 0
+        around: list[Shape] = []
+        for line in data[4 + 8 * n :].decode().split("\n"):  # a label has no white space
+            depth, own, name = line.split(" ", 2)
+            shape = cls(None)
+            del around[int(depth) :]
+            shape.label, shape.path = name, f"{around[-1].path if around else ''}/{name}"
+            shape.signs = list(signs[at : at + int(own)])
+            at += int(own)
+            if around:
+                around[-1].add(shape)
+            around.append(shape)
+        return around[0]
+
+    def layout(self) -> int:
+        """Equal for pages whose outer elements are the same, in any number and order."""
+        paths, level = {self.path}, [self]
+        for _ in range(LAYOUT_DEPTH):
+            level = [s for shape in level for run in shape.runs for s in run]
+            paths |= {s.path for s in level}
+        return sign("", "\n".join(sorted(paths)))
 
 
 def sign(path: str, text: str) -> int:
@@ -136,10 +184,10 @@ def repeated(reference: Shape, page: Shape) -> Iterator[tuple[int, bool]]:
     todo = [([reference], [page])]
     while todo:
         run, other = todo.pop()
-        texts = {t for s in other for t in s.texts}
+        signs = {x for s in other for x in s.signs}
         for shape in run:
-            for text in shape.texts:
-                yield sign(shape.path, text), text in texts
+            for x in shape.signs:
+                yield x, x in signs
         for i, shape in enumerate(run):
             twin = other[min(i, len(other) - 1)]
             for a, b in _matching(shape, twin, known)[1]:
@@ -269,9 +317,9 @@ def host() -> F.Column:
 class _References(OrderedDict):
     """The latest reference trees of a task, by host; a bounded number."""
 
-    def of(self, name: str, html: str) -> Shape:
+    def of(self, name: str, firsts: list[bytes]) -> list[Shape]:
         if name not in self:
-            self[name] = Shape(parse(html))
+            self[name] = [Shape.read(data) for data in firsts]
             if len(self) > 64:
                 self.popitem(last=False)
         self.move_to_end(name)
@@ -282,8 +330,13 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     references = _References()
     for batch in batches:
         counts: dict[tuple[str, int], list[int]] = {}
-        for name, html, first in zip(batch.host, batch.html, batch["first"]):
-            for signed, same in repeated(references.of(name, first), Shape(parse(html))):
+        for name, data, firsts in zip(batch.host, batch.tree, batch.firsts):
+            shape = Shape.read(data)
+            own: dict[int, bool] = {}  # a page has one vote on a text, by whichever reference it is found
+            for reference in references.of(name, firsts):
+                for signed, same in repeated(reference, shape):
+                    own[signed] = own.get(signed, False) or same
+            for signed, same in own.items():
                 vote = counts.setdefault((name, signed), [0, 0])
                 vote[0] += 1
                 vote[1] += same
@@ -292,39 +345,56 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        batch["text"] = [xxhash.xxh128_digest("\n".join(_blocks(parse(h)))) for h in batch.html]
-        yield batch
+        rows = []
+        for html in batch.html:
+            root = parse(html)
+            shape = Shape(root)
+            rows.append((xxhash.xxh128_digest("\n".join(_blocks(root))), shape.layout(), shape.written()))
+        batch["text"], batch["layout"], batch["tree"] = zip(*rows) if rows else ((), (), ())
+        yield batch.drop(columns="html")
 
 
 def voters(pages: DataFrame) -> DataFrame:
-    """host, page_id, html: of each host's pages one for each text that they show, so copies vote once."""
+    """host, page_id, layout, tree: of each host's pages one for each text that they show.
+
+    So copies vote once, and pages that show no text do not.
+    """
     read = pages.select(host().alias("host"), "page_id", "html").where("host IS NOT NULL AND html IS NOT NULL")
+    marks = [T.StructField("text", T.BinaryType()), T.StructField("layout", T.LongType()), T.StructField("tree", T.BinaryType())]
     return (
-        read.mapInPandas(_marked, T.StructType([*read.schema, T.StructField("text", T.BinaryType())]))
+        read.mapInPandas(_marked, T.StructType([*read.drop("html").schema, *marks]))
         .where(F.col("text") != F.lit(xxhash.xxh128_digest("")))
         .groupBy("host", "text")
-        .agg(F.min_by(F.struct("page_id", "html"), F.struct("page_id", F.xxhash64("html"))).alias("page"))
-        .select("host", "page.page_id", "page.html")
+        .agg(F.min(F.struct("page_id", "layout", "tree")).alias("page"))
+        .select("host", "page.*")
+    )
+
+
+def references(read: DataFrame) -> DataFrame:
+    """host, firsts: the tree of the first page of each of the most frequent layouts of hosts with enough voters."""
+    order = Window.partitionBy("host").orderBy(F.desc("n"), "layout")
+    layouts = (
+        read.groupBy("host", "layout")
+        .agg(F.min(F.struct("page_id", "tree"))["tree"].alias("first"), F.count(F.lit(1)).alias("n"))
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= REFERENCES)
     )
+    enough = read.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES)
+    return layouts.join(enough, "host").groupBy("host").agg(F.collect_list("first").alias("firsts"))
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """host, constant: signs of the texts that a host's pages repeat. Every text of a host votes."""
     read = stage(voters(pages), "voters")
-    firsts = (
-        read.groupBy("host")
-        .agg(F.min_by("html", F.struct("page_id", F.xxhash64("html"))).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= LEAST_PAGES)
-        .select("host", "first")
-    )
     # written, so that the join has a shuffle on either side and a hot host can be split
-    votes = read.join(stage(firsts, "references"), "host").mapInPandas(_votes, "host string, sign long, aligned long, same long")
+    firsts = stage(references(read), "references")
+    votes = read.join(firsts, "host").mapInPandas(_votes, "host string, sign long, aligned long, same long")
     return (
         votes.groupBy("host", "sign")
         .agg(F.sum("aligned").alias("aligned"), F.sum("same").alias("same"))
         .where((F.col("aligned") >= LEAST_PAGES) & (F.col("same") >= TEMPLATE_SHARE * F.col("aligned")))
         .groupBy("host")
-        .agg(F.collect_list("sign").alias("constant"))  # at most the texts of one page
+        .agg(F.collect_list("sign").alias("constant"))  # at most the texts of the references
     )
 
 

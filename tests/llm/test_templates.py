@@ -1,6 +1,6 @@
 """Templates of a host's pages, within articles and without."""
 
-from quarterbill.llm import wrappers
+from quarterbill.llm import dom, wrappers
 
 
 def texts(spark, htmls, host="http://a.example"):
@@ -27,3 +27,20 @@ def test_copies_of_an_article_are_no_template(shipped):
 def test_an_empty_article_does_not_hide_the_rest():
     assert wrappers.main_text("<article> </article><main><p>a</p></main><p>b") == "a"
     assert wrappers.main_text("<article></article><p>b") == "b"
+
+
+def test_short_texts_lose_a_long_template_and_first_pages_of_other_kinds_do_no_harm(shipped):
+    notice = "This long notice stands on every page of the host, above whatever the page is about. " * 5
+    page = f"<body><div class=a><p>{notice}</p></div><div class=b><p>Short {{0}}</p></div><div class=c>About all of us</div>"
+    other = "<body><section><h2>Listing {0}</h2><i>All of our listings are here</i></section>"
+    htmls = ["", "<script>location='/x'</script>", other.format(0), "<body><table><tr><td>moved</table>"]
+    htmls += [page.format(i) for i in range(6)] + [other.format(i) for i in range(1, 4)]
+    got = texts(shipped, htmls)
+    assert got == ["", "", "Listing 0", "moved", *(f"Short {i}" for i in range(6)), *(f"Listing {i}" for i in range(1, 4))]
+
+
+def test_a_written_tree_is_read_back():
+    shape = wrappers.Shape(dom.parse("<div class='b a'>x<p>1<p>2<u>é</u>3</div><div></div>y<p><i>z"))
+    again = wrappers.Shape.read(shape.written())
+    assert again.written() == shape.written() and again.layout() == shape.layout()
+    assert list(wrappers.repeated(again, shape)) == [(x, True) for x, _ in wrappers.repeated(shape, shape)]
