@@ -27,11 +27,16 @@ ASSIGN = re.compile(
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
+#: Blanks, which part values; of those before a value, control characters are none.
+BLANKS = r"\x00-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+BLANK = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 CONTEXT = re.compile(
     r"""(?<![a-z0-9])(pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|login)"""
-    r"""["']?(?:\x20*[:=]+>?\x20*|\x20+is:?\x20+|\x20+)["'`]?([^\x00-\x20"'`<>,;|]+)""",
+    rf"""["']?(?:{BLANK}*[:=]+>?{BLANK}*|{BLANK}+is:?{BLANK}+|{BLANK}+)(["'`]?)(?=[^{BLANKS}])""",
     ASCII_CASE,
 )
+VALUE_END = re.compile(rf"[{BLANKS}]|\Z")
+TRAILING = frozenset(".!?:)]},;|<>\"'`")
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "credential", "key", "auth", "bearer", "login")
 
 #: Rows of a keyboard, left to right.
@@ -139,6 +144,34 @@ def guess_bits(value: str, ranks: dict[str, int]) -> float:
     return best[n]
 
 
+def candidates(text: str, least_length: int) -> Iterator[tuple[int, int]]:
+    """Bounds of the values in credential contexts, in their order, without overlaps.
+
+    A value ends before a blank or at the quote that opened it; punctuation at the end of a
+    value without quotes is none of it. A value that is itself a context ("login password is
+    x") gives way to the value after it; other contexts within a value are part of it.
+    """
+    held = None  # the latest value, for which the next context may have a better one
+    at, stop, bare = 0, -1, -1  # bare: end of what stands before the blank at `stop`, without punctuation
+    while m := CONTEXT.search(text, at):
+        at = start = m.end()  # a value may be a context itself
+        if start >= stop:
+            stop = bare = VALUE_END.search(text, start).start()
+            while bare > start and text[bare - 1] in TRAILING:
+                bare -= 1
+        end = text.find(m[2], start, stop) if m[2] else -1
+        end = max(start, bare) if end < 0 else end
+        if held and start < held[1]:  # within the latest value
+            end = min(end, held[1])
+            if m.start() > held[0] or end - start < least_length:
+                continue
+        elif held and m.start() != held[0]:
+            yield held
+        held = (start, end) if end - start >= least_length else None
+    if held:
+        yield held
+
+
 def scan(text: str | None, ranks: dict[str, int], least_bits: float = 40.0, least_length: int = 8) -> list[tuple]:
     """Spans (start, end, kind) of a text in code points, by start, then kind as in KINDS.
 
@@ -156,16 +189,12 @@ def scan(text: str | None, ranks: dict[str, int], least_bits: float = 40.0, leas
     if any(w in lower for w in CONTEXT_WORDS):
         taken = sorted(spans)
         at = 0
-        for m in CONTEXT.finditer(text):
-            start, value = m.start(2), m[2].rstrip(".!?:)]}")
-            end = start + len(value)
-            if len(value) < least_length or value.isalpha():
-                continue
+        for start, end in candidates(text, least_length):
             while at < len(taken) and taken[at][1] <= start:
                 at += 1
             if any(s < end and start < e for s, e, _ in taken[at : at + 3]):
                 continue
-            if guess_bits(value, ranks) >= least_bits:
+            if guess_bits(text[start:end], ranks) >= least_bits:
                 spans.append((start, end, 3))
     return sorted(spans, key=lambda s: (s[0], s[2], s[1]))
 
