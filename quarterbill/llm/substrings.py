@@ -9,11 +9,14 @@ context are the bytes of all strings that it can anchor.
 1. Contexts are compared under their gram. A context that a smaller document repeats goes
    whole; copies are settled within a task before anything is shuffled.
 2. Where a gram stands in several different contexts, one of each (of the smallest document)
-   is sent with its bytes, and its strings are compared one by one.
+   is sent with its bytes, and its strings are compared one by one. Where a gram has many
+   contexts, their strings are compared within a task, and one of each goes on by its hash, so
+   that no task meets all contexts of the gram with their bytes.
 3. Both kinds of spans meet the texts again, which are cut.
 
-Rows travel as arrays per bucket of grams or of documents. Memory of a task is one bucket,
-one chunk of texts, or the longest text.
+Rows travel as arrays per bucket of grams, strings or documents. Memory of a task is one
+bucket as it travels, and what is made of one block of it (of whole grams or strings); one
+chunk of texts; or the longest text.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ LENGTH, GRAM = 50, 24
 CHUNK = 8 << 20  # bytes of text that a task compares before it sends anything
 BASE = 0x9E3779B97F4A7C15
 ROW = "kind int, bucket int, blob binary"
-ANCHORS, COVERED, OPEN, SPANS = 0, 1, 2, 3
+ANCHORS, COVERED, OPEN, SPANS, MANY, STRINGS = 0, 1, 2, 3, 4, 5
+MOST_CONTEXTS = 1000  # open contexts of a gram that are compared in one array
+ANCHOR_BLOCK, CONTEXT_BLOCK, STRING_BLOCK = 1 << 22, 1 << 16, 1 << 22  # rows of a bucket that are unpacked at once
 U = np.uint64
 
 
@@ -107,6 +112,24 @@ def _pack(kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[
     )
 
 
+def _blocks(blobs: list[bytes], kinds: tuple, most: int, key: int) -> Iterator[list[np.ndarray]]:
+    """The rows of a bucket in blocks of about `most` rows; rows with equal keys are in one block. Empties `blobs`."""
+    n = -(-sum(map(len, blobs)) // (most * sum(np.dtype(k).itemsize for k in kinds)))
+    blocks: list[list[list[np.ndarray]]] = [[] for _ in range(n)]
+    while blobs:
+        columns = _unpack([blobs.pop()], kinds)
+        if n > 1:
+            block = (mixed(columns[key].astype(U)) >> U(32)) % U(n)
+            order = np.argsort(block, kind="stable")
+            bounds = np.searchsorted(block[order], np.arange(n + 1, dtype=U))
+            for parts, a, b in zip(blocks, bounds[:-1], bounds[1:]):
+                parts.append([c[order[a:b]] for c in columns])
+        elif n:
+            blocks[0].append(columns)
+    while blocks:
+        yield [np.concatenate(c) for c in zip(*blocks.pop())]
+
+
 def _unpack(blobs: list[bytes], kinds: tuple) -> list[np.ndarray]:
     width = sum(np.dtype(k).itemsize for k in kinds)
     parts: list[list[np.ndarray]] = [[np.empty(0, k)] for k in kinds]
@@ -122,6 +145,42 @@ ANCHOR_ROW = (np.uint64, np.uint32, np.int64, np.uint32)  # context, gram, docum
 PLACE_ROW = (np.int64, np.uint32)  # document, place
 OPEN_ROW = (np.int64, np.uint32, np.uint64)  # document, place, gram
 SPAN_ROW = (np.int64, np.uint32, np.uint32)  # document, start, end
+STRING_ROW = (np.uint64, np.int64, np.uint32)  # string, document, start
+
+
+def _strings_of(g: np.ndarray, sizes: np.ndarray, c: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Hashes of the strings of contexts, the contexts' numbers, and where in them the strings start."""
+    width = c.shape[1]
+    powers = np.multiply.accumulate(np.concatenate([[U(1)], np.full(width, U(BASE), U)]))
+    inverse = np.multiply.accumulate(np.concatenate([[U(1)], np.full(width, U(pow(BASE, -1, 1 << 64)), U)]))
+    sums = np.zeros((len(c), width + 1), U)
+    np.cumsum((c.astype(U) + U(1)) * powers[:width], axis=1, dtype=U, out=sums[:, 1:])
+    starts = np.arange(width - length + 1)
+    h = mixed(mixed((sums[:, starts + length] - sums[:, starts]) * inverse[starts]) + g[:, None])
+    valid = starts + length <= sizes[:, None]
+    row, start = np.nonzero(valid)
+    return h[valid], row, start.astype(np.int64)
+
+
+def _repeats(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a smaller document has the string, for strings sorted by hash and document."""
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    return doc > doc[new][np.cumsum(new) - 1] if len(h) else new
+
+
+def _spans(doc: np.ndarray, start: np.ndarray, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The spans of repeated strings; those that start one after the other are one."""
+    if not len(doc):
+        return
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    cut = np.ones(len(doc), bool)
+    cut[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
+    at = np.flatnonzero(cut)
+    last = np.concatenate([at[1:] - 1, [len(doc) - 1]])
+    d, a, b = doc[at], start[at], start[last] + length
+    yield from _pack(SPANS, d % buckets, [d, a.astype(np.uint32), b.astype(np.uint32)])
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], columns: int = 0) -> Iterator[tuple]:
@@ -182,7 +241,7 @@ class Remover:
         return work
 
     def _compare(self):
-        buckets = self.buckets
+        buckets, most = self.buckets, MOST_CONTEXTS
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for kind, bucket, blobs in _grouped(batches):
@@ -190,21 +249,21 @@ class Remover:
                     doc, place = _unpack(blobs, PLACE_ROW)
                     yield from _pack(COVERED, doc % buckets, [doc, place])
                     continue
-                c, g, doc, place = _unpack(blobs, ANCHOR_ROW)
-                blobs.clear()
-                order = np.lexsort((doc, c, g))
-                c, g, doc, place = c[order], g[order], doc[order], place[order]
-                new_g = np.ones(len(g), bool)
-                new_g[1:] = g[1:] != g[:-1]
-                new = new_g.copy()
-                new[1:] |= c[1:] != c[:-1]
-                later = doc > doc[new][np.cumsum(new) - 1]
-                yield from _pack(COVERED, doc[later] % buckets, [doc[later], place[later]])
-                run = np.cumsum(new_g) - 1
-                several = np.bincount(run, new)[run] > 1  # contexts of the gram
-                open_ = several & ~later
-                full = g[open_].astype(U) << U(32) | U(bucket)
-                yield from _pack(OPEN, doc[open_] % buckets, [doc[open_], place[open_], full])
+                for c, g, doc, place in _blocks(blobs, ANCHOR_ROW, ANCHOR_BLOCK, 1):
+                    order = np.lexsort((doc, c, g))
+                    c, g, doc, place = c[order], g[order], doc[order], place[order]
+                    new_g = np.ones(len(g), bool)
+                    new_g[1:] = g[1:] != g[:-1]
+                    new = new_g.copy()
+                    new[1:] |= c[1:] != c[:-1]
+                    later = doc > doc[new][np.cumsum(new) - 1]
+                    yield from _pack(COVERED, doc[later] % buckets, [doc[later], place[later]])
+                    run = np.cumsum(new_g) - 1
+                    several = np.bincount(run, new)[run] > 1  # contexts of the gram
+                    many = np.bincount(run, ~later)[run] > most
+                    for sent, open_ in ((OPEN, several & ~later & ~many), (MANY, several & ~later & many)):
+                        full = g[open_].astype(U) << U(32) | U(bucket)
+                        yield from _pack(sent, doc[open_] % buckets, [doc[open_], place[open_], full])
 
         return work
 
@@ -240,30 +299,44 @@ class Remover:
             held, rows, size = None, [], 0
 
             def send() -> Iterator[pa.RecordBatch]:
-                g, doc, low, sizes, c = (np.concatenate(x) for x in zip(*rows))
-                yield from _pack(OPEN, (g % U(buckets)).astype(np.int64), [g, doc, low, sizes, c])
+                g, doc, low, sizes, c, many = (np.concatenate(x) for x in zip(*rows))
+                few = ~many
+                yield from _pack(OPEN, (g[few] % U(buckets)).astype(np.int64), [x[few] for x in (g, doc, low, sizes, c)])
+                g, doc, low, sizes, c = (x[many] for x in (g, doc, low, sizes, c))
+                if not len(g):
+                    return
+                h, row, start = _strings_of(g, sizes, np.frombuffer(c.tobytes(), np.uint8).reshape(-1, width), length)
+                doc, start = doc[row], low[row] + start
+                order = np.lexsort((doc, h))
+                h, doc, start = h[order], doc[order], start[order]
+                gone = _repeats(h, doc)  # a smaller document of this task has the string
+                yield from _spans(doc[gone], start[gone], length, buckets)
+                h, doc, start = h[~gone], doc[~gone], start[~gone].astype(np.uint32)
+                yield from _pack(STRINGS, (h % U(buckets)).astype(np.int64), [h, doc, start])
 
             for doc, data, blobs in texts(batches):
                 if blobs is not held:
                     held = blobs
-                    docs, places, grams = _unpack(blobs.get(OPEN, []), OPEN_ROW)
+                    few, rest = _unpack(blobs.get(OPEN, []), OPEN_ROW), _unpack(blobs.get(MANY, []), OPEN_ROW)
+                    docs, places, grams = (np.concatenate(x) for x in zip(few, rest))
+                    hot = np.arange(len(docs)) >= len(few[0])
                     order = np.argsort(docs, kind="stable")
-                    docs, places, grams = docs[order], places[order].astype(np.int64), grams[order]
+                    docs, places, grams, hot = docs[order], places[order].astype(np.int64), grams[order], hot[order]
                 if doc is None:
                     continue
                 a, b = np.searchsorted(docs, doc, "left"), np.searchsorted(docs, doc, "right")
-                place, g = places[a:b], grams[a:b]
+                place, g, many = places[a:b], grams[a:b], hot[a:b]
                 inside = place + gram <= len(data)  # rows that share an id have places of their own
-                place, g = place[inside], g[inside]
+                place, g, many = place[inside], g[inside], many[inside]
                 if not len(place) or len(data) < length:
                     continue
                 low, high = np.maximum(place - (length - gram), 0), np.minimum(place + length, len(data))
                 padded = np.frombuffer(data + bytes(width), np.uint8)
                 c = padded[low[:, None] + np.arange(width)]
                 c = np.where(np.arange(width) < (high - low)[:, None], c, 0).astype(np.uint8)
-                rows.append((g, np.full(len(g), doc, np.int64), low.astype(np.uint32), (high - low).astype(np.uint16), np.ascontiguousarray(c).view(f"V{width}").ravel()))
+                rows.append((g, np.full(len(g), doc, np.int64), low.astype(np.uint32), (high - low).astype(np.uint16), np.ascontiguousarray(c).view(f"V{width}").ravel(), many))
                 size += len(g)
-                if size >= 100_000:
+                if size >= CONTEXT_BLOCK:
                     yield from send()
                     rows, size = [], 0
             if rows:
@@ -277,38 +350,25 @@ class Remover:
         kinds = (np.uint64, np.int64, np.uint32, np.uint16, np.dtype(f"V{width}"))
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, _, blobs in _grouped(batches):
-                g, doc, low, sizes, c = _unpack(blobs, kinds)
-                blobs.clear()
-                c = np.frombuffer(c.tobytes(), np.uint8).reshape(-1, width)
-                powers = np.multiply.accumulate(np.concatenate([[U(1)], np.full(width, U(BASE), U)]))
-                inverse = np.multiply.accumulate(np.concatenate([[U(1)], np.full(width, U(pow(BASE, -1, 1 << 64)), U)]))
-                sums = np.zeros((len(c), width + 1), U)
-                np.cumsum((c.astype(U) + U(1)) * powers[:width], axis=1, dtype=U, out=sums[:, 1:])
-                starts = np.arange(width - length + 1)
-                h = mixed(mixed((sums[:, starts + length] - sums[:, starts]) * inverse[starts]) + g[:, None])
-                valid = starts + length <= sizes[:, None]
-                row, start = np.nonzero(valid)
-                h = h[valid]
-                order = np.lexsort((doc[row], h))
-                h, row, start = h[order], row[order], start[order]
-                new = np.ones(len(h), bool)
-                new[1:] = h[1:] != h[:-1]
-                first = doc[row][new][np.cumsum(new) - 1]
-                gone = doc[row] > first
-                row, start = row[gone], start[gone].astype(np.int64)
-                order = np.lexsort((start, row))
-                row, start = row[order], start[order]
-                if not len(row):
-                    continue
-                cut = np.ones(len(row), bool)
-                cut[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
-                at = np.flatnonzero(cut)
-                last = np.concatenate([at[1:] - 1, [len(row) - 1]])
-                a = low[row[at]] + start[at]
-                b = low[row[at]] + start[last] + length
-                d = doc[row[at]]
-                yield from _pack(SPANS, d % buckets, [d, a.astype(np.uint32), b.astype(np.uint32)])
+            for kind, _, blobs in _grouped(batches):
+                if kind == SPANS:
+                    doc, start, end = _unpack(blobs, SPAN_ROW)
+                    yield from _pack(SPANS, doc % buckets, [doc, start, end])
+                elif kind == STRINGS:
+                    for h, doc, start in _blocks(blobs, STRING_ROW, STRING_BLOCK, 0):
+                        order = np.lexsort((doc, h))
+                        h, doc, start = h[order], doc[order], start[order].astype(np.int64)
+                        gone = _repeats(h, doc)
+                        yield from _spans(doc[gone], start[gone], length, buckets)
+                else:
+                    for g, doc, low, sizes, c in _blocks(blobs, kinds, CONTEXT_BLOCK, 0):
+                        c = np.frombuffer(c.tobytes(), np.uint8).reshape(-1, width)
+                        h, row, start = _strings_of(g, sizes, c, length)
+                        order = np.lexsort((doc[row], h))
+                        h, row, start = h[order], row[order], start[order]
+                        gone = _repeats(h, doc[row])
+                        row, start = row[gone], start[gone]
+                        yield from _spans(doc[row], low[row] + start, length, buckets)
 
         return work
 
@@ -368,7 +428,7 @@ class Remover:
         settled = stage(met, "settled")
         del met
         spark._jvm.System.gc()  # lets Spark remove the shuffle files of the finished step
-        contexts = self._with_texts(settled.where(F.col("kind") == OPEN)).mapInArrow(self._contexts(), ROW)
+        contexts = self._with_texts(settled.where(F.col("kind").isin(OPEN, MANY))).mapInArrow(self._contexts(), ROW)
         spans = stage(
             contexts.repartition("bucket").sortWithinPartitions("kind", "bucket").mapInArrow(self._strings(), ROW), "spans"
         )
