@@ -47,7 +47,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Stages 1 and 5 have no SQL form; tests hold every stage against a brute-force version.
+#: Stages 1 and 5 have no SQL form; tests/llm/test_registered.py holds run() against brute force
+#: on a small table, where the labels stand for the first stage.
 ORACLE_SQL = None
 
 
