@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterbill.llm import ann, mixing, packing, quality, secrets, simhash, substrings, toxicity, warc, wrappers
+from quarterbill.llm import (
+    ann, divergence, minhash, mixing, packing, quality, secrets, simhash, statements, substrings, toxicity, trie, warc, wrappers,
+)
 from quarterbill.llm.common import table
 
 
@@ -67,11 +69,27 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all conversations, with what sharing them saves."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of each document by its 4-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, and the terms that make it."""
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=3, most_terms=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_pack_sequences, op3_simhash_groups, op4_quality_rules, op5_toxicity,
         op6_repeated_strings, op7_warc_index, op8_main_text, op9_nearest_vectors, op10_secret_scan,
+        op11_prefix_trie, op12_minhash_groups, op13_source_divergence,
     )
 }
 
@@ -131,6 +149,9 @@ FROM c"""
 
 
 ORACLES: dict[str, str] = {
+    "op11_prefix_trie": statements.TRIE,
+    "op12_minhash_groups": statements.NEAR_DUPLICATES,
+    "op13_source_divergence": statements.DIVERGENCE,
     "op4_quality_rules": _quality_sql(),
     "op7_warc_index": f"""
 WITH h AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
