@@ -9,8 +9,9 @@ similarity, and their number is concentrated about it as for independent ones.
 
 Sets that agree in all coordinates of a band meet in a bucket. Every member is compared with
 the bucket's first on the full sets, which joins most groups by as many comparisons as
-members. Only members that are still apart are then compared with each other, the likeliest
-partners first, and only if at least half of their coordinates agree.
+members. Where members of a bucket are still apart, their full sets travel to it once, and those
+of which at least half of the coordinates agree are compared there; what leaves the task is
+no more than the links that join groups.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterbill.llm.common import stage, unstage, word_blocks
+from quarterbill.llm.common import stage, word_blocks
 from quarterbill.llm.components import components
 
 SEED = 42
@@ -34,10 +35,9 @@ BAND = 4
 #: Least agreeing coordinates of a pair that is compared on full sets. Of 128 coordinates that
 #: agree with probability 0.8, fewer than 64 agree with a probability under 1e-12.
 LEAST_AGREEING = 64
-#: Partners of a set that the first round compares; each later round goes eight times as far.
-FIRST_PARTNERS = 8
-#: Members of a bucket that a task compares with as many others; more are dealt in pieces.
+#: Members of a bucket, and hashes of theirs, that a task compares with as many others; more are dealt in pieces.
 PIECE = 4096
+PIECE_HASHES = 1 << 22
 #: Partners of one set that a task verifies.
 PARTNERS_PER_TASK = 512
 
@@ -162,7 +162,7 @@ def _compare(percent: int):
             out = []
             for u, piece, v, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 hashes = np.frombuffer(data, np.uint64)
-                if v is None:  # sorted before its partners; there can be several from copies
+                if v is None:  # sorted before its partners
                     at, first = (u, piece), hashes
                 elif at == (u, piece):
                     common = len(np.intersect1d(first, hashes, assume_unique=True))
@@ -174,126 +174,100 @@ def _compare(percent: int):
     return work
 
 
-def _verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar; texts: the text key of each node.
+def _verified(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose full sets (node, hashes) are similar.
 
     The set of u travels once per PARTNERS_PER_TASK partners, that of v once per pair.
     """
     counts = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / PARTNERS_PER_TASK).cast("int").alias("pieces"))
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = stage(
-        docs.select("text", *_text_key())
-        .join(texts.join(nodes, "node"), ["text_a", "text_b"])
-        .select("node", "text")
-        .mapInArrow(_full_sets(shingle), "node long, hashes binary")
-        .dropDuplicates(["node"]),
-        "sets",
-    )
     partners = (
-        pairs.join(sets.withColumnRenamed("node", "v"), "v")
+        pairs.join(full.withColumnRenamed("node", "v"), "v")
         .join(counts, "u")
         .select("u", F.pmod(F.xxhash64("v"), "pieces").cast("int").alias("piece"), "v", "hashes")
     )
-    firsts = sets.withColumnRenamed("node", "u").join(counts, "u").select(
+    firsts = full.withColumnRenamed("node", "u").join(counts, "u").select(
         "u", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(None).cast("long").alias("v"), "hashes"
     )
-    found = stage(
+    return (
         firsts.unionByName(partners)
         .repartition("u", "piece")
         .sortWithinPartitions("u", "piece", F.asc_nulls_first("v"))
-        .mapInArrow(_compare(percent), "u long, v long"),
-        "verified",
+        .mapInArrow(_compare(percent), "u long, v long")
     )
-    unstage(sets)
-    return found
 
 
-# --- candidates ---------------------------------------------------------------------------
+# --- what the first comparisons leave apart -----------------------------------------------
 
 
-def _agreeing(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For rows of `left`, 32 at a time: how many coordinates agree with each row of `right`."""
-    for i in range(0, len(left), 32):
-        yield i, (left[i : i + 32, None, :] == right[None, :, :]).sum(2, dtype=np.int16)
+def _forest(rows: list[tuple], same: bool, percent: int) -> list[tuple[int, int]]:
+    """Edges that connect what the links of one bucket connect (of two pieces, or of one with itself).
 
-
-def _partners(rows: dict[str, np.ndarray], same: bool, percent: int, lo: int, hi: int) -> np.ndarray:
-    """Pairs of one bucket (of two pieces, or of one with itself) whose rank lies in lo .. hi - 1.
-
-    A set's partners are ranked by agreeing coordinates, whatever group they are in by now,
-    so the ranks stay the same from round to round and every pair has its turn.
+    rows: (side, node, root, bins, hashes); members with one root are connected already.
     """
-    first = rows["side"] != 1
-    left = {k: v[first] for k, v in rows.items()}
-    right = left if same else {k: v[~first] for k, v in rows.items()}
-    out = [np.empty((0, 2), np.int64)]
-    for i, agree in _agreeing(left["bins"], right["bins"]):
-        n, m = left["n"][i : i + 32, None], right["n"][None, :]
-        possible = (agree >= LEAST_AGREEING) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-        u, v = left["node"][i : i + 32, None], right["node"][None, :]
-        possible &= u != v
-        agree = np.where(possible, agree, -1)
-        order = np.argsort(-agree, axis=1, kind="stable")[:, lo:hi]
-        rows_at = np.arange(len(agree))[:, None]
-        chosen = possible[rows_at, order] & (left["root"][i : i + 32, None] != right["root"][order])
-        a = np.broadcast_to(u, order.shape)[chosen]
-        b = right["node"][order][chosen]
-        out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-    return np.unique(np.concatenate(out), axis=0)
-
-
-def _bucket_pairs(percent: int, lo: int, hi: int):
-    names = ("key", "a", "b", "side", "node", "root", "n")
-
-    def columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        made = {c: np.asarray(batch.column(i)) for i, c in enumerate(names)}
-        made["bins"] = np.frombuffer(b"".join(batch.column(len(names)).to_pylist()), np.uint8).reshape(-1, BINS)
-        return made
-
+    node = [r[1] for r in rows]
+    label = np.unique([r[2] for r in rows], return_inverse=True)[1]
+    bins = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, BINS)
+    sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+    sizes = np.array([len(s) for s in sets])
+    ids = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+    mark = np.zeros(max(int(i.max()) for i in ids) + 1, bool)
+    side = np.array([r[0] for r in rows])
+    left, right = np.nonzero(side != 1)[0], np.nonzero(side != 0)[0]
+    edges = []
+    for start in range(0, len(left), 32):
+        some = left[start : start + 32]
+        agree = (bins[some, None, :] == bins[None, right, :]).sum(2, dtype=np.int16)
+        small, large = np.minimum(sizes[some, None], sizes[right]), np.maximum(sizes[some, None], sizes[right])
+        possible = (agree >= LEAST_AGREEING) & (100 * small >= percent * large)
+        if same:
+            possible &= some[:, None] < right
+        for k, u in enumerate(some.tolist()):
+            partners = right[possible[k] & (label[right] != label[u])]
+            if len(partners):
+                mark[ids[u]] = True
+                for v in partners.tolist():
+                    if label[v] != label[u]:
+                        common = int(np.count_nonzero(mark[ids[v]]))
+                        if 100 * common >= percent * (sizes[u] + sizes[v] - common):
+                            edges.append((node[u], node[v]))
+                            label[label == label[v]] = label[u]
+                mark[ids[u]] = False
+    return edges
+
+
+def _bucket_links(percent: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-
-        def out(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            cuts = np.nonzero((np.diff(held["key"]) != 0) | (np.diff(held["a"]) != 0) | (np.diff(held["b"]) != 0))[0] + 1
-            ends = [*cuts, len(held["key"])] if last else list(cuts)
-            start = 0
-            for end in ends:  # a run has two pieces at most
-                run = {k: v[start:end] for k, v in held.items()}
-                pairs = _partners(run, bool(run["a"][0] == run["b"][0]), percent, lo, hi)
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
-                start = end
-            held = {k: v[start:] for k, v in held.items()}
+        at, rows = None, []
+
+        def out() -> pa.RecordBatch:
+            edges = np.array(_forest(rows, at[1] == at[2], percent), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["u", "v"])
 
         for batch in batches:
-            if batch.num_rows:
-                new = columns(batch)
-                held = {k: np.concatenate([held[k], new[k]]) for k in new} if held else new
-                yield from out(False)
-        if held and len(held["key"]):
-            yield from out(True)
+            for key, a, b, *row in zip(*(column.to_pylist() for column in batch.columns)):
+                if (key, a, b) != at:
+                    if rows:
+                        yield out()
+                    at, rows = (key, a, b), []
+                rows.append(row)  # a run has two pieces at most
+        if rows:
+            yield out()
 
     return work
 
 
-def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members, but the first, of buckets whose members are not all in one group yet."""
+def _apart(met: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The members, but the first, of buckets whose members are not all in one group yet, as pairs of pieces."""
     rows = (
         met.where("node != first")
         .join(roots, "node", "left")
-        .select("key", "node", F.coalesce("root", "node").alias("root"))
+        .join(sizes, "node")
+        .select("key", "node", F.coalesce("root", "node").alias("root"), "n")
     )
-    apart = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo != hi")
-    return rows.join(apart.select("key", "members"), "key")
-
-
-def _dealt(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The rows of each bucket, as pairs of pieces of about PIECE members."""
-    pieces = F.ceil(F.col("members") / PIECE).cast("int")
+    pieces = F.ceil(F.greatest(F.count(F.lit(1)) / PIECE, F.sum("n") / PIECE_HASHES)).cast("int")
+    apart = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), pieces.alias("pieces")).where("lo != hi")
     return (
-        rows.join(sketches, "node")
-        .withColumn("pieces", pieces)
+        rows.join(apart.select("key", "pieces"), "key")
         .withColumn("own", F.pmod(F.xxhash64("node"), "pieces").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
         .select(
@@ -301,10 +275,8 @@ def _dealt(rows: DataFrame, sketches: DataFrame) -> DataFrame:
             F.least("own", "other").alias("a"),
             F.greatest("own", "other").alias("b"),
             F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-            "node", "root", "n", "bins",
+            "node", "root",
         )
-        .repartition("key", "a", "b")
-        .sortWithinPartitions("key", "a", "b")
     )
 
 
@@ -318,36 +290,30 @@ def _links(docs: DataFrame, sets: DataFrame, sketched: DataFrame, shingle: int,
     )
     # one row per bucket: where a bucket holds many rows, the join can be split
     met = stage(bands.join(buckets, "key"), "met")
-    unstage(buckets)
     nodes = met.select("node").distinct()
-    texts = stage(chosen.join(nodes, "node").select("node", "text_a", "text_b", F.col("n_shingles").alias("n"), "bins"), "met_sets")
-    keys = texts.select("node", "text_a", "text_b")
-    sketches = texts.select("node", "n", "bins")
-
+    known = stage(chosen.join(nodes, "node").select("node", F.col("n_shingles").alias("n"), "bins"), "met_sketches")
+    keys = stage(chosen.join(nodes, "node").select("node", "text_a", "text_b"), "met_texts")
+    full = stage(
+        docs.select("text", *_text_key())
+        .join(keys, ["text_a", "text_b"])
+        .select("node", "text")
+        .mapInArrow(_full_sets(shingle), "node long, hashes binary")
+        .dropDuplicates(["node"]),
+        "full_sets",
+    )
     pairs = stage(met.where("node != first").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
-    linked = _verified(docs, keys, pairs, shingle, percent)
+    linked = stage(_verified(full, pairs, percent), "links")
     roots = stage(components(linked), "roots")
-    lo, hi = 0, FIRST_PARTNERS
-    while True:
-        apart = stage(_apart(met, roots), "apart")
-        most = apart.agg(F.max("members")).first()[0]
-        if most is None or lo >= min(most, PIECE * 2):  # no set has partners beyond that rank
-            break
-        tried = pairs
-        pairs = stage(
-            _dealt(apart, sketches)
-            .mapInArrow(_bucket_pairs(percent, lo, hi), "u long, v long")
-            .distinct()
-            .join(tried, ["u", "v"], "left_anti"),
-            "pairs",
-        )
-        more = _verified(docs, keys, pairs, shingle, percent)
-        linked = stage(linked.unionByName(more), "linked")
-        roots = stage(components(linked), "roots")
-        pairs = stage(pairs.unionByName(tried), "tried")
-        unstage(apart)
-        lo, hi = hi, hi * 8
-    return roots
+    more = (
+        stage(_apart(met, roots, known.select("node", "n")), "apart")
+        .join(known.select("node", "bins"), "node")
+        .join(full, "node")
+        .select("key", "a", "b", "side", "node", "root", "bins", "hashes")
+        .repartition("key", "a", "b")
+        .sortWithinPartitions("key", "a", "b")
+        .mapInArrow(_bucket_links(percent), "u long, v long")
+    )
+    return stage(components(linked.unionByName(more)), "roots")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:

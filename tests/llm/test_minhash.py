@@ -72,7 +72,6 @@ def test_groups_against_brute_force(docs):
 @pytest.mark.parametrize("piece", [4096, 16])
 def test_chains_and_hot_groups(shipped, monkeypatch, piece):
     monkeypatch.setattr(minhash, "PIECE", piece)
-    monkeypatch.setattr(minhash, "FIRST_PARTNERS", 2)
     monkeypatch.setattr(minhash, "PARTNERS_PER_TASK", 8)
     rng, rows = random.Random(5), []
     base = prose(9, 300)
@@ -88,20 +87,25 @@ def test_chains_and_hot_groups(shipped, monkeypatch, piece):
     assert found(minhash.near_duplicates(shipped.createDataFrame(rows, "doc_id long, text string"))) == want
 
 
-def test_rounds_try_every_pair(shipped):
-    """Members of a bucket that no star links are all tried, whatever their rank."""
-    rng = np.random.default_rng(2)
-    n = 30
-    rows = {
-        "side": np.full(n, 2), "node": np.arange(n), "root": np.arange(n), "n": np.full(n, 100),
-        "bins": np.where(rng.random((n, minhash.BINS)) < 0.8, 7, rng.integers(0, 255, (n, minhash.BINS))).astype(np.uint8),
-    }
-    lo, hi, seen = 0, 2, set()
-    while lo < n:
-        seen |= {tuple(p) for p in minhash._partners(rows, True, 80, lo, hi).tolist()}
-        lo, hi = hi, hi * 8
-    agree = (rows["bins"][:, None] == rows["bins"][None]).sum(2)
-    assert seen == {(a, b) for a in range(n) for b in range(a + 1, n) if agree[a, b] >= minhash.LEAST_AGREEING}
+def test_links_of_a_bucket_against_brute_force():
+    """What a bucket's forest connects is what its links connect, in one piece or between two."""
+    rng = random.Random(2)
+    for pieces in (1, 2):
+        base = [rng.getrandbits(63) for _ in range(100)]
+        sets = [{*base[: 100 - rng.randrange(30)], *(rng.getrandbits(63) for _ in range(rng.randrange(12)))} for _ in range(40)]
+        rows = []
+        for i, s in enumerate(sets):
+            hashes = np.array(sorted(s), np.uint64)
+            rows.append((2 if pieces == 1 else i % 2, i, i, minhash.sketch(hashes).astype(np.uint8).tobytes(), hashes.tobytes()))
+        label, edges = list(range(40)), minhash._forest(rows, pieces == 1, 80)
+        want = [(i, j) for i in range(40) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and (pieces == 1 or (i + j) % 2)]
+        groups = []
+        for links in (edges, want):
+            label = list(range(40))
+            for u, v in links:
+                label = [label[u] if x == label[v] else x for x in label]
+            groups.append({frozenset(i for i in range(40) if label[i] == x) for x in label})
+        assert groups[0] == groups[1] and len(edges) < 40
 
 
 def test_empty(empty):
