@@ -12,8 +12,10 @@ is made for a term and a source that lacks it.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,9 @@ from quarterbill.llm.common import stage
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 BREAK = re.compile(rb"[^a-z\x80-\xff]")
 #: Different (lang, source, term) that a task holds before it passes their counts on.
-HELD = 200_000
+HELD = 1_000_000
+#: A term's documents are counted in so many low bits, its occurrences above them.
+DOCS = 24
 #: Bytes of a text that are searched at a time.
 BLOCK = 1 << 20
 RATE = 1_000_000_000
@@ -45,41 +49,38 @@ def _blocks(data: bytes) -> Iterator[bytes]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents per (lang, source, term); a row without term per group."""
-    held: dict[tuple, dict[bytes, list[int]]] = {}
-    size = 0
+    held: dict[tuple, dict[bytes, int]] = {}
+    size = rows = 0
 
     def out() -> Iterator[pa.RecordBatch]:
         for (lang, source), terms in held.items():
             names = [None, *(t.decode() for t in terms)]
-            counts = [(0, 0), *terms.values()]
+            counts = np.array([0, *terms.values()], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(names), pa.string()),
                     pa.array([source] * len(names), pa.string()),
                     pa.array(names, pa.string()),
-                    pa.array([c[0] for c in counts], pa.int64()),
-                    pa.array([c[1] for c in counts], pa.int64()),
+                    pa.array(counts >> DOCS),
+                    pa.array(counts & ((1 << DOCS) - 1)),
                 ],
                 names=["lang", "source", "term", "n", "docs"],
             )
 
     for batch in batches:
         for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            terms = held.setdefault((lang or "", source or ""), {})
-            before, seen = len(terms), set()
+            found: Counter[bytes] = Counter()
             for block in _blocks((text or "").encode().lower()):  # bytes.lower() changes A-Z alone
-                for term in TERM.findall(block):
-                    count = terms.get(term)
-                    if count is None:
-                        count = terms[term] = [0, 0]
-                    count[0] += 1
-                    if term not in seen:
-                        seen.add(term)
-                        count[1] += 1
+                found.update(TERM.findall(block))
+            terms = held.setdefault((lang or "", source or ""), {})
+            before = len(terms)
+            for term, n in found.items():
+                terms[term] = terms.get(term, 0) + (n << DOCS | 1)
             size += len(terms) - before
-            if size > HELD:
+            rows += 1
+            if size > HELD or rows >> DOCS - 1:
                 yield from out()
-                held, size = {}, 0
+                held, size, rows = {}, 0, 0
     yield from out()
 
 
