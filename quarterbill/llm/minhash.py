@@ -38,6 +38,8 @@ LEAST_AGREEING = 64
 #: Members of a bucket, and hashes of theirs, that a task compares with as many others; more are dealt in pieces.
 PIECE = 4096
 PIECE_HASHES = 1 << 22
+#: Bits of the map that tells which texts are compared in full.
+BITS = 1 << 26
 #: Partners of one set that a task verifies.
 PARTNERS_PER_TASK = 512
 
@@ -137,6 +139,28 @@ def _text_key() -> list:
     return [F.xxhash64("text").alias("text_a"), F.xxhash64(F.lit(SEED), "text").alias("text_b")]
 
 
+def _holding(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of `texts` whose key is in `keys`, and a few others.
+
+    A bitmap of BITS bits tells which keys there are, so that most texts stay where they are
+    read. It is broadcast: 2048 rows of 4 KB at most, whatever the number of keys.
+    """
+    bit = F.pmod("text_a", F.lit(BITS))
+    bitmap = (
+        keys.select(F.bitmap_bucket_number(bit).alias("part"), F.bitmap_bit_position(bit).alias("at"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("at").alias("bits"))
+    )
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("at") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    return (
+        texts.withColumns({"part": F.bitmap_bucket_number(bit), "at": F.bitmap_bit_position(bit)})
+        .join(F.broadcast(bitmap), "part")
+        .withColumn("byte", byte)
+        .where(F.expr("shiftright(byte, int(at % 8)) & 1 = 1"))
+        .select(texts.columns)
+    )
+
+
 # --- exact comparison ---------------------------------------------------------------------
 
 
@@ -294,7 +318,7 @@ def _links(docs: DataFrame, sets: DataFrame, sketched: DataFrame, shingle: int,
     known = stage(chosen.join(nodes, "node").select("node", F.col("n_shingles").alias("n"), "bins"), "met_sketches")
     keys = stage(chosen.join(nodes, "node").select("node", "text_a", "text_b"), "met_texts")
     full = stage(
-        docs.select("text", *_text_key())
+        _holding(docs.select("text", *_text_key()), keys)
         .join(keys, ["text_a", "text_b"])
         .select("node", "text")
         .mapInArrow(_full_sets(shingle), "node long, hashes binary")
