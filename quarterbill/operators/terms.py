@@ -6,7 +6,8 @@ number of events never sits in one task. Then windows per person run over those
 which there are at most as many as calendar days.
 
 Only a day on which somebody asks for an end before that same day needs its events in
-order; such days are taken out by a semi join and sorted on their own.
+order. Such a day can hold any number of events too: it is cut into pieces, each reduced on
+its own, and the state is carried from piece to piece (`splits`).
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from quarterbill.functions.periods import Period, active_on
 REPLAY_ORDER = "ts, src_rank, seq, end_date, pi_name, power_user"
 BACKDATED = "coalesce(end_date < date, false)"
 
+#: Most events of a back-dated day that one window runs over.
+PIECE = 1024
+
 
 def _latest(field: str, when: str) -> str:
     return f"(max(event) FILTER (WHERE {when})).{field}"
@@ -60,57 +64,131 @@ def day_states(events: DataFrame) -> DataFrame:
         events.selectExpr("email", "date", "name", f"struct({REPLAY_ORDER}) AS event")
         .groupBy("email", "date")
         .agg(*_day_columns())
-        .selectExpr(
-            "*",
-            "cast(NULL AS date) AS split_end",
-            "cast(NULL AS string) AS split_pi",
-            "cast(NULL AS boolean) AS split_power",
-            "0 AS splits",
-            "false AS split_sets_end",
-            "cast(NULL AS date) AS lowest_before",
-            "cast(NULL AS date) AS lowest_after",
-        )
     )
-    backdated = events.where(BACKDATED).select("email", "date").distinct()
-    ordered = _ordered_days(events.join(backdated, ["email", "date"], "left_semi"))
-    return plain.where("NOT backdated").unionByName(ordered)
-
-
-def _ordered_days(events: DataFrame) -> DataFrame:
-    by_time = f"PARTITION BY email, date ORDER BY {REPLAY_ORDER}"
-    first_split = "starts AND split_no = 1"
-    more = (
-        f"max(earlier.end) FILTER (WHERE {first_split}) AS split_end",
-        _latest("pi_name", "split_no > 0 AND event.pi_name IS NOT NULL")
-        + " AS split_pi",
-        _latest("power_user", "split_no > 0 AND event.power_user IS NOT NULL")
-        + " AS split_power",
-        "cast(max(split_no) AS int) AS splits",
-        f"""coalesce(bool_or(end_date IS NOT NULL) FILTER (WHERE {first_split}), false)
-            AS split_sets_end""",
-        "min(end_date) FILTER (WHERE split_no = 0) AS lowest_before",
-        "min(end_date) FILTER (WHERE split_no > 0) AS lowest_after",
+    return plain.join(splits(events), ["email", "date"], "left").withColumns(
+        {
+            "splits": F.expr("coalesce(splits, 0)"),
+            "split_sets_end": F.expr("coalesce(split_sets_end, false)"),
+        }
     )
+
+
+def in_pieces(events: DataFrame) -> DataFrame:
+    """The events of back-dated days, placed in replay order and cut into pieces.
+
+    `place` is dealt out by range partitions, each sorted on its own, so a day of any
+    length is spread over tasks; a piece has at most `PIECE` events of the global order.
+    """
+    backdated = events.where(BACKDATED).select("email", "date").distinct()
     return (
-        events.selectExpr(
+        events.join(backdated, ["email", "date"], "left_semi")
+        .selectExpr("email", "date", *REPLAY_ORDER.split(", "), "is_request")
+        .repartitionByRange("email", "date", *REPLAY_ORDER.split(", "))
+        .sortWithinPartitions("email", "date", *REPLAY_ORDER.split(", "))
+        .withColumn("place", F.monotonically_increasing_id())
+        .withColumn("piece", F.expr(f"place div {PIECE}"))
+    )
+
+
+def _of_piece() -> list[Column]:
+    """What a piece of a day does, for both things that can come before it.
+
+    `past` has what holds if the term's end, as it stands before the piece, lies before the
+    day; `open` what holds otherwise. Only events up to the piece's first new end differ.
+    """
+
+    def variant(name: str) -> str:
+        starts, no = f"starts_{name}", f"split_no_{name}"
+        return f"""struct(
+            sum(cast({starts} AS int)) AS splits,
+            min(struct(place, earlier IS NULL AS from_before, earlier.end AS end,
+                       end_date IS NOT NULL AS sets_end)) FILTER (WHERE {starts}) AS first,
+            min(end_date) FILTER (WHERE {no} = 0) AS low_before,
+            min(end_date) FILTER (WHERE {no} > 0) AS low_after,
+            max(struct(place, pi_name)) FILTER (WHERE {no} > 0 AND pi_name IS NOT NULL) AS pi,
+            max(struct(place, power_user)) FILTER (WHERE {no} > 0 AND power_user IS NOT NULL)
+              AS power) AS {name}"""
+
+    return [
+        F.expr(column)
+        for column in (
+            variant("open"),
+            variant("past"),
+            "max(struct(place, marker)) FILTER (WHERE marker IS NOT NULL) AS last_marker",
+            "min(end_date) AS low",
+            "max(struct(place, pi_name)) FILTER (WHERE pi_name IS NOT NULL) AS pi",
+            "max(struct(place, power_user)) FILTER (WHERE power_user IS NOT NULL) AS power",
+        )
+    ]
+
+
+def splits(events: DataFrame) -> DataFrame:
+    """What back-dated days do in the middle, one row per person and such day.
+
+    A prefix scan in three steps: each piece is reduced to what it does to any state, the
+    state before each piece follows from the pieces before it, and the days are summed up
+    from pieces of which the state is now known.
+    """
+    in_piece = "PARTITION BY email, date, piece ORDER BY place"
+    before = """(PARTITION BY email, date ORDER BY piece
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+    pieces = (
+        in_pieces(events)
+        .selectExpr(
             "*",
-            f"""last(CASE WHEN is_request OR end_date IS NOT NULL
-                          THEN named_struct('end', end_date) END)
-                IGNORE NULLS OVER ({by_time}
+            "CASE WHEN is_request OR end_date IS NOT NULL THEN named_struct('end', end_date) END AS marker",
+        )
+        .selectExpr(
+            "*",
+            f"""last(marker) IGNORE NULLS OVER ({in_piece}
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier""",
         )
         .selectExpr(
             "*",
-            "coalesce(NOT is_request AND earlier.end < date, false) AS starts",
-            f"struct({REPLAY_ORDER}) AS event",
+            "NOT is_request AND coalesce(earlier.end < date, false) AS starts_open",
+            "NOT is_request AND coalesce(earlier.end < date, earlier IS NULL) AS starts_past",
         )
         .selectExpr(
             "*",
-            f"""sum(cast(starts AS int)) OVER ({by_time}
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS split_no""",
+            *[
+                f"""sum(cast(starts_{name} AS int)) OVER ({in_piece}
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS split_no_{name}"""
+                for name in ("open", "past")
+            ],
         )
+        .groupBy("email", "date", "piece")
+        .agg(*_of_piece())
+    )
+    return (
+        pieces.selectExpr(
+            "*", f"(last(last_marker) IGNORE NULLS OVER {before}).marker.end AS end_before"
+        )
+        .selectExpr("*", "if(coalesce(end_before < date, false), past, open) AS does")
+        .selectExpr("*", f"coalesce(sum(does.splits) OVER {before}, 0) > 0 AS was_split")
         .groupBy("email", "date")
-        .agg(*_day_columns(), *[F.expr(column) for column in more])
+        .agg(
+            F.expr(
+                """min(struct(piece, if(does.first.from_before, end_before, does.first.end) AS end,
+                              does.first.sets_end))
+                     FILTER (WHERE NOT was_split AND does.splits > 0) AS first"""
+            ),
+            F.expr("max(if(was_split, pi, does.pi)).pi_name AS split_pi"),
+            F.expr("max(if(was_split, power, does.power)).power_user AS split_power"),
+            F.expr("cast(sum(does.splits) AS int) AS splits"),
+            F.expr("min(if(was_split, NULL, does.low_before)) AS lowest_before"),
+            F.expr("min(if(was_split, low, does.low_after)) AS lowest_after"),
+        )
+        .selectExpr(
+            "email",
+            "date",
+            "first.end AS split_end",
+            "split_pi",
+            "split_power",
+            "splits",
+            "coalesce(first.sets_end, false) AS split_sets_end",
+            "lowest_before",
+            "lowest_after",
+        )
     )
 
 

@@ -3,11 +3,13 @@
 import collections
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from quarterbill.operators import checks, terms
+from quarterbill.operators.spread import stage
 from tests.fold import Broken, days_of, replay
 
 FIRST, LAST = dt.date(2020, 1, 1), dt.date(2020, 3, 15)
@@ -50,8 +52,9 @@ def _events(spark, logs):
     )
 
 
-@pytest.mark.parametrize("backdated", [0.0, 0.4])
-def test_matches_sequential_replay(spark, backdated):
+@pytest.mark.parametrize(("backdated", "piece"), [(0.0, 1024), (0.4, 1024), (0.4, 1), (0.4, 2)])
+def test_matches_sequential_replay(spark, monkeypatch, backdated, piece):
+    monkeypatch.setattr(terms, "PIECE", piece)
     rng = random.Random(int(backdated * 10) + 20)
     logs = {f"u{n}": _random_log(rng, 12, backdated) for n in range(4000)}
     expected, broken = {}, {}
@@ -98,3 +101,51 @@ def test_a_hot_person_becomes_one_row_per_day(spark):
     assert days.count() == 3
     last = terms.segments(terms.walk_days(days)).orderBy(F.desc("from_date")).first()
     assert (last.pi_name, last.power_user) == (f"p{199_999 % 7}", False)
+
+
+DAY = dt.date(2020, 3, 1)
+
+
+def _hot_day(rng, n):
+    """One person's log: a request, then `n` updates on one day, one of them back-dated."""
+    log = [("request", dt.datetime(2020, 1, 1), None, "a", False)]
+    cut = n * 2 // 5
+    for i in range(n):
+        end = None
+        if i == cut:
+            end = DAY - dt.timedelta(days=3)
+        elif i == cut + 7:
+            end = DAY + dt.timedelta(days=30)
+        elif i > cut + 7 and rng.random() < 0.2:
+            end = DAY + dt.timedelta(days=rng.randint(1, 40))
+        moment = dt.datetime(2020, 3, 1) + dt.timedelta(microseconds=800_000 * i)
+        if cut < i < cut + 7:  # nothing between the old end and the new term
+            continue
+        pi, power = rng.choice([*"abc", None]), rng.choice([True, False, None])
+        log.append(("update", moment, end, pi, power))
+    return log
+
+
+def test_a_hot_back_dated_day_is_spread_over_tasks(spark):
+    log = _hot_day(random.Random(4), 100_000)
+    events = stage(_events(spark, {"hot@x": log, "other@x": _hot_day(random.Random(5), 50)}))
+    want = replay([(k, m.date(), e, p, w) for k, m, e, p, w in log])
+    assert len(want) == 2
+    walked = terms.walk_days(terms.day_states(events))
+    rows = terms.segments(walked).where("email = 'hot@x'").collect()
+    assert {(r.term_no, r.start, r.end) for r in rows} == {(n, t["start"], t["end"]) for n, t in enumerate(want)}
+    for day in (dt.date(2020, 2, 20), DAY, dt.date(2020, 3, 5)):
+        found = {(r.term_no, r.pi_name, r.power_user) for r in rows if r.from_date <= day and (r.to_date is None or day <= r.to_date)}
+        assert found == {x[1:] for x in days_of(want, day, day)}
+
+    pieces = terms.in_pieces(events)
+    sizes = [r["count"] for r in pieces.groupBy("email", "date", "piece").count().collect()]
+    assert max(sizes) <= terms.PIECE and len(sizes) >= 98
+    tasks = pieces.repartition(8, "email", "date", "piece").groupBy(F.spark_partition_id()).count()
+    counts = sorted(r["count"] for r in tasks.collect())
+    assert len(counts) == 8 and counts[-1] <= 2 * counts[4]
+    # every window over events is cut by piece; the others run over one row per piece or day
+    plan = walked._jdf.queryExecution().analyzed().toString()
+    assert "PARTITION BY email, date ORDER BY ts" not in plan
+    windows = re.findall(r"windowspecdefinition\(([^)]*)", plan)
+    assert windows and not [w for w in windows if "ts#" in w]
