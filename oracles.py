@@ -373,6 +373,8 @@ def statements() -> dict[str, str]:
         " account_closed FROM pi_update_form",
         "normalise_user": _with(FORMS)
         + " SELECT start_timestamp, email, last_name, pi_last_name, end_timestamp, power_user FROM user_form",
+        "user_form_csv": _with(FORMS)
+        + " SELECT start_timestamp, email, last_name, pi_last_name, end_timestamp, power_user FROM user_form",
         "normalise_user_update": _with(FORMS)
         + ' SELECT "timestamp", email, last_name, pi_last_name, new_end_timestamp, new_power_user,'
         " FALSE AS agree FROM user_update_form",

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
@@ -66,19 +66,24 @@ def _own_folder() -> str:
     return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write a result that several later steps read, as Parquet in the shared folder.
+def new_folder(spark: SparkSession, name: str = "staged") -> str:
+    """A path in the shared folder that no other run uses.
 
     The folder is the one the session names in `spark.checkpoint.dir`. Where none is named,
     a session whose tasks all run in this process gets one of its own, removed at its end;
     on a cluster that is an error, as executors share no other folder.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = f"file://{_own_folder()}"
-    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write a result that several later steps read, as Parquet in the shared folder."""
+    spark = df.sparkSession
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

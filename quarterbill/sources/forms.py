@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterbill.functions import text
+from quarterbill.operators.spread import stage
+from quarterbill.sources.csv_records import read_csv
 from quarterbill.sources.schemas import (
     FORMS,
     NUMBER,
@@ -36,17 +38,17 @@ def read_form(
     *,
     source: str = "csv",
     timestamp_format: str | None = None,
-    multi_line: bool = True,
 ) -> DataFrame:
     """Read one form; CSV cells arrive as text, so no schema is inferred.
 
-    Free-text answers may hold line breaks, for which Spark reads each CSV file in one
-    task. Where no cell does, `multi_line=False` lets it split large files.
+    CSV files are read in splits, each by its own header line (see `read_csv`), and the
+    form is then written to the shared folder, so that no report parses text again.
     """
-    reader = spark.read.format(source)
     if source == "csv":
-        reader = reader.options(header=True, multiLine=multi_line, escape='"')
-    return normalise(reader.load(path), form, timestamp_format=timestamp_format)
+        headers = [name for field in FORMS[form] for name in (field.header, field.name)]
+        raw = read_csv(spark, path, [*headers, SUBMISSION_ID])
+        return stage(normalise(raw, form, timestamp_format=timestamp_format))
+    return normalise(spark.read.format(source).load(path), form, timestamp_format=timestamp_format)
 
 
 def read_forms(
