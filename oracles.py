@@ -463,6 +463,9 @@ def statements() -> dict[str, str]:
         "quarter_summary": priced
         + " SELECT pi, email, storage_amount, storage_price, billed_power_users, compute_price,"
         " storage_price + compute_price AS total_price, speed_code FROM charge",
+        "published_summary": priced
+        + f" SELECT pi, email, storage_amount, storage_price, billed_power_users, compute_price,"
+        f" storage_price + compute_price AS total_price, speed_code, DATE '{START}' AS quarter_start FROM charge",
         "quarter_totals": priced
         + """ SELECT round(sum(storage_price), 6) AS total_storage,
                 round(sum(compute_price), 6) AS total_compute,

@@ -13,6 +13,7 @@ from quarterbill.plans import reports
 from quarterbill.plans.billing import QuarterBilling, today
 from quarterbill.sources import sinks
 from quarterbill.sources.forms import Forms
+from quarterbill.sources.publish import publish
 
 
 def bill_quarter(
@@ -23,21 +24,29 @@ def bill_quarter(
     policy: Policy | None = None,
     bill_date: dt.date | None = None,
 ) -> DataFrame:
-    """Write summary, bill lines and bill texts of a quarter; return the totals.
+    """Publish summary, bill lines and bill texts of a quarter as one; return the totals.
 
-    The priced projects and users are computed once and staged for all four.
+    The priced projects and users are computed once and staged for all four. The reports
+    are read with `read_report`.
     """
     policy = policy or Policy()
     period = Period.quarter(quarter_start, policy)
     run = QuarterBilling(forms, period, policy)
     charges = stage(run.charges_from(run.staged_candidates))
-    sinks.write_summary(charges, period, f"{out_dir}/summary")
     heads = reports.bill_heads(charges, period, policy, bill_date or today())
     users = stage(reports.bill_users(run.priced_members, period, policy))
     lines = reports.bill_lines(heads, users, policy)
-    sinks.write_bill_lines(lines, period, f"{out_dir}/bill_lines")
     documents = reports.bill_documents(reports.bills(heads, users), policy)
-    sinks.write_bill_documents(documents, period, f"{out_dir}/bills")
+    publish(
+        charges.sparkSession,
+        {
+            "summary": sinks.sorted_summary(charges),
+            "bill_lines": sinks.sorted_bill_lines(lines),
+            "bills": documents,
+        },
+        period.start,
+        out_dir,
+    )
     return reports.totals(charges)
 
 

@@ -3,45 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quarterbill.functions.periods import Period
 from quarterbill.plans.reports import SUMMARY_COLUMNS
+from quarterbill.sources.publish import publish
 
 
-def _of_quarter(df: DataFrame, period: Period, path: str, source: str) -> None:
-    """Replace one quarter's partition and leave the others alone."""
-    writer = (
-        df.withColumn("quarter_start", F.lit(period.start))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("quarter_start")
-    )
-    if source == "csv":
-        writer = writer.option("header", True)
-    writer.format(source).save(path)
-
-
-def write_summary(
-    charges: DataFrame, period: Period, path: str, *, source: str = "parquet"
-) -> None:
+def sorted_summary(charges: DataFrame) -> DataFrame:
     """The summary sorted by PI."""
-    ordered = charges.orderBy("pi", "open_date", "project_id").select(*SUMMARY_COLUMNS)
-    _of_quarter(ordered, period, path, source)
+    return charges.orderBy("pi", "open_date", "project_id").select(*SUMMARY_COLUMNS)
 
 
-def write_bill_lines(
-    lines: DataFrame, period: Period, path: str, *, source: str = "parquet"
-) -> None:
+def sorted_bill_lines(lines: DataFrame) -> DataFrame:
     """Bill lines in reading order, spread over as many files as they need."""
     order = ["project_id", "section", "user_start", "user_email", "place"]
-    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
-    _of_quarter(ordered, period, path, source)
+    return lines.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_summary(charges: DataFrame, period: Period, path: str, *, source: str = "parquet") -> None:
+    """Publish the summary of a quarter."""
+    publish(charges.sparkSession, {"summary": sorted_summary(charges)}, period.start, path, source=source)
+
+
+def write_bill_lines(lines: DataFrame, period: Period, path: str, *, source: str = "parquet") -> None:
+    """Publish the bill lines of a quarter."""
+    publish(lines.sparkSession, {"bill_lines": sorted_bill_lines(lines)}, period.start, path, source=source)
 
 
 def write_bill_documents(documents: DataFrame, period: Period, path: str) -> None:
-    """One row per bill and part: name, part and text."""
-    _of_quarter(documents, period, path, "parquet")
+    """Publish the bill texts of a quarter, one row per bill and part: name, part and text."""
+    publish(documents.sparkSession, {"bills": documents}, period.start, path)
 
 
 def write_power_user_list(users: DataFrame, path: str) -> None:

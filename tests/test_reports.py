@@ -10,6 +10,7 @@ from quarterbill.operators.checks import ViolationsFound
 from quarterbill.plans import reports
 from quarterbill.plans.jobs import bill_quarter, list_power_users
 from quarterbill.sources import sinks
+from quarterbill.sources.publish import PublishConflict, publish, quarters, read_report, remove_superseded
 from tests.forms_csv import write_forms
 
 SUBMISSIONS = {
@@ -149,15 +150,15 @@ def test_sinks(run, spark, tmp_path, capsys):
     later = QuarterBilling(run.forms, Period.quarter("2021-02-01"))
     sinks.write_summary(later.charges, later.period, path)
     sinks.write_summary(later.charges, later.period, path)
-    written = spark.read.parquet(path)
+    written = read_report(spark, path, "summary")
     assert {(str(r.quarter_start), r["count"]) for r in written.groupBy("quarter_start").count().collect()} == {
         ("2020-11-01", 3), ("2021-02-01", 3),
     }
     lines = str(tmp_path / "lines")
     sinks.write_bill_lines(run.bill_lines(), run.period, lines)
-    assert spark.read.parquet(lines).where("section = 2").count() == 8
+    assert read_report(spark, lines, "bill_lines").where("section = 2").count() == 8
     sinks.write_bill_documents(run.bill_documents(), run.period, str(tmp_path / "bills"))
-    assert spark.read.parquet(str(tmp_path / "bills")).count() == 3
+    assert read_report(spark, str(tmp_path / "bills"), "bills").count() == 3
     users = str(tmp_path / "users")
     sinks.write_power_user_list(run.power_user_list(), users)
     listed = spark.read.option("header", True).csv(users)
@@ -174,17 +175,61 @@ def test_jobs(run, spark, tmp_path):
         run.forms, quarter_start="2020-11-01", out_dir=out, bill_date=dt.date(2020, 12, 9)
     )
     assert totals.first().total_overall == 1362.5
-    summary = spark.read.parquet(f"{out}/summary")
+    summary = read_report(spark, out, "summary")
     assert {r.pi: r.total_price for r in summary.collect()} == {
         "kiwi": 425, "mango": 750, "banana": 187.5,
     }
-    assert spark.read.parquet(f"{out}/bills").where("body LIKE '%Dec 09, 2020%'").count() == 3
-    assert spark.read.parquet(f"{out}/bill_lines").count() == 3 * 3 + 8
+    assert read_report(spark, out, "bills").where("body LIKE '%Dec 09, 2020%'").count() == 3
+    assert read_report(spark, out, "bill_lines", dt.date(2020, 11, 1)).count() == 3 * 3 + 8
     days = {"start": "2020-10-01", "end": "2020-10-02"}
     users = list_power_users(run.forms, **days, out_path=str(tmp_path / "users"))
     assert sorted(r.name for r in users.collect()) == ["kiwi", "mango", "nectarine"]
 
 
+FIRST, SECOND = dt.date(2020, 1, 1), dt.date(2020, 4, 1)
+
+
+def _values(spark, out, name, quarter=None):
+    return sorted((str(r.quarter_start), r.v) for r in read_report(spark, out, name, quarter).collect())
+
+
+def test_a_quarter_is_published_as_one(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v long")
+    publish(spark, {"a": rows(1, 2), "b": rows(3)}, FIRST, out)
+    publish(spark, {"a": rows(9)}, SECOND, out, source="csv")
+    assert _values(spark, out, "a") == [("2020-01-01", 1), ("2020-01-01", 2), ("2020-04-01", 9)]
+
+    # a report without rows takes the old ones away, a report that is not named stays
+    publish(spark, {"a": rows()}, FIRST, out)
+    assert _values(spark, out, "a") == [("2020-04-01", 9)]
+    assert _values(spark, out, "a", FIRST) == [] and _values(spark, out, "b") == [("2020-01-01", 3)]
+
+    # a run that fails between two reports changes nothing
+    broken = rows(5).selectExpr("if(v = 5, raise_error('no'), v) AS v")
+    with pytest.raises(Exception, match="no"):
+        publish(spark, {"b": rows(4), "a": broken}, FIRST, out)
+    assert _values(spark, out, "b") == [("2020-01-01", 3)] and _values(spark, out, "a", FIRST) == []
+
+    assert quarters(spark, out) == [FIRST, SECOND]
+    assert remove_superseded(spark, out) > 0 and remove_superseded(spark, out) == 0
+    assert _values(spark, out, "a") == [("2020-04-01", 9)] and _values(spark, out, "b") == [("2020-01-01", 3)]
+    with pytest.raises(ValueError):
+        read_report(spark, out, "c")
+
+
+def test_of_two_runs_at_once_one_is_told(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    rows = spark.range(1).selectExpr("id AS v")
+    from quarterbill.sources import publish as module
+
+    seen = module._versions
+    monkeypatch.setattr(module, "_versions", lambda *a: seen(*a)[:0])  # both began before the other ended
+    publish(spark, {"a": rows}, FIRST, out)
+    with pytest.raises(PublishConflict):
+        publish(spark, {"a": rows}, FIRST, out)
+
+
 def test_strict(run, spark, tmp_path):
     assert run.violations(strict=True).isEmpty()
     forms = write_forms(
