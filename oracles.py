@@ -365,7 +365,7 @@ def statements() -> dict[str, str]:
     dirty = _with(
         FORMS, DIRTY, _log(START, END, "dirty"), _terms(START), _days(START, END)
     )
-    return {
+    made = {
         "normalise_pi": _with(FORMS)
         + " SELECT start_timestamp, email, last_name, pi_is_power_user, speed_code, storage FROM pi_form",
         "normalise_pi_update": _with(FORMS)
@@ -500,6 +500,10 @@ def statements() -> dict[str, str]:
         "violations_clean": days + _findings(),
         "violations_dirty": dirty + _findings("dirty_user"),
     }
+    # from a snapshot and newer events: the same rows as from all events
+    for name in ("user_terms", "user_segments", "projects", "quarter_summary"):
+        made[f"{name}_resumed"] = made[name]
+    return made
 
 
 BODIES = """, bodies AS (

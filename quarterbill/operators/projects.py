@@ -77,24 +77,25 @@ def first_projects(opened: DataFrame) -> DataFrame:
     )
 
 
-def closures(forms: Forms, period: Period) -> DataFrame:
+def closed_pis(updates: DataFrame) -> DataFrame:
     """One row per PI that asked to close: the time of the last such request."""
     return (
-        events.pi_updates(forms, period)
-        .where("account_closed AND pi IS NOT NULL")
+        updates.where("account_closed AND pi IS NOT NULL")
         .groupBy("pi")
         .agg(F.max("ts").alias("closed_ts"))
     )
 
 
-def pi_table(opened: DataFrame, closed: DataFrame, period: Period) -> DataFrame:
+def pi_table(
+    opened: DataFrame, closed: DataFrame, period: Period, firsts: DataFrame | None = None
+) -> DataFrame:
     """One row per PI. A closure always closes the PI's first project.
 
     `first_kept`: still open on the first day of the period, or closed on it or later.
     `holder_id`: the first kept project, to which all the PI's power users belong.
     """
     return (
-        first_projects(opened)
+        (first_projects(opened) if firsts is None else firsts)
         .join(closed, "pi", "left")
         .selectExpr(
             "pi",
@@ -150,10 +151,9 @@ def update_days(distinct: DataFrame) -> DataFrame:
 def read_log(forms: Forms, period: Period) -> ProjectLog:
     """Reduce the project forms of a period."""
     opened = opened_projects(forms, period)
-    pis = pi_table(opened, closures(forms, period), period)
-    distinct = distinct_updates(
-        first_projects(opened), events.pi_updates(forms, period)
-    )
+    updates = events.pi_updates(forms, period)
+    pis = pi_table(opened, closed_pis(updates), period)
+    distinct = distinct_updates(first_projects(opened), updates)
     return ProjectLog(opened=opened, pis=pis, days=update_days(distinct))
 
 

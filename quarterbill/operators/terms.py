@@ -230,12 +230,11 @@ def walk_days(days: DataFrame) -> DataFrame:
     )
 
 
-def segments(walked: DataFrame) -> DataFrame:
-    """Validity intervals: in each, a term has one PI and one privilege.
+def valued(walked: DataFrame, *carried: str) -> DataFrame:
+    """Every known day with its term's end and the PI and privilege that hold from then on.
 
-    `walked` comes from `walk_days`; its partitioning serves all windows here. Both ends
-    are closed, a null end is open. Terms that end before they start, which the checks
-    report, have none.
+    `walked` comes from `walk_days`; its partitioning serves all windows here. `carried`
+    are further columns to keep, as SQL text.
     """
     whole_term = """(PARTITION BY email, term_no ORDER BY date
                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
@@ -260,6 +259,7 @@ def segments(walked: DataFrame) -> DataFrame:
             "if(divides, split_pi, pi_name) AS pi_name",
             "if(divides, split_power, power_user) AS power_user",
             f"last(coalesce(cut_by_next, after.end)) OVER {whole_term} AS end",
+            *carried,
         )
         .selectExpr(
             "email",
@@ -271,11 +271,20 @@ def segments(walked: DataFrame) -> DataFrame:
             "least(end, date_sub(next_in_term, 1)) AS to_date",
             valid("pi_name"),
             valid("power_user"),
+            *[text.split(" AS ")[-1] for text in carried],
         )
-        .where("to_date IS NULL OR to_date >= from_date")
     )
 
 
+def segments(walked: DataFrame) -> DataFrame:
+    """Validity intervals: in each, a term has one PI and one privilege.
+
+    Both ends are closed, a null end is open. Terms that end before they start, which the
+    checks report, have none.
+    """
+    return valued(walked).where("to_date IS NULL OR to_date >= from_date")
+
+
 def kept_for(segment_rows: DataFrame, period: Period) -> DataFrame:
     """Terms that end after the first day of the period, or not at all."""
     return segment_rows.where(f"end IS NULL OR end > date'{period.start}'")

@@ -75,12 +75,14 @@ def publish(
     out_dir: str,
     *,
     source: str = "parquet",
+    note: dict | None = None,
 ) -> None:
     """Replace the named reports of one quarter, all at once.
 
     A report without rows replaces the old one by none. Reports of the quarter that are
     not named stay, other quarters are not touched. Each report gets a column
-    `quarter_start`. `source` is parquet or csv (with a header line).
+    `quarter_start`. `source` is parquet or csv (with a header line). `note` is kept in the
+    manifest.
     """
     folder = _quarter_folder(out_dir, quarter)
     versions = _versions(spark, folder)
@@ -97,7 +99,7 @@ def publish(
             if s.isFile() and s.getPath().getName()[0] not in "._"
         )
         entries[name] = {"source": source, "schema": json.loads(dated.schema.json()), "files": files}
-    _commit(spark, folder, last, {"quarter_start": str(quarter), "reports": entries})
+    _commit(spark, folder, last, {"quarter_start": str(quarter), "reports": entries, "note": note or {}})
 
 
 def quarters(spark: SparkSession, out_dir: str) -> list[dt.date]:
@@ -106,10 +108,15 @@ def quarters(spark: SparkSession, out_dir: str) -> list[dt.date]:
     return sorted(dt.date.fromisoformat(n.split("=")[1]) for n in names if n.startswith("quarter_start="))
 
 
-def _entries(spark: SparkSession, out_dir: str, quarter: dt.date) -> dict:
+def _newest(spark: SparkSession, out_dir: str, quarter: dt.date) -> dict:
     folder = _quarter_folder(out_dir, quarter)
     versions = _versions(spark, folder)
-    return _read(spark, f"{folder}/{versions[-1]}")["reports"] if versions else {}
+    return _read(spark, f"{folder}/{versions[-1]}") if versions else {"reports": {}, "note": {}}
+
+
+def read_note(spark: SparkSession, out_dir: str, quarter: dt.date) -> dict:
+    """What the last run noted in the quarter's manifest."""
+    return _newest(spark, out_dir, quarter)["note"]
 
 
 def read_report(
@@ -117,7 +124,7 @@ def read_report(
 ) -> DataFrame:
     """A published report, of one quarter or of all, as the newest manifests have it."""
     wanted = [quarter] if quarter else quarters(spark, out_dir)
-    found = [e[name] for q in wanted if name in (e := _entries(spark, out_dir, q))]
+    found = [e[name] for q in wanted if name in (e := _newest(spark, out_dir, q)["reports"])]
     if not found:
         raise ValueError(f"no report {name} has been published in {out_dir}")
     # one reader per kind of file and columns, not one per quarter
