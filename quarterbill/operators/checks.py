@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quarterbill.functions.periods import Period
-from quarterbill.operators import events, members, pricing, projects, terms
-from quarterbill.operators.spread import spread_join
+from quarterbill.functions.periods import Period, day_after
+from quarterbill.operators import members, pricing, projects, terms
+from quarterbill.operators.spread import spread_join, stage
 from quarterbill.sources.forms import Forms
 from quarterbill.sources.schemas import UNREADABLE
 
 
 class ViolationsFound(Exception):
-    """Raised in strict mode when any rule has a row."""
+    """Raised in strict mode when any rule has a row; `counts` has the rows of each rule."""
+
+    def __init__(self, counts: dict[str, int]) -> None:
+        super().__init__("the forms break a data-quality rule: " + ", ".join(f"{r} {n}" for r, n in sorted(counts.items())))
+        self.counts = counts
 
 
 def _finding(
@@ -30,68 +34,78 @@ def _finding(
     )
 
 
-def form_findings(forms: Forms, period: Period) -> DataFrame:
-    """Forms that lack a field the rules need. No shuffle."""
-    user_log = events.user_events(forms, period)
-    opened = events.pi_requests(forms, period)
-    asked = events.pi_updates(forms, period)
-    own = user_log.where(f"src_rank = {events.USER_REQUEST}")
-    no_email = user_log.where(
-        f"email IS NULL AND src_rank IN ({events.USER_REQUEST}, {events.USER_UPDATE})"
-    )
-    found = [
-        _finding(no_email, "missing_key", "user", "name", "date", "'email'"),
-        _finding(
-            opened.where("pi IS NULL"),
-            "missing_key", "project", "email", "date", "'last_name'",
-        ),
-        _finding(
-            asked.where("pi IS NULL"),
-            "missing_key", "project", "email", "date", "'last_name'",
-        ),
-        _finding(
-            opened.where("email IS NULL"),
-            "missing_key", "project", "pi", "date", "'email'",
-        ),
-        _finding(
-            asked.where("account_closed AND email IS NULL"),
-            "missing_key", "project", "pi", "date", "'email'",
-        ),
-        _finding(
-            opened.where("storage IS NULL"), "missing_storage", "project", "pi", "date"
+def _rules(forms: Forms, period: Period) -> list[tuple[DataFrame, str, list[tuple]]]:
+    """Per form: its rows, its time, and the rules as (condition, rule, entity, key, detail)."""
+    no_name = ("last_name IS NULL", "missing_key", "project", "email", "'last_name'")
+    no_user = ("email IS NULL", "missing_key", "user", "last_name", "'email'")
+    whole, short = day_after(period.end), period.end  # user forms stop before the last day
+    return [
+        (
+            forms.pi, "start_timestamp", whole,
+            [
+                no_name,
+                ("email IS NULL", "missing_key", "project", "last_name", "'email'"),
+                ("storage IS NULL", "missing_storage", "project", "last_name", "NULL"),
+                ("speed_code IS NULL", "missing_speed_code", "project", "last_name", "NULL"),
+            ],
         ),
-        _finding(
-            opened.where("speed_code IS NULL"),
-            "missing_speed_code", "project", "pi", "date",
+        (
+            forms.pi_update, "timestamp", whole,
+            [no_name, ("account_closed AND email IS NULL", "missing_key", "project", "last_name", "'email'")],
         ),
-        _finding(own.where("pi_name IS NULL"), "missing_pi", "user", "email", "date"),
-        _finding(
-            own.where("power_user IS NULL"),
-            "missing_power_user", "user", "email", "date",
+        (
+            forms.user, "start_timestamp", short,
+            [
+                no_user,
+                ("pi_last_name IS NULL", "missing_pi", "user", "email", "NULL"),
+                ("power_user IS NULL", "missing_power_user", "user", "email", "NULL"),
+            ],
         ),
-    ]
-    for form, stamp in (
-        (forms.pi, "start_timestamp"),
-        (forms.pi_update, "timestamp"),
-        (forms.user, "start_timestamp"),
-        (forms.user_update, "timestamp"),
-    ):
-        found.append(
-            _finding(
-                form.where(f"{stamp} IS NULL"),
-                "missing_timestamp", "form", "email", "NULL",
-            )
-        )
+        (forms.user_update, "timestamp", short, [no_user]),
+    ]
+
+
+def form_findings(forms: Forms, period: Period) -> DataFrame:
+    """Forms that lack a field the rules need, or have a cell that cannot be read.
+
+    Every form is read once: the rules that a row breaks are an array, which is exploded.
+    """
+    found = []
+    for form, stamp, end, rules in _rules(forms, period):
+        checks = [(f"{stamp} < timestamp_ntz'{end}' AND ({when})", *rest) for when, *rest in rules]
+        checks.append((f"{stamp} IS NULL", "missing_timestamp", "form", "email", "NULL"))
         if UNREADABLE in form.columns:
-            found.append(
-                _finding(
-                    form.where(f"{UNREADABLE} IS NOT NULL"),
-                    "unreadable_cell", "form", "email", stamp, UNREADABLE,
-                )
-            )
+            checks.append((f"{UNREADABLE} IS NOT NULL", "unreadable_cell", "form", "email", UNREADABLE))
+        broken = ", ".join(
+            f"""if({when}, named_struct('rule', '{rule}', 'entity', '{entity}', 'key', {key},
+                   'event_date', cast({stamp} AS date), 'detail', cast({detail} AS string)), NULL)"""
+            for when, rule, entity, key, detail in checks
+        )
+        found.append(form.selectExpr(f"inline(array_compact(array({broken})))"))
     return reduce(DataFrame.unionByName, found)
 
 
+#: The rules.
+RULES = (
+    "missing_key", "missing_storage", "missing_speed_code", "missing_pi", "missing_power_user",
+    "missing_timestamp", "unreadable_cell", "user_update_without_user", "end_before_start",
+    "pi_update_without_pi", "inactive_at_period_end", "closure_before_term", "unattached_power_user",
+)
+
+
+def raise_if_any(found: DataFrame) -> DataFrame:
+    """The findings, written once; `ViolationsFound` if there are any.
+
+    The rows of each rule are counted while they are written, so nothing runs twice.
+    """
+    seen = Observation()
+    staged = stage(found.observe(seen, *[F.count_if(F.col("rule") == r).alias(r) for r in RULES]))
+    counts = {rule: n for rule, n in seen.get.items() if n}
+    if counts:
+        raise ViolationsFound(counts)
+    return staged
+
+
 def replay_findings(walked: DataFrame) -> DataFrame:
     """Updates for unknown persons, and terms that would end before they start."""
     too_early = """

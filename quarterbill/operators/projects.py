@@ -157,6 +157,11 @@ def read_log(forms: Forms, period: Period) -> ProjectLog:
     return ProjectLog(opened=opened, pis=pis, days=update_days(distinct))
 
 
+def staged_log(log: ProjectLog) -> ProjectLog:
+    """The log written once, for reports that read it several times."""
+    return ProjectLog(opened=stage(log.opened), pis=stage(log.pis), days=stage(log.days))
+
+
 def _cutoffs(period: Period) -> dict[str, str]:
     days = {"storage_end": f"date'{period.end}'"}
     if period.early_cutoff:

@@ -69,14 +69,13 @@ class QuarterBilling:
     @cached_property
     def segments_in_period(self) -> DataFrame:
         """The same, without the intervals that were over before the period."""
-        return self._close(self.replayed_segments)
+        return terms.apply_closures(self._recent(self.replayed_segments), self.log.pis)
 
-    def _close(self, replayed: DataFrame) -> DataFrame:
+    def _recent(self, replayed: DataFrame) -> DataFrame:
         # Closures fall into the period, so they cut no earlier interval.
-        recent = replayed.where(
+        return replayed.where(
             f"to_date IS NULL OR to_date >= date'{self.period.start}'"
         )
-        return terms.apply_closures(recent, self.log.pis)
 
     @cached_property
     def projects(self) -> DataFrame:
@@ -220,16 +219,13 @@ class QuarterBilling:
         replayed = terms.kept_for(
             terms.segments(walked.repartition("email")), self.period
         )
-        power = stage(
-            members.power_members(self._close(replayed), self.period)
-        )
+        log = projects.staged_log(self.log)
+        power = stage(members.power_members(terms.apply_closures(self._recent(replayed), log.pis), self.period))
         found = (
             checks.form_findings(self.forms, self.period)
             .unionByName(checks.replay_findings(walked))
-            .unionByName(checks.project_findings(self.log, self.projects, self.period))
-            .unionByName(checks.closure_findings(replayed, self.log.pis))
-            .unionByName(checks.unattached(power, self.log.pis))
+            .unionByName(checks.project_findings(log, projects.projects(log, self.period), self.period))
+            .unionByName(checks.closure_findings(replayed, log.pis))
+            .unionByName(checks.unattached(power, log.pis))
         )
-        if strict and not found.isEmpty():
-            raise checks.ViolationsFound("the forms break a data-quality rule")
-        return found
+        return checks.raise_if_any(found) if strict else found

@@ -213,9 +213,10 @@ class DirtyForms:
 
     @cached_property
     def user(self) -> DataFrame:
-        """Some requests lack an email, a PI, a privilege or a time."""
+        """Some requests lack an email, a PI, a privilege or a time, or have an unreadable cell."""
         return self._clean.user.selectExpr(
             "* EXCEPT (email, pi_last_name, power_user, start_timestamp)",
+            f"if({self._NUMBER} % 59 = 7, 'end_timestamp', NULL) AS unreadable",
             f"if({self._NUMBER} % 47 <> 5, power_user, NULL) AS power_user",
             f"if({self._NUMBER} % 53 <> 6, start_timestamp, NULL) AS start_timestamp",
             f"if({self._NUMBER} % 41 <> 3, email, NULL) AS email",

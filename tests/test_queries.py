@@ -1,5 +1,6 @@
 """Every registered query against its SQL twin, and the known totals."""
 
+import collections
 import datetime as dt
 import decimal
 import math
@@ -10,6 +11,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from quarterbill import Forms, Period, QuarterBilling
+from quarterbill.operators import checks, spread
 from quarterbill.sources import derived
 
 DATA = Path("/root/testdata/sf0.001")
@@ -140,10 +142,26 @@ def test_every_rule_has_a_finding(spark):
         "missing_key", "missing_storage", "missing_speed_code", "missing_pi",
         "missing_power_user", "missing_timestamp", "user_update_without_user",
         "end_before_start", "pi_update_without_pi", "inactive_at_period_end",
-        "closure_before_term", "unattached_power_user",
+        "closure_before_term", "unattached_power_user", "unreadable_cell",
     }
 
 
+def test_checks_read_each_form_once(stored_forms):
+    found = checks.form_findings(stored_forms, Period.quarter(derived.QUARTER))
+    plan = _final_plan(found)
+    assert plan.count("Scan parquet") == 4 and "Exchange" not in plan
+
+
+def test_strict_runs_the_checks_once(spark, monkeypatch):
+    run = QuarterBilling(derived.DirtyForms(spark, str(DATA)), Period.quarter(derived.QUARTER))
+    staged = []
+    monkeypatch.setattr(checks, "stage", lambda df: staged.append(df) or spread.stage(df))
+    with pytest.raises(checks.ViolationsFound) as error:
+        run.violations(strict=True)
+    rules = collections.Counter(r.rule for r in run.violations().collect())
+    assert len(staged) == 1 and error.value.counts == dict(rules)
+
+
 def test_a_project_that_is_not_billable_has_no_bill(spark):
     run = QuarterBilling(
         derived.DerivedForms(spark, str(DATA)), Period.quarter(derived.QUARTER)
