@@ -467,12 +467,11 @@ def statements() -> dict[str, str]:
         + f" SELECT pi, email, storage_amount, storage_price, billed_power_users, compute_price,"
         f" storage_price + compute_price AS total_price, speed_code, DATE '{START}' AS quarter_start FROM charge",
         "quarter_totals": priced
-        + """ SELECT round(sum(storage_price), 6) AS total_storage,
-                round(sum(compute_price), 6) AS total_compute,
-                round(sum(storage_price + compute_price), 6) AS total_overall,
-                round(avg(storage_price), 6) AS mean_storage,
-                round(avg(compute_price), 6) AS mean_compute,
-                round(avg(storage_price + compute_price), 6) AS mean_overall FROM charge""",
+        + """ SELECT fsum(storage_price) AS total_storage, fsum(compute_price) AS total_compute,
+                fsum(storage_price + compute_price) AS total_overall,
+                fsum(storage_price) / count(*) AS mean_storage,
+                fsum(compute_price) / count(*) AS mean_compute,
+                fsum(storage_price + compute_price) / count(*) AS mean_overall FROM charge""",
         "bills": lines
         + " SELECT project_id, doc_name, section, user_start, user_email, place, name, start_date,"
         " end_date, quantity, unit_price, share, amount FROM lines",

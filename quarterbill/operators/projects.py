@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarterbill.functions.exact import exact_sum
 from quarterbill.functions.periods import Period, active_on
 from quarterbill.operators import events
 from quarterbill.operators.spread import spread_join, stage
@@ -140,7 +141,7 @@ def distinct_updates(firsts: DataFrame, updates: DataFrame) -> DataFrame:
 def update_days(distinct: DataFrame) -> DataFrame:
     """One row per PI and day: storage added, the day's last speed code."""
     return distinct.groupBy("pi", "date").agg(
-        F.expr("sum(coalesce(storage, 0D)) AS day_storage"),
+        F.expr(exact_sum("coalesce(storage, 0D)")).alias("day_storage"),
         F.expr(
             "max(struct(date, ts, speed_code)) FILTER (WHERE speed_code <> '') AS code"
         ),
@@ -180,7 +181,7 @@ def first_project_state(log: ProjectLog, period: Period) -> DataFrame:
     last = {name: day for name, day in _cutoffs(period).items()}
     last["storage_end"] = f"least({last['storage_end']}, close_date)"
     sums = [
-        F.expr(f"coalesce(sum(day_storage) FILTER (WHERE date <= {day}), 0D) AS {name}")
+        F.expr(f"coalesce({exact_sum('day_storage', f'date <= {day}')}, 0D) AS {name}")
         for name, day in last.items()
     ]
     carried = ["first", "second", "close_date", "first_kept", "holder_id"]

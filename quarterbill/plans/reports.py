@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterbill.functions import text
+from quarterbill.functions.exact import exact_sum
 from quarterbill.functions.periods import Period
 from quarterbill.functions.policy import Policy
 from quarterbill.operators import members as m
@@ -41,13 +42,13 @@ def summary(charges: DataFrame) -> DataFrame:
 
 
 def totals(charges: DataFrame) -> DataFrame:
-    """Grand totals and means per billable project, one row."""
+    """Grand totals and means per billable project, one row; the same bits in any order of rows."""
     prices = {
         "storage": "storage_price", "compute": "compute_price", "overall": "total_price",
     }
     return charges.agg(
-        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(f"total_{n}") for n, c in prices.items()],
-        *[F.avg(c).alias(f"mean_{n}") for n, c in prices.items()],
+        *[F.expr(f"coalesce({exact_sum(c)}, 0D) AS total_{n}") for n, c in prices.items()],
+        *[F.expr(f"try_divide({exact_sum(c)}, count({c})) AS mean_{n}") for n, c in prices.items()],
     )
 
 
