@@ -419,6 +419,21 @@ def statements() -> dict[str, str]:
               WHERE k.open_date <= DATE '{START}' AND u.date <= DATE '{START}'
                 AND (k.close_date IS NULL OR k.close_date >= DATE '{START}')
               GROUP BY ALL""",
+        "states_at_close": term
+        + """, asked AS (SELECT project_id, email, coalesce(close_date, CAST(open_date + 200 AS DATE)) AS day FROM kept),
+            updated AS (
+              SELECT a.project_id, a.day, coalesce(sum(u.storage), 0) AS storage,
+                     arg_max(u.speed_code, (u.date, u.ts, u.speed_code)) FILTER (u.speed_code <> '') AS speed_code
+              FROM asked a JOIN all_updates u ON u.project_id = a.project_id AND u.date <= a.day GROUP BY ALL)
+            SELECT a.project_id, a.email, a.day, u.storage, u.speed_code, s.term_no, s.pi_name, s.power_user
+            FROM asked a LEFT JOIN updated u ON u.project_id = a.project_id AND u.day = a.day
+            LEFT JOIN seg_final s ON s.email = a.email AND s.from_date <= a.day
+              AND (s.to_date IS NULL OR s.to_date >= a.day)""",
+        "states_before_updates": term
+        + """ SELECT a.email, a.updated, a.day, s.term_no, s.pi_name, s.power_user
+            FROM (SELECT email, "timestamp" AS updated, CAST("timestamp" AS DATE) - 30 AS day FROM user_update_form) a
+            LEFT JOIN seg_final s ON s.email = a.email AND s.from_date <= a.day
+              AND (s.to_date IS NULL OR s.to_date >= a.day)""",
         "storage_as_of": priced
         + " SELECT project_id, storage_early, storage_late, storage_end FROM stored",
         "speed_codes": priced + " SELECT project_id, speed_code FROM stored",

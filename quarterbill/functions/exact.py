@@ -13,14 +13,22 @@ def exact_sum(value: str, where: str = "true") -> str:
     numbers; the total is rounded to a double once. Bits below 2^-60 are left out. A sum of
     over 2^33 rows, or beyond 2^63, is an error.
     """
+    return _total(value, f"FILTER (WHERE {where})")
+
+
+def exact_sum_over(value: str, window: str) -> str:
+    """The running or whole sum of a double column over a window, as SQL text."""
+    return _total(value, f"OVER {window}")
+
+
+def _total(value: str, of_rows: str) -> str:
     size = f"{1 << LIMB}"
-    filtered = f"FILTER (WHERE {where})"
     whole = f"floor({value})"
     first = f"floor(({value} - {whole}) * {size}D)"
     second = f"floor((({value} - {whole}) * {size}D - {first}) * {size}D)"
 
     def total(part: str) -> str:
-        return f"cast(sum(cast({part} AS bigint)) {filtered} AS decimal(19, 0))"
+        return f"cast(sum(cast({part} AS bigint)) {of_rows} AS decimal(19, 0))"
 
     limbs = f"cast({total(first)} * {size}BD + {total(second)} AS decimal(38, 0))"
     all_limbs = f"cast({total(whole)} * {1 << 2 * LIMB}BD + {limbs} AS decimal(38, 0))"

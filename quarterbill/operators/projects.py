@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterbill.functions.exact import exact_sum
+from quarterbill.functions.exact import exact_sum, exact_sum_over
 from quarterbill.functions.periods import Period, active_on
 from quarterbill.operators import events
 from quarterbill.operators.spread import spread_join, stage
@@ -298,6 +298,43 @@ def storage_history(log: ProjectLog) -> DataFrame:
     return changes.unionByName(others)
 
 
+def project_history(log: ProjectLog) -> DataFrame:
+    """Storage and speed code of every kept project as validity intervals.
+
+    The windows run over the days of one PI, which the calendar bounds.
+    """
+    by_day = "PARTITION BY pi ORDER BY date"
+    so_far = f"({by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    changes = (
+        log.days.join(
+            log.pis.where("first_kept").selectExpr(
+                "pi", "first.project_id", "first.open_date", "close_date"
+            ),
+            "pi",
+        )
+        .where("date >= open_date")
+        .selectExpr(
+            "project_id",
+            "pi",
+            "date AS from_date",
+            f"least(date_sub(lead(date) OVER ({by_day}), 1), close_date) AS to_date",
+            f"{exact_sum_over('day_storage', so_far)} AS storage",
+            f"last(code.speed_code) IGNORE NULLS OVER {so_far} AS speed_code",
+        )
+        .where("to_date IS NULL OR to_date >= from_date")
+    )
+    firsts = log.pis.selectExpr("first.project_id")
+    others = log.opened.join(firsts, "project_id", "left_anti").selectExpr(
+        "project_id",
+        "pi",
+        "open_date AS from_date",
+        "cast(NULL AS date) AS to_date",
+        "coalesce(storage, 0D) AS storage",
+        "speed_code",
+    )
+    return changes.unionByName(others)
+
+
 def storage_on(history: DataFrame, day: dt.date) -> DataFrame:
     """Storage on a day of every project open then."""
     return history.where(active_on(f"date'{day}'", "from_date", "to_date")).select(

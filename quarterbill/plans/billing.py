@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quarterbill.functions.periods import Period
 from quarterbill.functions.policy import Policy
 from quarterbill.operators import checks, events, members, pricing, projects, terms
+from quarterbill.operators.asof import as_of_join
 from quarterbill.operators.spread import stage
 from quarterbill.plans import reports
 from quarterbill.sources.forms import Forms
@@ -109,6 +110,17 @@ class QuarterBilling:
         staged = stage(self.power_members)
         return reports.power_user_list(members.members_of_kept(staged, self.log.pis))
 
+    # -- lookups -------------------------------------------------------------------
+
+    def projects_at(self, lookups: DataFrame, day: str = "day") -> DataFrame:
+        """`lookups` (project_id and a day) with storage and speed code of that day."""
+        history = projects.project_history(self.log)
+        return as_of_join(lookups, history, "project_id", day, ["storage", "speed_code"])
+
+    def people_at(self, lookups: DataFrame, day: str = "day") -> DataFrame:
+        """`lookups` (email and a day) with term, PI and privilege of that day."""
+        return as_of_join(lookups, self.segments, "email", day, ["term_no", "pi_name", "power_user"])
+
     # -- prices --------------------------------------------------------------------
 
     @cached_property
