@@ -517,6 +517,8 @@ def statements() -> dict[str, str]:
     # from a snapshot and newer events: the same rows as from all events
     for name in ("user_terms", "user_segments", "projects", "quarter_summary"):
         made[f"{name}_resumed"] = made[name]
+    for name in ("user_segments", "quarter_summary"):
+        made[f"{name}_of_events"] = made[name]
     return made
 
 

@@ -15,6 +15,7 @@ from quarterbill.operators import checks, events, members, pricing, projects, te
 from quarterbill.operators.asof import as_of_join
 from quarterbill.operators.spread import stage
 from quarterbill.plans import reports
+from quarterbill.sources.event_tables import EventTables
 from quarterbill.sources.forms import Forms
 
 # Fixed value: bills are dated in this zone.
@@ -27,16 +28,16 @@ def today() -> dt.date:
 
 
 class QuarterBilling:
-    """All results for one period. Every property and method is a DataFrame.
+    """All results for one period, from forms or from tables of events. Every property and method is a DataFrame.
 
     The reports per project are lazy plans over the forms. The reports per person read
     the power users several times and so stage them first (see `stage`).
     """
 
     def __init__(
-        self, forms: Forms, period: Period, policy: Policy | None = None
+        self, forms: Forms | EventTables, period: Period, policy: Policy | None = None
     ) -> None:
-        self.forms = forms
+        self.forms = forms.as_forms() if isinstance(forms, EventTables) else forms
         self.period = period
         self.policy = policy or Policy()
 

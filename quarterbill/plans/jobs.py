@@ -12,12 +12,13 @@ from quarterbill.operators.spread import stage
 from quarterbill.plans import reports
 from quarterbill.plans.billing import QuarterBilling, today
 from quarterbill.sources import sinks
+from quarterbill.sources.event_tables import EventTables
 from quarterbill.sources.forms import Forms
 from quarterbill.sources.publish import publish
 
 
 def bill_quarter(
-    forms: Forms,
+    forms: Forms | EventTables,
     *,
     quarter_start: str | dt.date,
     out_dir: str,
@@ -51,7 +52,7 @@ def bill_quarter(
 
 
 def list_power_users(
-    forms: Forms, *, start: str | dt.date, end: str | dt.date, out_path: str
+    forms: Forms | EventTables, *, start: str | dt.date, end: str | dt.date, out_path: str
 ) -> DataFrame:
     """Write name and email of everybody with a day of power use; return the list."""
     users = QuarterBilling(forms, Period.between(start, end)).power_user_list()

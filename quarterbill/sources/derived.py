@@ -178,6 +178,39 @@ class DerivedForms:
         return asked.unionByName(own)
 
 
+class DerivedEvents:
+    """Tables of events: suppliers and line items as those of projects, orders as those of users."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._forms = DerivedForms(spark, sf_dir)
+
+    @cached_property
+    def project_events(self) -> DataFrame:
+        """Openings, changes and closures."""
+        opened = self._forms.pi.selectExpr(
+            "'open' AS kind", "start_timestamp AS ts", "email", "last_name AS pi", "speed_code",
+            "storage", "pi_is_power_user AS power_user",
+        )
+        later = self._forms.pi_update.selectExpr(
+            "if(account_closed, 'close', 'update') AS kind", "timestamp AS ts", "email", "last_name AS pi",
+            "speed_code", "new_storage AS storage", "cast(NULL AS boolean) AS power_user",
+        )
+        return opened.unionByName(later)
+
+    @cached_property
+    def user_events(self) -> DataFrame:
+        """Requests and changes."""
+        asked = self._forms.user.selectExpr(
+            "'request' AS kind", "start_timestamp AS ts", "email", "last_name AS name", "pi_last_name AS pi_name",
+            "power_user", "cast(end_timestamp AS date) AS end_date",
+        )
+        later = self._forms.user_update.selectExpr(
+            "'update' AS kind", "timestamp AS ts", "email", "last_name AS name", "pi_last_name AS pi_name",
+            "new_power_user AS power_user", "cast(new_end_timestamp AS date) AS end_date",
+        )
+        return asked.unionByName(later)
+
+
 class DirtyForms:
     """The derived forms with faults in them, for the checks."""
 
