@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,9 +84,52 @@ def new_folder(spark: SparkSession, name: str = "staged") -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: What the innermost `staged_steps` has to remove; nothing is noted outside of one.
+_steps: ContextVar[list[tuple[str, str | None]] | None] = ContextVar("_steps", default=None)
+MOST_BUCKETS = 100_000
+
+
+def _noted(path: str, table: str | None = None) -> str:
+    steps = _steps.get()
+    if steps is not None:
+        steps.append((path, table))
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write a result that several later steps read, as Parquet in the shared folder."""
     spark = df.sparkSession
-    path = new_folder(spark)
+    path = _noted(new_folder(spark))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_by(df: DataFrame, key: str) -> DataFrame:
+    """`stage`, but the rows keep their partitioning by `key`: what groups, joins or orders them
+    by it later needs no shuffle.
+
+    It is a bucketed table with as many buckets as the session has shuffle partitions. A
+    plan that is partitioned by `key` already is written as it is; any key's rows go to one bucket,
+    so use it for keys whose rows are few.
+    """
+    spark = df.sparkSession
+    table = f"staged_{uuid.uuid4().hex}"
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+    path = _noted(new_folder(spark), table)
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+@contextmanager
+def staged_steps(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, all that is staged within it. What is returned must not read it."""
+    outer = _steps.set([])
+    try:
+        yield
+    finally:
+        for path, table in _steps.get():
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _steps.reset(outer)

@@ -13,7 +13,7 @@ from quarterbill.functions.periods import Period
 from quarterbill.functions.policy import Policy
 from quarterbill.operators import checks, events, members, pricing, projects, terms
 from quarterbill.operators.asof import as_of_join
-from quarterbill.operators.spread import stage
+from quarterbill.operators.spread import stage, stage_by
 from quarterbill.plans import reports
 from quarterbill.sources.event_tables import EventTables
 from quarterbill.sources.forms import Forms
@@ -227,11 +227,8 @@ class QuarterBilling:
 
     def violations(self, *, strict: bool = False) -> DataFrame:
         """All findings of the data-quality rules."""
-        walked = stage(self.walked)
-        # A staged table has no partitioning of its own; one shuffle serves all windows.
-        replayed = terms.kept_for(
-            terms.segments(walked.repartition("email")), self.period
-        )
+        walked = stage_by(self.walked, "email")
+        replayed = terms.kept_for(terms.segments(walked), self.period)
         log = projects.staged_log(self.log)
         power = stage(members.power_members(terms.apply_closures(self._recent(replayed), log.pis), self.period))
         found = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from quarterbill.functions.periods import Period
 from quarterbill.functions.policy import Policy
-from quarterbill.operators.spread import stage
+from quarterbill.operators.spread import stage, staged_steps
 from quarterbill.plans import reports
 from quarterbill.plans.billing import QuarterBilling, today
 from quarterbill.sources import sinks
@@ -33,28 +33,34 @@ def bill_quarter(
     policy = policy or Policy()
     period = Period.quarter(quarter_start, policy)
     run = QuarterBilling(forms, period, policy)
-    charges = stage(run.charges_from(run.staged_candidates))
-    heads = reports.bill_heads(charges, period, policy, bill_date or today())
-    users = stage(reports.bill_users(run.priced_members, period, policy))
-    lines = reports.bill_lines(heads, users, policy)
-    documents = reports.bill_documents(reports.bills(heads, users), policy)
-    publish(
-        charges.sparkSession,
-        {
-            "summary": sinks.sorted_summary(charges),
-            "bill_lines": sinks.sorted_bill_lines(lines),
-            "bills": documents,
-        },
-        period.start,
-        out_dir,
-    )
-    return reports.totals(charges)
+    spark = run.forms.pi.sparkSession
+    with staged_steps(spark):
+        charges = stage(run.charges_from(run.staged_candidates))
+        heads = reports.bill_heads(charges, period, policy, bill_date or today())
+        users = stage(reports.bill_users(run.priced_members, period, policy))
+        lines = reports.bill_lines(heads, users, policy)
+        documents = reports.bill_documents(reports.bills(heads, users), policy)
+        publish(
+            spark,
+            {
+                "summary": sinks.sorted_summary(charges),
+                "bill_lines": sinks.sorted_bill_lines(lines),
+                "bills": documents,
+            },
+            period.start,
+            out_dir,
+        )
+        totals = reports.totals(charges)
+        return spark.createDataFrame([totals.first()], totals.schema)  # one row
 
 
 def list_power_users(
     forms: Forms | EventTables, *, start: str | dt.date, end: str | dt.date, out_path: str
 ) -> DataFrame:
     """Write name and email of everybody with a day of power use; return the list."""
-    users = QuarterBilling(forms, Period.between(start, end)).power_user_list()
-    sinks.write_power_user_list(users, out_path)
-    return users
+    run = QuarterBilling(forms, Period.between(start, end))
+    spark = run.forms.pi.sparkSession
+    with staged_steps(spark):
+        users = run.power_user_list()
+        sinks.write_power_user_list(users, out_path)
+    return spark.read.schema(users.schema).csv(out_path, header=True)

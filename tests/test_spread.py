@@ -1,5 +1,7 @@
 """Cutting hot keys into pieces does not change a join."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,3 +46,38 @@ def test_a_hot_key_lands_in_many_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _exchanges(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning")
+
+
+def test_staged_tables_of_one_key_join_without_a_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        left = spread.stage_by(spark.range(5000).selectExpr("concat('p', id % 700) AS email", "id"), "email")
+        right = spread.stage_by(spark.range(700).selectExpr("concat('p', id) AS email", "id AS v"), "email")
+        joined = left.join(right, "email")
+        assert joined.count() == 5000 and _exchanges(joined) == 0
+        last = left.selectExpr("*", "row_number() OVER (PARTITION BY email ORDER BY id DESC) AS n").where("n = 1")
+        assert _exchanges(last.join(right, "email").groupBy("email").count()) == 0
+        plain = spread.stage(left).join(spread.stage(right), "email")
+        assert _exchanges(plain) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staged_steps_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spread, "new_folder", lambda spark, name="staged": f"file://{tmp_path}/{name}-{uuid.uuid4().hex}")
+    with spread.staged_steps(spark):
+        spread.stage(spark.range(3))
+        table = spread.stage_by(spark.range(3), "id")
+        assert table.count() == 3 and len(list(tmp_path.iterdir())) == 2
+    assert list(tmp_path.iterdir()) == []
+    with pytest.raises(ZeroDivisionError), spread.staged_steps(spark):
+        spread.stage(spark.range(3))
+        1 / 0  # noqa: B018
+    assert list(tmp_path.iterdir()) == []
+    spread.stage(spark.range(3))
+    assert len(list(tmp_path.iterdir())) == 1  # outside of such a block nothing is removed
