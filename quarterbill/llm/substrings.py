@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quarterbill.llm.common import stage
 
@@ -162,11 +163,59 @@ def _strings_of(g: np.ndarray, sizes: np.ndarray, c: np.ndarray, length: int) ->
     return h[valid], row, start.astype(np.int64)
 
 
-def _repeats(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def _repeats(h: np.ndarray, doc: np.ndarray, shift: int) -> np.ndarray:
     """Whether a smaller document has the string, for strings sorted by hash and document."""
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
-    return doc > doc[new][np.cumsum(new) - 1] if len(h) else new
+    return _later(doc, new, shift) if len(h) else new
+
+
+def _later(doc: np.ndarray, new: np.ndarray, shift: int) -> np.ndarray:
+    """Whether a row's document is greater than that of the first row of its run."""
+    return doc >> shift > (doc[new] >> shift)[np.cumsum(new) - 1]
+
+
+# --- rows that share an id ----------------------------------------------------------------
+
+
+def _numbered(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct rows with `number`: 0, 1, ... in the order of the columns, over all partitions."""
+    placed = stage(
+        df.repartitionByRange(*columns).sortWithinPartitions(*columns).withColumn("at", F.monotonically_increasing_id()), "numbered"
+    ).withColumn("part", F.shiftright("at", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("part").count().withColumn("start", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    return placed.join(starts, "part").withColumn("number", F.col("at") - F.shiftleft("part", 33) + F.col("start")).drop("at", "part", "start", "count")
+
+
+def _told_apart(docs: DataFrame) -> tuple[DataFrame, int, DataFrame | None]:
+    """documents in which each text of an id has an id of its own, which is the id, or its rank, and a
+    number in the low bits; how many bits those are; and the ranks, if they were needed.
+
+    Where every id has one text, the documents are returned as they are.
+    """
+    hashed = docs.withColumn("h", F.xxhash64("text"))
+    several = stage(
+        hashed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo != hi").select("doc_id"),
+        "repeated_ids",
+    )
+    if several.isEmpty():
+        return docs, 0, None
+    texts = stage(_numbered(hashed.select("doc_id", "h").join(several, "doc_id").distinct(), "doc_id", "h"), "texts")
+    own = stage(
+        texts.join(texts.groupBy("doc_id").agg(F.min("number").alias("first")), "doc_id").select("doc_id", "h", (F.col("number") - F.col("first")).alias("own")),
+        "own",
+    )
+    shift = int(own.agg(F.max("own")).first()[0]).bit_length()
+    lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    ranks = None
+    if max(-lo, hi) >> (62 - shift):
+        ranks = stage(_numbered(docs.where("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id"), "ranks")
+        hashed = hashed.join(ranks, "doc_id", "left").withColumnRenamed("number", "place")
+    else:
+        hashed = hashed.withColumn("place", F.col("doc_id"))
+    known = hashed.join(own, ["doc_id", "h"], "left")
+    return known.select((F.shiftleft("place", shift) + F.coalesce("own", F.lit(0))).alias("doc_id"), "text"), shift, ranks
 
 
 def _spans(doc: np.ndarray, start: np.ndarray, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -203,11 +252,13 @@ class Remover:
     def __init__(self, docs: DataFrame, length: int = LENGTH, gram: int = GRAM):
         if not 8 <= gram < length < 1 << 15:
             raise ValueError("a gram is shorter than the strings, and 8 bytes at least")
-        self.docs, self.length, self.gram = docs.select("doc_id", "text"), length, gram
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        self.docs, self.shift, self.ranks = _told_apart(docs)
+        self.length, self.gram = length, gram
         self.buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def _anchors(self):
-        length, gram, buckets = self.length, self.gram, self.buckets
+        length, gram, buckets, shift = self.length, self.gram, self.buckets, self.shift
 
         def send(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             doc, place, g, c = (np.concatenate(x) for x in zip(*rows))
@@ -215,7 +266,7 @@ class Remover:
             doc, place, g, c = doc[order], place[order].astype(np.uint32), g[order], c[order]
             new = np.ones(len(g), bool)
             new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
-            later = doc > doc[new][np.cumsum(new) - 1]  # this task holds a smaller document with it
+            later = _later(doc, new, shift)  # this task holds a smaller document with it
             yield from _pack(COVERED, doc[later] % buckets, [doc[later], place[later]])
             keep = np.flatnonzero(~later)
             keep = keep[np.lexsort((place[keep], doc[keep]))]
@@ -241,7 +292,7 @@ class Remover:
         return work
 
     def _compare(self):
-        buckets, most = self.buckets, MOST_CONTEXTS
+        buckets, most, shift = self.buckets, MOST_CONTEXTS, self.shift
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for kind, bucket, blobs in _grouped(batches):
@@ -256,7 +307,7 @@ class Remover:
                     new_g[1:] = g[1:] != g[:-1]
                     new = new_g.copy()
                     new[1:] |= c[1:] != c[:-1]
-                    later = doc > doc[new][np.cumsum(new) - 1]
+                    later = _later(doc, new, shift)
                     yield from _pack(COVERED, doc[later] % buckets, [doc[later], place[later]])
                     run = np.cumsum(new_g) - 1
                     several = np.bincount(run, new)[run] > 1  # contexts of the gram
@@ -292,7 +343,7 @@ class Remover:
                     held.setdefault(kind, []).append(blob)
 
     def _contexts(self):
-        length, gram, buckets, texts = self.length, self.gram, self.buckets, self._texts
+        length, gram, buckets, texts, shift = self.length, self.gram, self.buckets, self._texts, self.shift
         width = 2 * length - gram
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +360,7 @@ class Remover:
                 doc, start = doc[row], low[row] + start
                 order = np.lexsort((doc, h))
                 h, doc, start = h[order], doc[order], start[order]
-                gone = _repeats(h, doc)  # a smaller document of this task has the string
+                gone = _repeats(h, doc, shift)  # a smaller document of this task has the string
                 yield from _spans(doc[gone], start[gone], length, buckets)
                 h, doc, start = h[~gone], doc[~gone], start[~gone].astype(np.uint32)
                 yield from _pack(STRINGS, (h % U(buckets)).astype(np.int64), [h, doc, start])
@@ -326,7 +377,7 @@ class Remover:
                     continue
                 a, b = np.searchsorted(docs, doc, "left"), np.searchsorted(docs, doc, "right")
                 place, g, many = places[a:b], grams[a:b], hot[a:b]
-                inside = place + gram <= len(data)  # rows that share an id have places of their own
+                inside = place + gram <= len(data)
                 place, g, many = place[inside], g[inside], many[inside]
                 if not len(place) or len(data) < length:
                     continue
@@ -345,7 +396,7 @@ class Remover:
         return work
 
     def _strings(self):
-        length, gram, buckets = self.length, self.gram, self.buckets
+        length, gram, buckets, shift = self.length, self.gram, self.buckets, self.shift
         width = 2 * length - gram
         kinds = (np.uint64, np.int64, np.uint32, np.uint16, np.dtype(f"V{width}"))
 
@@ -358,7 +409,7 @@ class Remover:
                     for h, doc, start in _blocks(blobs, STRING_ROW, STRING_BLOCK, 0):
                         order = np.lexsort((doc, h))
                         h, doc, start = h[order], doc[order], start[order].astype(np.int64)
-                        gone = _repeats(h, doc)
+                        gone = _repeats(h, doc, shift)
                         yield from _spans(doc[gone], start[gone], length, buckets)
                 else:
                     for g, doc, low, sizes, c in _blocks(blobs, kinds, CONTEXT_BLOCK, 0):
@@ -366,7 +417,7 @@ class Remover:
                         h, row, start = _strings_of(g, sizes, c, length)
                         order = np.lexsort((doc[row], h))
                         h, row, start = h[order], row[order], start[order]
-                        gone = _repeats(h, doc[row])
+                        gone = _repeats(h, doc[row], shift)
                         row, start = row[gone], start[gone]
                         yield from _spans(doc[row], low[row] + start, length, buckets)
 
@@ -436,15 +487,18 @@ class Remover:
         spark._jvm.System.gc()
         about = settled.where(F.col("kind") == COVERED).unionByName(spans)
         schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, bounds array<bigint>"
-        return self._with_texts(about).mapInArrow(self._cut(), schema)
+        done = self._with_texts(about).mapInArrow(self._cut(), schema).withColumn("doc_id", F.shiftright("doc_id", self.shift))
+        if self.ranks is None:
+            return done
+        ids = self.ranks.select("number", F.col("doc_id").alias("own"))
+        return done.join(ids, F.col("doc_id") == F.col("number"), "left").withColumn("doc_id", F.col("own")).drop("own", "number")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and bounds of the removed spans, in bytes.
 
     A null text is empty; texts shorter than `length` lose nothing. Rows that share an id
-    are no smaller than each other, and a row without an id neither loses nor takes bytes. Rows
-    that share an id but not a text are not told apart in what they lose: give each text an id. Other columns are
+    are no smaller than each other, and a row without an id neither loses nor takes bytes. Other columns are
     ignored; an empty table gives an empty one. Strings are compared by 64-bit hashes under
     equal grams.
     """

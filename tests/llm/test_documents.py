@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from conftest import prose
 from tokenizers import Tokenizer
 
 from quarterbill.llm import mixing, packing, quality, secrets, simhash, substrings, toxicity
@@ -272,6 +273,16 @@ def test_repeats_against_every_string(docs, empty):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("far", [1, 1 << 58])
+def test_repeats_of_rows_that_share_an_id(shipped, far):
+    """Texts of one id lose what a smaller id holds, each at its own places; negative and far ids too."""
+    texts = [prose(1, 60), "before " + prose(1, 60), prose(2, 60), prose(3, 30) + prose(1, 40), "x" * 99, prose(2, 60)[5:], "", None]
+    rows = [(far * (1 + i // 3), t) for i, t in enumerate(texts)] + [(far * 2, prose(1, 60)), (-far, prose(2, 30)), (None, prose(1, 60))]
+    rows += [(far * 9, f"{prose(1, 20 + i)} {i}") for i in range(40)] + [(far * 9, prose(1, 25))] * 3
+    docs = shipped.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert collected(substrings.remove_repeats(docs), *COLUMNS) == sorted(removed(rows, 50), key=repr)
+
+
 def test_repeats_in_texts_of_few_letters(shipped):
     random = np.random.default_rng(8)
     rows = [(int(i), "".join(random.choice(list("ab"), random.integers(0, 90), p=[0.9, 0.1]))) for i in random.permutation(60)]
