@@ -31,13 +31,22 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 BLANKS = r"\x00-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 BLANK = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 CONTEXT = re.compile(
-    r"""(?<![a-z0-9])(pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|login)"""
-    rf"""["']?(?:{BLANK}*[:=]+>?{BLANK}*|{BLANK}+is:?{BLANK}+|{BLANK}+)(["'`]?)(?=[^{BLANKS}])""",
+    r"""(?<![a-z0-9])(pass(?:word|wd|phrase|code)?|pwd|pw|secret|token|credentials?|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|login)"""
+    r"""(?:\d{1,4}|[_-][a-z0-9]{1,24}){0,2}"""
+    rf"""["'`]?(?P<by>{BLANK}*(?:[:=]+>?|->|\u2192){BLANK}*|{BLANK}+is:?{BLANK}+|{BLANK}+)(?P<quote>["'`]?)(?=[^{BLANKS}])""",
     ASCII_CASE,
 )
+LINE_END = re.compile(r"[\n\r]|\Z")
+#: What names a place and no secret: a URL without a password, a mail address; after a mere blank, a host or path too.
+PLACE = re.compile(r"[a-z][a-z0-9+.-]*://[^\s@]*|[\w.+-]+@[a-z0-9-]+(?:\.[a-z0-9-]+)+", ASCII_CASE)
+HOST = re.compile(r"(?:[a-z0-9-]+\.)+[a-z]{2,}(?::\d+)?(?:/\S*)?|[a-z]+(?:[/_-][a-z]+)+", ASCII_CASE)
+#: Brackets around a value are none of it.
+BRACKETS = {"(": ")", "[": "]", "{": "}", "<": ">"}
+#: Further bits that a value needs if nothing but a blank stands between it and its context.
+LOOSE_BITS = 15.0
 VALUE_END = re.compile(rf"[{BLANKS}]|\Z")
 TRAILING = frozenset(".!?:)]},;|<>\"'`")
-CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "credential", "key", "auth", "bearer", "login")
+CONTEXT_WORDS = ("pass", "pwd", "pw", "secret", "token", "credential", "key", "auth", "bearer", "login")
 
 #: Rows of a keyboard, left to right.
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
@@ -110,11 +119,13 @@ def guess_bits(value: str, ranks: dict[str, int]) -> float:
     best = [infinite] * (n + 1)  # cheapest cut that ends here
     brute = [infinite] * (n + 1)  # the cheapest whose last piece is brute force
     best[0] = 0.0
-    run = walk = 0  # length of the repeat and of the walk that end here
+    walk = 0  # steps of the walk that ends here
     dates = {}
     for m in DATE.finditer(value):
         dates.setdefault(m.end(), m.start())
     period = [0] * 5  # for blocks of up to 4 characters: how far the text repeats them
+    repeats: list[list[int]] = [[] for _ in range(5)]  # where a repeat, or a walk, that ends here can start
+    walks: list[int] = []
     for i in range(1, n + 1):
         symbol_end = symbol + min(best[i - 1] + KIND_BITS, brute[i - 1])
         brute[i] = symbol_end
@@ -135,43 +146,80 @@ def guess_bits(value: str, ranks: dict[str, int]) -> float:
         for p in range(1, 5):
             period[p] = period[p] + 1 if i > p and value[i - 1] == value[i - 1 - p] else 0
             if period[p] >= max(2, p):
-                start = i - period[p] - p
-                cost = min(cost, best[start] + KIND_BITS + symbol * p + math.log2(period[p] + p))
+                repeats[p].append(i - p - max(2, p))
+                cost = min(cost, _least(repeats[p], best, i, 1.0) + KIND_BITS + symbol * p)
+            elif repeats[p]:
+                repeats[p] = []
         walk = walk + 1 if i > 1 and lower[i - 2 : i] in STEPS else 0
         if walk >= 2:
-            cost = min(cost, best[i - walk - 1] + KIND_BITS + symbol + 1.5 * math.log2(walk + 1) + STYLE_BITS)
+            walks.append(i - 3)
+            cost = min(cost, _least(walks, best, i, 1.5) + KIND_BITS + symbol + STYLE_BITS)
+        elif walks:
+            walks = []
         best[i] = cost
     return best[n]
 
 
-def candidates(text: str, least_length: int) -> Iterator[tuple[int, int]]:
-    """Bounds of the values in credential contexts, in their order, without overlaps.
+def _least(starts: list[int], best: list[float], i: int, weight: float) -> float:
+    """The least best[s] + weight * log2(i - s) over starts, in their order.
 
-    A value ends before a blank or at the quote that opened it; punctuation at the end of a
-    value without quotes is none of it. A value that is itself a context ("login password is
+    A start that is no cheaper than an earlier one never will be, as the longer piece's
+    logarithm grows more slowly; it is taken off the list, which so stays short.
+    """
+    least, at = math.inf, 0
+    for k, s in enumerate(starts):
+        cost = best[s] + weight * math.log2(i - s)
+        if cost < least:
+            least, at = cost, k
+    del starts[at + 1 :]
+    return least
+
+
+def candidates(text: str, least_length: int) -> Iterator[tuple[int, int, bool]]:
+    """Bounds of the values in credential contexts, in their order, without overlaps, and whether
+    nothing but a blank joins them to their context.
+
+    A value in quotes runs to its own quote on the same line, blanks included; any other ends before a blank,
+    and punctuation at its end and a bracket around it are none of it. A value that is itself a context ("login password is
     x") gives way to the value after it; other contexts within a value are part of it.
     """
     held = None  # the latest value, for which the next context may have a better one
     at, stop, bare = 0, -1, -1  # bare: end of what stands before the blank at `stop`, without punctuation
+    line = -1  # end of the line
     while m := CONTEXT.search(text, at):
         at = start = m.end()  # a value may be a context itself
         if start >= stop:
             stop = bare = VALUE_END.search(text, start).start()
             while bare > start and text[bare - 1] in TRAILING:
                 bare -= 1
-        end = text.find(m[2], start, stop) if m[2] else -1
-        end = max(start, bare) if end < 0 else end
+        end = -1
+        if m["quote"]:
+            if start >= line:
+                line = LINE_END.search(text, start).start()
+            end = text.find(m["quote"], start, line)
+        if end < 0:
+            close = BRACKETS.get(text[start : start + 1])
+            if close and close in text[bare:stop]:
+                start += 1
+            end = max(start, bare)
         if held and start < held[1]:  # within the latest value
             end = min(end, held[1])
             if m.start() > held[0] or end - start < least_length:
                 continue
         elif held and m.start() != held[0]:
             yield held
-        held = (start, end) if end - start >= least_length else None
+        held = (start, end, not m["by"].strip()) if end - start >= least_length else None
     if held:
         yield held
 
 
+def is_secret(value: str, loose: bool, ranks: dict[str, int], least_bits: float) -> bool:
+    """Whether a value is hard to guess, and is no address or, after a mere blank, host or path."""
+    if PLACE.fullmatch(value) or loose and HOST.fullmatch(value):
+        return False
+    return guess_bits(value, ranks) >= least_bits + LOOSE_BITS * loose
+
+
 def scan(text: str | None, ranks: dict[str, int], least_bits: float = 40.0, least_length: int = 8) -> list[tuple]:
     """Spans (start, end, kind) of a text in code points, by start, then kind as in KINDS.
 
@@ -189,12 +237,12 @@ def scan(text: str | None, ranks: dict[str, int], least_bits: float = 40.0, leas
     if any(w in lower for w in CONTEXT_WORDS):
         taken = sorted(spans)
         at = 0
-        for start, end in candidates(text, least_length):
+        for start, end, loose in candidates(text, least_length):
             while at < len(taken) and taken[at][1] <= start:
                 at += 1
             if any(s < end and start < e for s, e, _ in taken[at : at + 3]):
                 continue
-            if guess_bits(text[start:end], ranks) >= least_bits:
+            if is_secret(text[start:end], loose, ranks, least_bits):
                 spans.append((start, end, 3))
     return sorted(spans, key=lambda s: (s[0], s[2], s[1]))
 
