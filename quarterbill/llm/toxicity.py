@@ -8,6 +8,7 @@ text, so that a long clean text does not become toxic by its length.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -120,7 +121,8 @@ def train(
     commoner they are among toxic texts, in how many of these they are, and how many standard
     errors apart the two shares lie. The sample's ids
     and what is collected for the fit are bounded by these. Labels that are null are left
-    out; a doc with several labels counts as toxic if one says so. Without toxic or without
+    out; a doc with several labels counts as toxic if one says so; of several texts under one id, the one with the
+    least hash is learned from. Without toxic or without
     clean labels the model has no features and a leak near the share of toxic texts.
     """
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
@@ -130,7 +132,14 @@ def train(
     n = F.when(F.col("toxic") == 1, F.lit(totals.get(1, 0))).otherwise(F.lit(totals.get(0, 0)))
     chosen = marked.where(draw * n < sample)
     # about `sample` ids a class: a bounded table
-    texts = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
+    # one text of each id, so that what is collected is bounded too
+    texts = stage(
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text")),
+        "labelled",
+    )
     count = {c: n for c, n in texts.groupBy("toxic").count().collect()}
     n1, n0 = count.get(1, 0), count.get(0, 0)
     share = (n1 + 0.5) / (n1 + n0 + 50.0)
@@ -163,27 +172,29 @@ def train(
 
 
 class _TokenWeights(dict):
-    """Summed weight of a token's features, None without any; as a cache it is bounded."""
+    """The learned features of a token; as a cache it is bounded."""
 
     def __init__(self, weights: dict[str, float]):
         super().__init__()
         self.weights = weights
 
-    def __missing__(self, token: str) -> float | None:
-        got = [self.weights[f] for f in features(token) if f in self.weights]
-        value = sum(got) if got else None
+    def __missing__(self, token: str) -> tuple[str, ...]:
+        value = tuple(f for f in features(token) if f in self.weights)
         if len(self) < 300_000:
             self[token] = value
         return value
 
 
-def sentences(text: str, weight: _TokenWeights, bias: float) -> list[tuple[int, int, float]]:
-    """(start, end, log-odds) of each sentence that holds a learned feature."""
+def sentences(text: str, known: _TokenWeights, bias: float) -> list[tuple[int, int, float, frozenset[str]]]:
+    """(start, end, log-odds, learned features) of each sentence that holds a learned feature."""
+    odds: dict[frozenset[str], float] = {}
     out = []
     for m in SENTENCE.finditer(text):
-        got = [w for t in m[0].split() if (w := weight[t]) is not None]
+        got = frozenset(f for t in m[0].split() for f in known[t])
         if got:
-            out.append((m.start(), m.end(), bias + sum(got)))
+            if got not in odds:
+                odds[got] = bias + math.fsum(known.weights[f] for f in got)
+            out.append((m.start(), m.end(), odds[got], got))
     return out
 
 
@@ -194,16 +205,15 @@ def scorer(model: Model, least: float = 0.5):
     """A column function: text to its score and the sentences that score `least` or more."""
 
     def work(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        weight = _TokenWeights(model.weights)
+        known = _TokenWeights(model.weights)
         leak = float(_softplus(np.float64(model.leak)))
         for some in texts:
             scores, spans = [], []
             for text in some:
-                got = sentences(text or "", weight, model.bias)
-                z = np.array([g[2] for g in got])
-                scores.append(float(-np.expm1(-leak - _softplus(z).sum())))
-                odd = 1 / (1 + np.exp(-z))
-                spans.append([{"start": g[0], "end": g[1], "score": float(p)} for g, p in zip(got, odd) if p >= least])
+                found = sentences(text or "", known, model.bias)
+                different = {got: z for _, _, z, got in found}
+                scores.append(float(-np.expm1(-leak - math.fsum(_softplus(np.array(list(different.values())))))))
+                spans.append([{"start": a, "end": b, "score": float(p)} for a, b, z, _ in found if (p := 1 / (1 + np.exp(-z))) >= least])
             yield pd.DataFrame({"score": scores, "offending": spans})
 
     return F.pandas_udf(work, FOUND)
@@ -212,7 +222,9 @@ def scorer(model: Model, least: float = 0.5):
 def score(docs: DataFrame, model: Model, least_score: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted and the offending sentences of each document.
 
-    Nothing but the text enters a score; a null or empty text gets the leak alone. Spans are
+    Nothing but the text enters a score: one minus the product, over the leak and the text's different
+    instances, of their chances to be clean. An instance is the set of learned features of a sentence, so
+    a sentence that is repeated counts once, as in training. A null or empty text gets the leak alone. Spans are
     in code points. A null doc_id is not held out. Other columns are ignored.
     """
     return docs.select("doc_id", scorer(model)("text").alias("r")).select(

@@ -1,6 +1,7 @@
 """Operators on documents against brute force, with nulls, copies, long texts and no rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -231,6 +232,21 @@ def test_held_out_accuracy_and_place(model):
         assert [text[s.start : s.end] for s in r.offending] == ([f" Some more of{r.doc_id % 17} them you nasty fool"] if marks[r.doc_id] else [])
 
 
+def test_scores_are_the_plain_product_over_different_sentences(shipped):
+    learned = toxicity.Model({"nast$": 1.5, "nasty$": 2.0, "fool$": 1.0, "fool": 0.5}, -3.0, -4.0)
+    bag = lambda *f: 1 / (1 + math.exp(3.0 - sum(learned.weights[x] for x in f)))
+    leak = 1 / (1 + math.exp(4.0))
+    cases = {
+        None: [], "": [], "all well. And so on.": [], "you nasty thing.": [("nasty$",)],
+        "you nasty thing. " * 20: [("nasty$",)], "nasty nasty fool. A nasty one.": [("nasty$", "fool$", "fool"), ("nasty$",)],
+        "Fool! nasty? Fooling.": [("fool$", "fool"), ("nasty$",), ("fool",)],
+    }
+    docs = shipped.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for r in toxicity.score(docs, learned).collect():
+        found = list(cases.values())[r.doc_id]
+        assert r.score == pytest.approx(1 - (1 - leak) * math.prod(1 - bag(*f) for f in found), abs=1e-12), r
+
+
 def test_toxicity_edges(model, docs, empty, shipped):
     learned = model[2]
     assert toxicity.drop_toxic(docs, learned).columns == docs.columns
