@@ -43,10 +43,10 @@ def test_stages_do_what_the_operators_say(spark):
 
 def test_registered_with_their_sql(spark):
     queries, oracle = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-    assert "pipeline" in queries and sum(q.startswith("op") for q in queries) == 10
-    for name in ("documents", "pages"):
+    assert "pipeline" in queries and sum(q.startswith("op") for q in queries) == 13
+    for name in ("documents", "pages", "conversations"):
         duckdb.sql(f"CREATE OR REPLACE VIEW {name} AS FROM '{SF}/{name}.parquet'")
-    for name in ("op4_quality_rules", "op7_warc_index"):
+    for name in ("op4_quality_rules", "op7_warc_index", "op11_prefix_trie", "op12_minhash_groups", "op13_source_divergence"):
         got = queries[name](spark, SF)
         want = duckdb.sql(oracle[name]).fetchall()
         columns = [c[0] for c in duckdb.sql(oracle[name]).description]
