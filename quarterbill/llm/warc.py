@@ -4,7 +4,8 @@ Each task writes one archive of gzip members, one per record, to the shared fold
 pyarrow's file systems, and yields an index row per record: file, offset, length, URL and
 digest. An archive's name holds the attempt's number, so a task that is run again writes
 another file and the index names the one that was finished. A reader sorts the index rows
-that it wants by file and offset and reads neighbours in one go.
+that it wants by file and offset and reads neighbours in one go; its tasks get blocks of
+archives, so they grow in number with the bytes.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from quarterbill.llm.common import new_folder, stage
 
 LEAST_SHARED = 100  # bytes from which equal payloads are stored once
 GAP = 64 << 10  # bytes that are read over rather than asked for anew
-MOST_RANGE = 8 << 20  # bytes of one read, unless a single record is longer
+MOST_RANGE = 8 << 20  # bytes of one read, unless a single record is longer; a task's share of an archive comes in such blocks
+TASK_BYTES = 32 << 20  # bytes of archives for each reading task
 #: Fixed values of the format.
 VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -39,11 +41,21 @@ def _id(name: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes | None, digest: str, size: int, refers_to: int | None) -> bytes:
-    """One record. A revisit (no payload) names the page that it refers to and the full size."""
+def _record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    return _id(f"page:{page_id}:{url}:{digest}")
+
+
+def _uri(url: str) -> str:
+    return re.sub(r"[\x00-\x20%\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
+
+
+def record(
+    page_id: int | None, url: str | None, payload: bytes | None, digest: str, size: int, refers_to: int | None, first_url: str | None
+) -> bytes:
+    """One record. A revisit (no payload) names the record, URL and page that it refers to, and the full size."""
     fields = [
         ("WARC-Type", "response" if payload is not None else "revisit"),
-        ("WARC-Record-ID", _id(f"page:{page_id}:{url}:{digest}")),
+        ("WARC-Record-ID", _record_id(page_id, url, digest)),
         ("WARC-Date", DATE),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("X-Payload-Length", str(size)),
@@ -51,9 +63,12 @@ def record(page_id: int | None, url: str | None, payload: bytes | None, digest:
     if page_id is not None:
         fields.append(("X-Page-ID", str(page_id)))
     if url is not None:
-        fields.append(("WARC-Target-URI", re.sub(r"[\x00-\x20%\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
+        fields.append(("WARC-Target-URI", _uri(url)))
     if payload is None:
-        fields += [("WARC-Profile", PROFILE), ("X-Refers-To-Page", str(refers_to))]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", _record_id(refers_to, first_url, digest))]
+        if first_url is not None:
+            fields += [("WARC-Refers-To-Target-URI", _uri(first_url)), ("WARC-Refers-To-Date", DATE)]
+        fields.append(("X-Refers-To-Page", str(refers_to)))
         block = HTTP % size
     else:
         block = HTTP % size + payload
@@ -99,10 +114,11 @@ def _store(uri: str) -> tuple:
 
 
 def with_roles(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
-    """page_id, url, html (null for a revisit), digest, size and refers_to of each page.
+    """page_id, url, html (null for a revisit), digest, size, refers_to and first_url of each page.
 
     Of equal payloads of at least `least` bytes the smallest page_id is the response. Rows
-    that share that id are all responses; a null id is a revisit unless all ids are null.
+    that share that id are all responses, and revisits name the one of the smallest URL; a
+    null id is a revisit unless all ids are null.
     """
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     hashed = pages.select(
@@ -111,15 +127,19 @@ def with_roles(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     firsts = (
         hashed.where(F.col("size") >= least)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 AND first IS NOT NULL")
-        .select("digest", "first")
+        .agg(
+            F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("of"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .where("n > 1 AND of IS NOT NULL")
+        .select("digest", F.col("of.page_id").alias("first"), F.col("of.url").alias("first_url"))
     )
     joined = hashed.join(firsts, "digest", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select(
         "page_id", "url", "digest", "size",
         F.when(again, F.col("first")).alias("refers_to"),
+        F.when(again, F.col("first_url")).alias("first_url"),
         F.when(~again, F.coalesce(F.col("html"), F.lit(""))).alias("html"),
     )
 
@@ -133,13 +153,13 @@ def write(pages: DataFrame, folder: str, least: int = LEAST_SHARED) -> DataFrame
         file, at = None, 0
         for batch in batches:
             rows = []
-            for page_id, url, digest, size, refers_to, html in zip(*(c.to_pylist() for c in batch.columns)):
+            for page_id, url, digest, size, refers_to, first_url, html in zip(*(c.to_pylist() for c in batch.columns)):
                 if file is None:
                     store, path = _store(folder)
                     store.create_dir(path, recursive=True)
                     file = store.open_output_stream(f"{path}/{name}", compression=None)
                 payload = None if html is None else html.encode()
-                member = gzip.compress(record(page_id, url, payload, digest, size, refers_to), 6, mtime=0)
+                member = gzip.compress(record(page_id, url, payload, digest, size, refers_to, first_url), 6, mtime=0)
                 file.write(member)
                 kind = "response" if refers_to is None else "revisit"
                 rows.append((page_id, url, digest, kind, name, at, len(member)))
@@ -151,7 +171,7 @@ def write(pages: DataFrame, folder: str, least: int = LEAST_SHARED) -> DataFrame
         if file is not None:
             file.close()
 
-    rows = with_roles(pages, least).select("page_id", "url", "digest", "size", "refers_to", "html")
+    rows = with_roles(pages, least).select("page_id", "url", "digest", "size", "refers_to", "first_url", "html")
     return stage(rows.mapInArrow(work, INDEX), "warc-index")
 
 
@@ -171,7 +191,11 @@ def ranges(rows: Iterator[tuple], gap: int = GAP, most: int = MOST_RANGE) -> Ite
 
 
 def read(index: DataFrame, folder: str, where: Column | None = None) -> DataFrame:
-    """The records of the index rows that meet `where`, all by default, by byte-range reads."""
+    """The records of the index rows that meet `where`, all by default, by byte-range reads.
+
+    The work is spread by bytes: blocks of the archives go to as many tasks as the wanted
+    records' bytes ask for, and to no fewer than run at once.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _store(folder)
@@ -191,9 +215,11 @@ def read(index: DataFrame, folder: str, where: Column | None = None) -> DataFram
             yield pa.RecordBatch.from_pylist(some, schema=schema)
 
     wanted = index if where is None else index.where(where)
+    size = wanted.agg(F.sum("length")).first()[0] or 0
+    tasks = max(-(-size // TASK_BYTES), index.sparkSession.sparkContext.defaultParallelism)
     return (
         wanted.select("file", "offset", "length")
-        .repartitionByRange("file", "offset")
+        .repartition(tasks, "file", F.floor(F.col("offset") / MOST_RANGE))
         .sortWithinPartitions("file", "offset")
         .mapInArrow(work, RECORD)
     )

@@ -1,5 +1,6 @@
 """Pages and vectors against brute force."""
 
+import gzip
 import hashlib
 
 import numpy as np
@@ -53,6 +54,46 @@ def test_selected_records_only(pages, shipped):
     assert {r.page_id: bytes(r.payload) for r in got} == {r.page_id: r.html.encode() for r in pages.where("page_id in (3, 10)").collect()}
 
 
+def test_reading_tasks_grow_with_the_bytes(shipped, monkeypatch):
+    monkeypatch.setattr(warc, "TASK_BYTES", 20_000)
+    monkeypatch.setattr(warc, "MOST_RANGE", 2_000)
+    random = np.random.default_rng(5)
+    used = []
+    for n in (300, 1200):
+        rows = [(i, f"http://a.example/{i}", random.bytes(400).hex()) for i in range(n)]
+        folder = warc.new_folder(shipped, "warc")
+        index = warc.write(shipped.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+        assert index.select("file").distinct().count() == 1
+        read = warc.read(index, folder)
+        counts = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(counts) == n and max(counts) < n / 4
+        used.append(read.rdd.getNumPartitions())
+    assert used[1] >= 2 * used[0] - 1
+
+
+def test_revisits_name_the_record_they_refer_to(shipped):
+    html = "<p>" + "same " * 40
+    rows = [(5, "http://b.example/x y", html), (3, "http://a.example/z", html), (3, None, html), (None, "http://c.example", html)]
+    folder = warc.new_folder(shipped, "warc")
+    index = warc.write(shipped.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    store, path = warc._store(folder)
+    heads = []
+    for r in index.collect():
+        with store.open_input_file(f"{path}/{r.file}") as file:
+            data = gzip.decompress(file.read_at(r.length, r.offset))
+        heads.append(dict(line.split(": ", 1) for line in data.split(b"\r\n\r\n")[0].decode().split("\r\n")[1:]))
+    responses = {h["WARC-Record-ID"]: h for h in heads if h["WARC-Type"] == "response"}
+    revisits = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(responses) == 2 and len(revisits) == 2
+    for h in revisits:  # of the two rows of the smallest id, the one without a URL
+        assert "WARC-Target-URI" not in responses[h["WARC-Refers-To"]] and "WARC-Refers-To-Target-URI" not in h
+    one = [r for r in rows if r[1]]
+    roles = warc.with_roles(shipped.createDataFrame(one, "page_id long, url string, html string")).where("refers_to IS NOT NULL")
+    assert {(r.refers_to, r.first_url) for r in roles.collect()} == {(3, "http://a.example/z")}
+    head = warc.record(5, "http://b.example", None, "d", 9, 3, "http://a.example/z q").decode()
+    assert "WARC-Refers-To-Target-URI: http://a.example/z%20q\r\nWARC-Refers-To-Date: 1970" in head
+
+
 def test_ranges_join_neighbours():
     rows = [("a", 0, 10), ("a", 10, 5), ("a", 40, 5), ("b", 45, 5), ("b", 50, 100)]
     assert list(warc.ranges(iter(rows), gap=20, most=40)) == [
