@@ -17,20 +17,24 @@ from quarterbill.llm.common import stage
 LEAST_WORDS, MOST_REPEATED = 50, 50
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\f\r"
-#: Measures, bounded above: the quantile that stands for the tail of sound texts, how many
-#: times its distance from the median the bound lies beyond the median, and a slack in the
-#: measure's unit (thousandths; hundredths for word_length) for groups without any spread.
-#: The first three take a quantile near the median, so that junk in under 40 % of a group does
-#: not move the bound; their slack is above what sound texts reach (in the labelled texts of
-#: sf0.1, 0, 333 and 281). word_length is bounded below in the same way.
+#: Measures: the quantile that stands for the tail of sound texts, how far the bound lies beyond
+#: it, and a slack in the measure's unit (millionths; hundredths for word_length).
+#: symbols counts one symbol and one word more than a text has, so that a text without any has a
+#: rate by its length. word_length is bounded on either side of its median, by so many times the
+#: distance of the quantiles from it; the others above, by so many times the quantile.
 RULES = {
-    "symbols": (0.6, 4, 100),
-    "dup_lines": (0.6, 3, 400),
-    "repeats": (0.6, 3, 300),
+    "symbols": (0.75, 8, 20_000),
+    "dup_lines": (0.95, 5, 350_000),
+    "repeats": (0.95, 5, 250_000),
     "word_length": (0.90, 4, 100),
 }
-#: Groups with fewer documents use the sketch of their language, and then that of all.
+#: A group's quantiles are drawn to its language's, and those to all documents', as if so many
+#: more documents had these; sources of as many or more are peers of their language.
 LEAST_GROUP = 100
+#: A quantile counts up to so many times that of the lower quartile of the peers, so that a
+#: source full of junk does not set its own bound, nor do such sources for each other while a
+#: quarter of the peers is sound.
+PEERS = 2
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -78,11 +82,11 @@ def base_failed() -> Column:
 
 def _rates() -> dict[str, Column]:
     words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
-    rate = lambda part, whole: F.floor(1000 * F.col(part) / whole).cast("long")
+    rate = lambda part, whole: F.floor(1_000_000 * part / whole).cast("long")
     return {
-        "symbols": rate("n_symbols", words),
-        "dup_lines": rate("n_dup_lines", lines),
-        "repeats": rate("n_repeat_words", words),
+        "symbols": rate(F.col("n_symbols") + 1, F.col("n_words") + 1),
+        "dup_lines": rate(F.col("n_dup_lines"), lines),
+        "repeats": rate(F.col("n_repeat_words"), words),
         "word_length": F.floor(100 * F.col("word_chars") / words).cast("long"),
     }
 
@@ -120,31 +124,43 @@ def quantiles(sketches: DataFrame, group: list[str]) -> DataFrame:
 def thresholds(sketches: DataFrame) -> DataFrame:
     """Bounds of each measure per lang and source: a row with a column for each bound.
 
-    A small group takes the quantiles of its language, a small language those of all.
+    Every bound moves with its group's quantiles, the less the smaller the group is. A language
+    without a peer has no limit from peers; of up to four, the smallest quantile counts.
     """
-    keys = sketches.select("lang", "source", "measure").distinct()
     names = ("low", "mid", "high", "total")
 
     def level(group: list[str], p: str) -> DataFrame:
         return quantiles(sketches, group).withColumnsRenamed({c: f"{p}_{c}" for c in (*group, "measure", *names)})
 
-    joined = (
-        keys.join(level(["lang", "source"], "o"), F.expr("lang <=> o_lang AND source <=> o_source AND measure = o_measure"))
-        .join(level(["lang"], "l"), F.expr("lang <=> l_lang AND measure = l_measure"))
-        .join(level([], "e"), F.expr("measure = e_measure"))
+    own = level(["lang", "source"], "o")
+    peers = (
+        own.where(F.col("o_total") >= LEAST_GROUP)
+        .groupBy(F.col("o_lang").alias("p_lang"), F.col("o_measure").alias("p_measure"))
+        .agg(F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY o_high)").cast("long").alias("p_high"))
     )
-    pick = lambda c: (
-        F.when(F.col("o_total") >= LEAST_GROUP, F.col(f"o_{c}"))
-        .when(F.col("l_total") >= LEAST_GROUP, F.col(f"l_{c}"))
-        .otherwise(F.col(f"e_{c}"))
+    joined = (
+        own.join(level(["lang"], "l"), F.expr("o_lang <=> l_lang AND o_measure = l_measure"))
+        .join(level([], "e"), F.expr("o_measure = e_measure"))
+        .join(peers, F.expr("o_lang <=> p_lang AND o_measure = p_measure"), "left")
+        .withColumnRenamed("o_measure", "measure")
     )
-    spreads, slack = _by_measure(1), _by_measure(2)
-    bounds = joined.select(
-        "lang",
-        "source",
+    drawn = joined.select("o_lang", "o_source", "measure", "p_high", *(
+        F.expr(
+            f"(o_total * o_{c} + {LEAST_GROUP} * ((l_total * l_{c} + {LEAST_GROUP} * e_{c}) div (l_total + {LEAST_GROUP})))"
+            f" div (o_total + {LEAST_GROUP})"
+        ).alias(c)
+        for c in ("low", "mid", "high")
+    ))
+    times, slack = _by_measure(1), _by_measure(2)
+    limited = F.least("high", PEERS * F.col("p_high"))
+    bounds = drawn.select(
+        F.col("o_lang").alias("lang"),
+        F.col("o_source").alias("source"),
         "measure",
-        (pick("mid") + spreads * (pick("high") - pick("mid")) + slack).alias("upper"),
-        (pick("mid") - spreads * (pick("mid") - pick("low")) - slack).alias("lower"),
+        F.when(F.col("measure") == "word_length", F.col("mid") + times * (F.col("high") - F.col("mid")) + slack)
+        .otherwise(times * limited + slack)
+        .alias("upper"),
+        (F.col("mid") - times * (F.col("mid") - F.col("low")) - slack).alias("lower"),
     )
     return bounds.groupBy("lang", "source").agg(
         *(F.max(F.when(F.col("measure") == m, F.col("upper"))).alias(f"upper_{m}") for m in RULES),
@@ -159,7 +175,7 @@ def judge(docs: DataFrame) -> DataFrame:
     with equal ids are judged one by one; other columns are ignored.
     """
     measured = stage(measures(docs), "measures")
-    bounds = thresholds(sketch(measured))
+    bounds = thresholds(stage(sketch(measured), "sketches"))
     rates = _rates()
     joined = measured.alias("d").join(
         bounds.withColumnsRenamed({"lang": "b_lang", "source": "b_source"}),

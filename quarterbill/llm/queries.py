@@ -101,9 +101,9 @@ BIN = "v - v % (1::BIGINT << greatest(length(bin(v)) - 6, 0))"
 def _quality_sql() -> str:
     rules = ", ".join(f"('{m}', {q}, {k}, {s})" for m, (q, k, s) in quality.RULES.items())
     rates = {
-        "symbols": "1000 * n_symbols // greatest(n_words, 1)",
-        "dup_lines": "1000 * n_dup_lines // greatest(n_lines, 1)",
-        "repeats": "1000 * n_repeat_words // greatest(n_words, 1)",
+        "symbols": "1000000 * (n_symbols + 1) // (n_words + 1)",
+        "dup_lines": "1000000 * n_dup_lines // greatest(n_lines, 1)",
+        "repeats": "1000000 * n_repeat_words // greatest(n_words, 1)",
         "word_length": "100 * word_chars // greatest(n_words, 1)",
     }
     long = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {r} AS v FROM c WHERE NOT base_failed" for m, r in rates.items())
@@ -118,7 +118,11 @@ def _quality_sql() -> str:
 
     passed = " AND ".join(f"({r} <= (SELECT upper FROM b WHERE b.lang IS NOT DISTINCT FROM c.lang AND b.source IS NOT DISTINCT FROM c.source AND measure = '{m}'))" for m, r in rates.items())
     least = quality.LEAST_GROUP
-    pick = lambda x: f"(CASE WHEN o.total >= {least} THEN o.{x} WHEN l.total >= {least} THEN l.{x} ELSE e.{x} END)"
+    drawn = ", ".join(
+        f"((o.total * o.{x} + {least} * ((l.total * l.{x} + {least} * e.{x}) // (l.total + {least}))) // (o.total + {least}))::BIGINT AS {x}"
+        for x in ("low", "mid", "high")
+    )
+    same = lambda a, b: f"{a}.lang IS NOT DISTINCT FROM {b}.lang AND {a}.measure = {b}.measure"
     return f"""
 WITH rules(measure, q, k, slack) AS (VALUES {rules}),
 d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t,
@@ -139,9 +143,12 @@ sketch AS (SELECT lang, source, measure, {BIN} AS bin, count(*) AS n FROM ({long
 {level("o", "lang, source")},
 {level("l", "lang")},
 {level("e", "")},
-b AS (SELECT o.lang, o.source, o.measure, {pick("mid")} + k * ({pick("high")} - {pick("mid")}) + slack AS upper,
-  {pick("mid")} - k * ({pick("mid")} - {pick("low")}) - slack AS lower
-  FROM o JOIN l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure JOIN e ON e.measure = o.measure JOIN rules ON rules.measure = o.measure)
+peers AS (SELECT lang, measure, quantile_disc(high, 0.25) AS peer FROM o WHERE total >= {least} GROUP BY ALL),
+t AS (SELECT o.lang, o.source, o.measure, k, slack, peer, {drawn}
+  FROM o JOIN l ON {same("o", "l")} JOIN e ON e.measure = o.measure JOIN rules ON rules.measure = o.measure LEFT JOIN peers p ON {same("o", "p")}),
+b AS (SELECT lang, source, measure, mid - k * (mid - low) - slack AS lower,
+  CASE WHEN measure = 'word_length' THEN mid + k * (high - mid) + slack
+    ELSE k * least(high, {quality.PEERS} * peer) + slack END AS upper FROM t)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce({passed} AND {rates["word_length"]} >= (SELECT lower FROM b WHERE b.lang IS NOT DISTINCT FROM c.lang
     AND b.source IS NOT DISTINCT FROM c.source AND measure = 'word_length'), true) AS kept
