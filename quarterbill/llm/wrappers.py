@@ -5,7 +5,7 @@ most frequent layouts, by simple tree matching: labels must be equal, order is k
 most nodes are matched; runs of siblings with the same label are one repeated node. A text
 of a reference that the aligned places of the other pages repeat is template; places whose text varies are slots. The main text lies
 in the articles or main elements, else where the slots are, less template and what is marked
-as navigation, advert, form and the like.
+as navigation, advert, form and the like; in an article, marks are but a hint.
 """
 
 from __future__ import annotations
@@ -41,17 +41,31 @@ DROP_WORDS = frozenset(
     "cookies consent gdpr notice notices popup modal overlay newsletter subscribe signup share sharing social related "
     "recommended widget widgets pagination pager toolbar".split()
 )
+#: Of these, words that texts of an article may bear as well: what the article is about.
+LOOSE_WORDS = frozenset(
+    "ad ads banner sponsor sponsored promo promotion nav navigation menu masthead respond cookies consent notice notices "
+    "modal overlay newsletter subscribe signup share sharing social related recommended widget widgets toolbar".split()
+)
+#: Reader comments differ from page to page, so no template finds them: these count in longer names, too.
+COMMENT_WORDS = frozenset("comment comments disqus".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WORD = re.compile(r"[a-z]+")
 
 
 def is_boilerplate(node: Node) -> bool:
-    """Marked as something other than article text."""
+    """Marked as something other than article text.
+
+    Within an article or main element the template decides: there a class or id counts as a whole,
+    not by parts of a longer name, and a loose word only if links make most of the element's text.
+    """
+    if node.tag == "form":  # one around the whole page is none of the article's
+        return not any(n.tag in ("article", "main") for n in node.elements())
     if node.tag in DROP_TAGS:
         return True
     if node.tag in ("html", "body", "main", "article"):
         return False
     if node.tag == "header":  # a heading block within an article holds its title
-        return not (_inside(node, ("article", "main")) and any(n.tag == "h1" for n in node.elements()))
+        return not (_inside(node, ("article", "main")) and any(n.tag in HEADINGS for n in node.elements()))
     if not node.written:
         return False
     attributes = node.attributes()
@@ -61,7 +75,30 @@ def is_boilerplate(node: Node) -> bool:
         return True
     marks = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
     words = set(WORD.findall(marks))
-    return bool(words & DROP_WORDS) or ("header" in words and not any(n.tag == "h1" for n in node.elements()))
+    if "header" not in words and not words & DROP_WORDS:
+        return False
+    if not _inside(node, ("article", "main")):
+        return bool(words & DROP_WORDS) or not any(n.tag == "h1" for n in node.elements())
+    if words & COMMENT_WORDS or set(marks.split()) & (DROP_WORDS - LOOSE_WORDS):
+        return True
+    return bool(words & DROP_WORDS) and _mostly_links(node)
+
+
+def _mostly_links(node: Node) -> bool:
+    """Links hold more than half of an element's text."""
+    linked = total = 0
+    todo: list[tuple[Node, bool]] = [(node, False)]
+    while todo:
+        at, link = todo.pop()
+        link = link or at.tag == "a"
+        for child in at.children:
+            if isinstance(child, str):
+                size = len(tidy(child))
+                total += size
+                linked += size * link
+            elif child.tag not in RAW:
+                todo.append((child, link))
+    return 2 * linked > total
 
 
 def _inside(node: Node, tags: tuple[str, ...]) -> bool:
