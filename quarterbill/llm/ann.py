@@ -109,7 +109,7 @@ def _nearest(k: int):
     def work(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple] = []
         if len(queries) and len(vectors):
-            ids = vectors.vec_id.to_numpy()
+            ids, place = np.unique(vectors.vec_id.to_numpy(), return_inverse=True)
             x = np.stack(vectors.embedding.to_list())
             length = np.sqrt((x * x).sum(1))
             small = (length < 1e-100) | ~np.isfinite(length)
@@ -120,6 +120,11 @@ def _nearest(k: int):
                     score = (y @ u) / (np.sqrt((y * y).sum(1)) * np.sqrt((u * u).sum()))
                 else:
                     score = (x @ v) / (length * own)
+                if len(ids) < len(score):  # an id's nearest vector stands for it
+                    rows, score = score, np.full(len(ids), -np.inf)
+                    np.maximum.at(score, place, rows)
+                else:
+                    score = score[np.argsort(place)]
                 other = np.nonzero(ids != q)[0]
                 if len(other) > k:
                     least = np.partition(score[other], len(other) - k)[len(other) - k]
@@ -182,12 +187,17 @@ def search(
     A vector is no candidate of its own id. Vectors of another length than the query's are
     not comparable. Of identical vectors only the k + 1 smallest ids can be among the k
     nearest, so the index keeps these alone. Queries whose probes met fewer than k vectors
-    are compared with all. Ties go to the smaller vec_id; other columns are ignored.
+    are compared with all. Ties go to the smaller vec_id; other columns are ignored. Of rows
+    that share an id, the best pair of vectors counts, as query and as candidate.
     """
     all_ = stage(valid(vectors), "vectors")
     same = Window.partitionBy("embedding").orderBy("vec_id")
     index = stage(
-        all_.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1).drop("_n"), "index"
+        all_.withColumn("_n", F.dense_rank().over(same))
+        .where(F.col("_n") <= k + 1)
+        .drop("_n")
+        .dropDuplicates(["embedding", "vec_id"]),
+        "index",
     )
     queries = all_.where(is_query).select(F.col("vec_id").alias("query_id"), "embedding")
     keyed = _keys(tables, hashes, width, 1)

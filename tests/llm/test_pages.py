@@ -151,3 +151,23 @@ def test_few_vectors_and_probe_order(shipped):
     cost = lambda c: sum((p - np.floor(p)) ** 2 if d < 0 else (1 - p + np.floor(p)) ** 2 for p, d in zip(place, c - np.floor(place)) if d)
     costs = [cost(c) for c in cells]
     assert costs == sorted(costs) and len({tuple(c) for c in cells}) == 20
+
+
+def test_rows_that_share_an_id(shipped):
+    """Ten rows of one id, equal or near each other, hide no other id; the best pair counts."""
+    random = np.random.default_rng(9)
+    x = random.standard_normal((40, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(7, x[0].tolist())] * 10 + [(8, x[0].tolist()), (9, x[0].tolist())]
+    rows += [(11, (x[0] + 0.01 * random.standard_normal(8)).tolist()) for _ in range(10)] + [(0, x[30].tolist())]
+    table = shipped.createDataFrame(rows, "vec_id long, embedding array<double>")
+    unit = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows]
+    best: dict[int, float] = {}
+    for q, v in unit:
+        for i, u in unit:
+            if q == 0 and i != 0:
+                best[i] = max(best.get(i, -2.0), float(u @ v))
+    got = ann.search(table, F.col("vec_id") == 0, k=6).orderBy("rank").collect()
+    assert [r.rank for r in got] == [1, 2, 3, 4, 5, 6]
+    assert {r.vec_id for r in got[:5]} == {7, 8, 9, 11, 30}
+    assert all(abs(r.score - best[r.vec_id]) < 1e-12 for r in got)
