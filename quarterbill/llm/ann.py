@@ -111,8 +111,6 @@ def _nearest(k: int):
         if len(queries) and len(vectors):
             ids, place = np.unique(vectors.vec_id.to_numpy(), return_inverse=True)
             x = np.stack(vectors.embedding.to_list())
-            if len(ids) == len(x):
-                x = x[np.argsort(place)]
             length = np.sqrt((x * x).sum(1))
             small = (length < 1e-100) | ~np.isfinite(length)
             for q, v in zip(queries.query_id, queries.embedding):
@@ -125,6 +123,8 @@ def _nearest(k: int):
                 if len(ids) < len(score):  # an id's nearest vector stands for it
                     rows, score = score, np.full(len(ids), -np.inf)
                     np.maximum.at(score, place, rows)
+                else:
+                    score = score[np.argsort(place)]
                 other = np.nonzero(ids != q)[0]
                 if len(other) > k:
                     least = np.partition(score[other], len(other) - k)[len(other) - k]
